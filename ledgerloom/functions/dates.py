@@ -6,14 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom import rules
-from ledgerloom.functions.text import strip
+from ledgerloom.functions.text import bind, strip
 
 _MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august",
            "september", "october", "november", "december")
-_YEAR = r"(\d{4}|\d{2})"
-_DAY_FIRST = r"^(\d{1,2})([-/.])(\d{1,2})\2" + _YEAR + "$"
-_NAMED = r"^(\d{1,2})(?:\s+([a-z]+)\s+|-([a-z]+)-|/([a-z]+)/)" + _YEAR + "$"
-_YEAR_FIRST = r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})$"
+_YEAR = r"(?:\d{4}|\d{2})"
+_ACCEPTED = (
+    rf"^(?:\d{{1,2}}([-/.])\d{{1,2}}\1{_YEAR}"
+    rf"|\d{{1,2}}(?:\s+[a-z]+\s+|-[a-z]+-|/[a-z]+/){_YEAR}"
+    r"|\d{4}([-/.])\d{1,2}\2\d{1,2})$"
+)
 
 
 def first_date(line: Column) -> Column:
@@ -25,6 +27,17 @@ def drop_dates(line: Column) -> Column:
     return F.regexp_replace(line, rules.DATE_PATTERN, " ")
 
 
+def _month_numbers(names) -> Column:
+    return F.create_map(*[F.lit(v) for n, name in enumerate(names, 1) for v in (name, str(n))])
+
+
+def _month(name: Column, year: Column) -> Column:
+    """Digits pass; three-letter names go with any year, full names only with four digits."""
+    short = F.try_element_at(_month_numbers(m[:3] for m in _MONTHS), name)
+    full = F.when(F.length(year) == 4, F.try_element_at(_month_numbers(_MONTHS), name))
+    return F.when(name.rlike("^[0-9]"), name).otherwise(F.coalesce(short, full))
+
+
 def _full_year(y: Column) -> Column:
     """Two digits pivot at 69 (69-99 -> 19xx); four digits pass; year 0 is no year."""
     return (
@@ -35,45 +48,22 @@ def _full_year(y: Column) -> Column:
     )
 
 
-def _month_number(name: Column, year: Column) -> Column:
-    """Three-letter names with any year, full names only with a four-digit year."""
-    chain = None
-    for n, month in enumerate(_MONTHS, 1):
-        hit = (name == month[:3]) | ((name == month) & (F.length(year) == 4))
-        chain = F.when(hit, str(n)) if chain is None else chain.when(hit, str(n))
-    return chain
-
-
-def _ymd(y: Column, m: Column, d: Column) -> Column:
-    return F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")).try_cast("date")
+def _from_parts(p: Column) -> Column:
+    first, middle, last = (F.get(p, i) for i in range(3))
+    year_first = F.length(first) == 4
+    year = F.when(year_first, first).otherwise(last)
+    day = F.when(year_first, last).otherwise(first)
+    ymd = F.concat(_full_year(year), F.lit("-"), _month(middle, year), F.lit("-"), day)
+    return ymd.try_cast("date")
 
 
 def parse_date(raw: Column) -> Column:
     """Day-first numeric, named-month or year-first date; NULL when none fits or the day is not real.
 
-    One anchored pattern per family replaces a try-each-format chain, so a failing cell costs
-    no exception.
+    One anchored pattern accepts all layouts and one split takes them apart, so a failing cell
+    costs no exception.
     """
-    text = F.lower(strip(raw))
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(text, pattern, group)
-
-    year = part(_DAY_FIRST, 4)
-    day_first = F.when(_full_year(year).isNotNull(), _ymd(_full_year(year), part(_DAY_FIRST, 3), part(_DAY_FIRST, 1)))
-    named_year = part(_NAMED, 5)
-    name = F.concat(part(_NAMED, 2), part(_NAMED, 3), part(_NAMED, 4))
-    month = _month_number(name, named_year)
-    named = F.when(
-        month.isNotNull() & _full_year(named_year).isNotNull(),
-        _ymd(_full_year(named_year), month, part(_NAMED, 1)),
-    )
-    first_year = part(_YEAR_FIRST, 1)
-    year_first = F.when(
-        _full_year(first_year).isNotNull(), _ymd(first_year, part(_YEAR_FIRST, 3), part(_YEAR_FIRST, 4))
-    )
-    return (
-        F.when(text.rlike(_DAY_FIRST), day_first)
-        .when(text.rlike(_NAMED), named)
-        .when(text.rlike(_YEAR_FIRST), year_first)
-    )
+    def parse(text: Column) -> Column:
+        return F.when(text.rlike(_ACCEPTED), bind(F.split(text, r"[-/.\s]+", -1), _from_parts))
+
+    return bind(F.lower(strip(raw)), parse)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions.classify import CREDIT, DEBIT
-from ledgerloom.functions.text import strip
+from ledgerloom.functions.text import bind, strip
 
 
 def amount_value(digits: Column) -> Column:
@@ -15,11 +15,6 @@ def amount_value(digits: Column) -> Column:
     return F.replace(digits, F.lit(","), F.lit("")).try_cast("double")
 
 
-def bind(value: Column, body) -> Column:
-    """Evaluate `value` once and use it many times in `body` (a let binding)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def parse_money(cell: Column) -> Column:
     """Amount cell -> struct<value double, direction string>; both NULL when it is not money.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions import classify, money
-from ledgerloom.functions.text import has_amount, has_date, strip
+from ledgerloom.functions.text import bind, has_amount, has_date, strip
 from ledgerloom.operators.textlines import text_blocks
 
 GRID_TYPE = "array<array<array<string>>>"
@@ -47,13 +47,13 @@ def header_map(row: Column) -> Column:
     """
     def matches(cell: Column, i: Column) -> Column:
         head = F.lower(strip(F.replace(F.coalesce(cell, F.lit("")), F.lit("\n"), F.lit(" "))))
-        return money.bind(
+        return bind(
             head, lambda h: F.struct(i.alias("at"), F.array(*[h.rlike(p) for p in _ROLE_PATTERNS]).alias("hit"))
         )
 
     def claim(taken: Column, cell: Column) -> Column:
         free = F.zip_with(taken, cell["hit"], lambda t, h: (t == -1) & h)
-        return money.bind(
+        return bind(
             F.array_position(free, True) - 1,
             lambda role: F.transform(taken, lambda t, k: F.when(k == role, cell["at"]).otherwise(t)),
         )
@@ -123,7 +123,7 @@ def is_blob(table: Column) -> Column:
     widest = F.coalesce(F.array_max(F.transform(table, lambda r: F.size(r))), F.lit(0))
     lines = F.flatten(F.transform(cell_texts(table), lambda c: F.split(c, "\n", -1)))
     packed = F.size(F.filter(lines, lambda l: has_date(l) & has_amount(l)))
-    return (widest <= 2) & money.bind(packed, lambda n: (n > 1) & (n > F.size(table)))
+    return (widest <= 2) & bind(packed, lambda n: (n > 1) & (n > F.size(table)))
 
 
 _RECORD_START = rules.SERIAL_MARK + f"(?={rules.DATE_PATTERN})"
@@ -136,7 +136,7 @@ def split_records(blob: Column) -> Column:
     """
     pieces = F.split(blob, f"(?md)^(?={_RECORD_START})", -1)
     records = F.filter(pieces, lambda p: p.rlike("^" + _RECORD_START))
-    return money.bind(records, lambda r: F.when(F.size(r) < 2, F.array(blob)).otherwise(r))
+    return bind(records, lambda r: F.when(F.size(r) < 2, F.array(blob)).otherwise(r))
 
 
 def blob_blocks(mapped: Column) -> Column:
@@ -144,7 +144,7 @@ def blob_blocks(mapped: Column) -> Column:
     unmapped = F.filter(mapped, lambda t: t["map"].isNull() & is_blob(t["rows"]))
 
     def of_table(t: Column) -> Column:
-        chunks = money.bind(F.array_join(cell_texts(t["rows"]), "\n"), split_records)
+        chunks = bind(F.array_join(cell_texts(t["rows"]), "\n"), split_records)
         return F.flatten(F.transform(chunks, text_blocks))
 
     return F.flatten(F.transform(unmapped, of_table))

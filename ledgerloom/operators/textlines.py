@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions import classify, dates, money
-from ledgerloom.functions.text import collapse, has_amount, has_date, strip
+from ledgerloom.functions.text import bind, collapse, has_amount, has_date, strip
 
 
 def line_tag(line: Column) -> Column:
@@ -33,12 +33,12 @@ def line_tag(line: Column) -> Column:
 
 def _tagged_line(raw: Column) -> Column:
     def tag(line: Column) -> Column:
-        marked = money.bind(
+        marked = bind(
             line_tag(line), lambda t: F.when(t.isin("K", "C"), t).otherwise(F.concat(t, line))
         )
         return F.when(line != "", marked)
 
-    return money.bind(strip(raw), tag)
+    return bind(strip(raw), tag)
 
 
 def _segment_blocks(pieces: Column) -> Column:
@@ -54,7 +54,7 @@ def _segment_blocks(pieces: Column) -> Column:
         pieces
     )
     dropped = F.element_at(pieces, -1).endswith("\nK")
-    return money.bind(
+    return bind(
         blocks, lambda b: F.when(dropped, F.slice(b, 1, F.size(b) - 1)).otherwise(b)
     )
 
@@ -106,7 +106,7 @@ def block_columns(block: Column) -> dict[str, Column]:
             F.concat(F.lit("\n"), F.array_join(rest, "\n")).alias("rest"),
         )
 
-    split_parts = money.bind(F.struct(dated.alias("dated"), best.alias("best")), apart)
+    split_parts = bind(F.struct(dated.alias("dated"), best.alias("best")), apart)
     whole_parts = F.struct(
         summary.alias("date_line"),
         summary.alias("amount_line"),
