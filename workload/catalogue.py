@@ -1,7 +1,7 @@
 """All registered queries."""
 
-from workload import document_queries, ledger_queries  # noqa: F401
+from workload import document_queries, ledger_queries, statement_queries  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
-FLAGSHIP = "reconcile_status"
+FLAGSHIP = "statements_to_features"
 __all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
