@@ -51,7 +51,7 @@ class KeyedTable:
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
     def _raw(self) -> DataFrame:
-        full = T.StructType(list(self.schema.fields)).add(BUCKET, "int")
+        full = T.StructType(list(self.schema.fields)).add(BUCKET, T.IntegerType())
         if not self._exists():
             return self.spark.createDataFrame([], full)
         return self.spark.read.schema(full).parquet(self.path).filter(F.col(self.key).isNotNull())

@@ -14,6 +14,7 @@ from ledgerloom.operators.reconcile import reconcile
 from ledgerloom.operators.splice import POS, RANK, splice, with_direction
 from ledgerloom.operators.statements import classify_documents, split_status
 from ledgerloom.operators.textlines import parse_text
+from ledgerloom.session import materialise
 from workload.fixtures import (
     ROWS_PER_TABLE,
     STATEMENTS_SQL,
@@ -359,6 +360,6 @@ _FLAGSHIP_SQL = f"""{STATEMENTS_SQL}, {_TEXT_EXPECTED}, {chain_sql("text_txns")}
 def statements_to_features(spark: SparkSession, d: str) -> DataFrame:
     """Statement texts -> lines -> verdicts -> gate -> features."""
     statements = per_statement(statement_lines(spark, d), text=rich_text_line())
-    lines = parse_text(_bronze(statements, joined(F.col("text")), None))
+    lines = materialise(parse_text(_bronze(statements, joined(F.col("text")), None)), "lines")
     gate = validation_gate(reconcile(lines))
     return rounded_features(account_features(lines).join(gate, "statement_hash", "inner"))
