@@ -11,6 +11,7 @@ from ledgerloom.functions.text import bind, strip
 _MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august",
            "september", "october", "november", "december")
 _YEAR = r"(?:\d{4}|\d{2})"
+_USUAL = r"^(\d{1,2})([-/.])(\d{1,2})\2([1-9]\d{3})\z"
 _ACCEPTED = (
     rf"^(?:\d{{1,2}}([-/.])\d{{1,2}}\1{_YEAR}"
     rf"|\d{{1,2}}(?:\s+[a-z]+\s+|-[a-z]+-|/[a-z]+/){_YEAR}"
@@ -60,10 +61,11 @@ def _from_parts(p: Column) -> Column:
 def parse_date(raw: Column) -> Column:
     """Day-first numeric, named-month or year-first date; NULL when none fits or the day is not real.
 
-    One anchored pattern accepts all layouts and one split takes them apart, so a failing cell
-    costs no exception.
+    The usual layout is rearranged by one pattern. For the rest one anchored pattern accepts all
+    layouts and one split takes them apart, so a failing cell costs no exception.
     """
     def parse(text: Column) -> Column:
         return F.when(text.rlike(_ACCEPTED), bind(F.split(text, r"[-/.\s]+", -1), _from_parts))
 
-    return bind(F.lower(strip(raw)), parse)
+    usual = F.regexp_replace(raw, _USUAL, "$4-$3-$1").try_cast("date")
+    return F.when(raw.rlike(_USUAL), usual).otherwise(bind(F.lower(strip(raw)), parse))

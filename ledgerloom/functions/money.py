@@ -21,9 +21,19 @@ def parse_money(cell: Column) -> Column:
     Takes currency prefixes, a bare or parenthesised Dr/Cr label (gives the direction) and
     accounting parentheses (negative).
     """
+    none = F.struct(F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("direction"))
+    bare = F.struct(amount_value(cell).alias("value"), F.lit(None).cast("string").alias("direction"))
+    return F.when(cell.rlike(_BARE), bare).when(cell.rlike(_DECIMALS), _decorated(cell)).otherwise(none)
+
+
+# the two quick ways out: a plain amount, and no amount at all
+_BARE = r"^[\d,]+\.\d{1,2}\z"
+_DECIMALS = r"[\d,]\.\d"
+
+
+def _decorated(cell: Column) -> Column:
     text = F.replace(F.replace(strip(cell), F.lit("\u00a0"), F.lit(" ")), F.lit("\u200b"), F.lit(""))
-    plain = strip(F.regexp_replace(text, rules.CURRENCY_PREFIX, ""))
-    return bind(plain, _labelled)
+    return bind(strip(F.regexp_replace(text, rules.CURRENCY_PREFIX, "")), _labelled)
 
 
 def _labelled(plain: Column) -> Column:
@@ -62,23 +72,22 @@ def last_amount(amounts: Column, back: int = 1) -> Column:
 
 
 def tag_of_amount(line: Column, amount: Column) -> Column:
-    """Direction of the Dr/Cr tag right after `amount` in `line`; the last duplicate wins."""
-    pattern = F.lit("(?i)" + rules.TAGGED_AMOUNT_PATTERN)
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(line, pattern, F.lit(1)).alias("amount"),
-        F.regexp_extract_all(line, pattern, F.lit(2)).alias("tag"),
-    )
-    tag = F.try_element_at(F.filter(pairs, lambda p: p["amount"] == amount), F.lit(-1))["tag"]
-    return F.when(F.lower(tag) == "dr", DEBIT).when(tag.isNotNull(), CREDIT)
+    """Direction of the Dr/Cr tag right after `amount` in `line`; the last duplicate wins.
+
+    A tagged amount starts with exactly `amount` when its text does, as both stop after the
+    first two decimals.
+    """
+    tagged = F.regexp_extract_all(line, F.lit(rules.TAGGED_AMOUNT_PATTERN), F.lit(0))
+    last = F.try_element_at(F.filter(tagged, lambda t: t.startswith(amount)), F.lit(-1))
+    return F.when(F.contains(F.lower(last), F.lit("dr")), DEBIT).when(last.isNotNull(), CREDIT)
 
 
 def strip_tagged_amounts(line: Column, amounts: Column) -> Column:
     """Blank out each listed amount wherever a Dr/Cr tag follows it; untagged amounts stay."""
-    tail = r"\s*\(?\s*(cr|dr)\.?\)?\s*"
-    return F.aggregate(
+    tail = F.lit(r"\s*\(?\s*[CcDd][Rr]\.?\)?\s*")
+    stripped = F.aggregate(
         amounts,
         line,
-        lambda acc, a: F.regexp_replace(
-            acc, F.concat(F.lit("(?i)"), F.replace(a, F.lit("."), F.lit(r"\.")), F.lit(tail)), F.lit(" ")
-        ),
+        lambda acc, a: F.regexp_replace(acc, F.concat(F.replace(a, F.lit("."), F.lit(r"\.")), tail), F.lit(" ")),
     )
+    return F.when(line.rlike(rules.TAGGED_AMOUNT_PATTERN), stripped).otherwise(line)

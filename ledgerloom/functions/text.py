@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 
-_BLANK_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in rules.BLANKS) + "]"
+def _class_of(chars: list[str]) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in chars)
+
+
+# blanks above Latin-1 sit behind one range test, so that plain text pays for it only once
+_LATIN = [c for c in rules.BLANKS if ord(c) < 256]
+_OTHER = [c for c in rules.BLANKS if ord(c) >= 256]
+_BLANK_CLASS = (
+    f"[{_class_of(_LATIN)}[{_class_of(_OTHER[:1])}-{_class_of(_OTHER[-1:])}&&[{_class_of(_OTHER)}]]]"
+)
 
 
 def bind(value: Column, body) -> Column:

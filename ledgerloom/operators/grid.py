@@ -166,8 +166,6 @@ def with_grid_transactions(
     """
     p = prefix
     row, cmap = F.col(cells), F.col(col_map)
-    narration = F.coalesce(_cell_at(row, cmap, "narration"), F.lit(""))
-    parsed = F.transform(row, money.parse_money)
 
     def cell_money(role: str) -> Column:
         return _cell_at(F.col("_money"), cmap, role)
@@ -176,17 +174,12 @@ def with_grid_transactions(
     if flag_first:
         claimed = F.coalesce(_cell_at(row, cmap, "debit"), F.lit(""))
         flag = F.coalesce(flag, F.when(classify.flag_direction(claimed) != classify.UNKNOWN, claimed))
-    by_words = F.coalesce(
-        classify.known(classify.narration_direction(narration)), classify.default_direction(F.col("_type"))
-    )
     values = F.filter(F.transform(F.col("_money"), lambda m: m["value"]), lambda v: v.isNotNull())
-    amount = cell_money("amount")
-    amount_side = F.coalesce(
-        amount["direction"], classify.known(classify.flag_direction(flag)), F.col("_words")
-    )
+    words = F.coalesce(classify.side_of_upper(F.col("_up")), classify.default_direction(F.col("_type")))
+    amount_side = F.coalesce(F.col("_tag"), classify.known(classify.flag_direction(flag)), F.col("_words"))
     bare = F.col("_debit").isNull() & F.col("_credit").isNull()
     one_amount = bare & F.col("_amount").isNotNull()
-    two_values = bare & ~F.coalesce(one_amount, F.lit(False)) & (F.size(F.col("_values")) > 1)
+    two_values = bare & F.col("_amount").isNull() & (F.size(F.col("_values")) > 1)
     second = F.try_element_at(F.col("_values"), F.lit(-2))
 
     def side(name: str, own: str) -> Column:
@@ -196,21 +189,30 @@ def with_grid_transactions(
             .otherwise(F.col(own))
         )
 
+    # a column that several later expressions read is a step of its own, so it is computed once
     return (
-        df.withColumns({"_money": parsed, "_type": classify.txn_type(narration)})
-        .withColumns({"_words": by_words, "_values": values})
+        df.withColumns(
+            {
+                "_money": F.transform(row, money.parse_money),
+                "_raw": F.coalesce(_cell_at(row, cmap, "narration"), F.lit("")),
+            }
+        )
+        .withColumns({"_low": F.lower("_raw"), "_up": F.upper(strip(F.col("_raw"))), "_values": values})
+        .withColumns({"_type": classify.txn_type_of_lower(F.col("_low"))})
         .withColumns(
             {
+                "_words": words,
                 "_debit": cell_money("debit")["value"],
                 "_credit": cell_money("credit")["value"],
-                "_amount": amount["value"],
-                "_amount_side": amount_side,
+                "_amount": cell_money("amount")["value"],
+                "_tag": cell_money("amount")["direction"],
             }
         )
+        .withColumns({"_amount_side": amount_side})
         .withColumns(
             {
                 p + "txn_date_raw": strip(_cell_at(row, cmap, "date")),
-                p + "narration": strip(narration),
+                p + "narration": strip(F.col("_raw")),
                 p + "debit_amount": side(classify.DEBIT, "_debit"),
                 p + "credit_amount": side(classify.CREDIT, "_credit"),
                 p + "running_balance": F.coalesce(
@@ -226,5 +228,6 @@ def with_grid_transactions(
                 )
             }
         )
-        .drop("_money", "_type", "_words", "_values", "_debit", "_credit", "_amount", "_amount_side")
+        .drop("_money", "_raw", "_low", "_up", "_type", "_words", "_values", "_debit", "_credit", "_amount", "_tag",
+              "_amount_side")
     )

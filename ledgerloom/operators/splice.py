@@ -59,16 +59,17 @@ def splice(rows: DataFrame, key: str, date: str, number: str = "line_no", first:
     day = F.unix_date(F.col(date)).cast("long")
     signed = F.when(F.col("_descending"), -day).when(~F.col("_descending"), day)
 
+    # last gap: no trusted row is past the date
+    last_gap = F.col("_day").isNotNull() & F.coalesce(F.col("_day") >= F.col("_main_max"), F.lit(True))
+    latest = F.max(F.when(_extra() & last_gap, F.col("_day"))).over(
+        part.orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1)
+    )
     past_first = part.orderBy(F.col("_day").desc_nulls_last(), (~_extra()).cast("int"))
     gap = F.min(F.when(_main() & F.col("_day").isNotNull(), F.col(POS))).over(
         past_first.rowsBetween(W.unboundedPreceding, 0)
     )
     placed = F.when(F.col("_day").isNotNull(), F.coalesce(gap, F.lit(_END))).otherwise(F.lit(_END))
     slot = F.when(_extra(), placed).otherwise(F.col(POS).cast("long"))
-
-    latest = F.max(F.when(_extra() & (F.col("_slot") == _END), F.col("_day"))).over(
-        part.orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1)
-    )
     final = part.orderBy(
         (F.col(RANK) >= 0).cast("int"),
         "_slot",
@@ -76,11 +77,13 @@ def splice(rows: DataFrame, key: str, date: str, number: str = "line_no", first:
         F.coalesce(F.col("_day"), F.col("_latest")).asc_nulls_first(),
         *arrival,
     )
+    # the windows up to `_latest` share one sort by arrival
     return (
         with_direction(rows, key, date)
         .withColumn("_day", signed)
-        .withColumn("_slot", slot)
+        .withColumn("_main_max", F.max(F.when(_main(), F.col("_day"))).over(part))
         .withColumn("_latest", latest)
+        .withColumn("_slot", slot)
         .withColumn(number, (F.row_number().over(final) + (first - 1)).cast("int"))
-        .drop("_descending", "_day", "_slot", "_latest")
+        .drop("_descending", "_day", "_main_max", "_slot", "_latest")
     )

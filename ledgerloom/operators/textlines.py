@@ -18,14 +18,24 @@ from ledgerloom.functions import classify, dates, money
 from ledgerloom.functions.text import bind, collapse, has_amount, has_date, strip
 
 
-def line_tag(line: Column) -> Column:
-    """Role of a stripped, non-blank line; NULL for page numbers and repeated headers."""
-    dated, priced = has_date(line), has_amount(line)
+def line_tag(line: Column, low: Column | None = None) -> Column:
+    """Role of a stripped, non-blank line; NULL for page numbers and repeated headers.
+
+    `low` is the lower-cased line if the caller has it. Substring tests implied by each pattern
+    come first, so that prose runs almost no regex.
+    """
+    low = F.lower(line) if low is None else low
+    page = low.startswith("page") & line.rlike(rules.PAGE_NUMBER_LINE)
+    header = F.contains(low, F.lit("particulars")) & line.rlike(rules.REPEATED_HEADER_LINE)
+    summary = classify.any_of(low, ("total", "balance", "forward", "/f")) & line.rlike(rules.SUMMARY_LINE)
+    closer = (low.startswith("ch") | low.startswith("ref")) & line.rlike(rules.CLOSER_LINE)
+    priced = F.contains(line, F.lit(".")) & has_amount(line)
     return (
-        F.when(line.rlike(rules.PAGE_NUMBER_LINE) | line.rlike(rules.REPEATED_HEADER_LINE), F.lit(None))
-        .when(line.rlike(rules.SUMMARY_LINE), "K")
-        .when(line.rlike(rules.CLOSER_LINE), "C")
-        .when(dated, F.when(priced, "S").otherwise("D"))
+        F.when(page | header, F.lit(None))
+        .when(summary, "K")
+        .when(closer, "C")
+        .when(~line.rlike("[0-9]"), "T")
+        .when(line.rlike(r"\d[-/.\s]") & has_date(line), F.when(priced, "S").otherwise("D"))
         .when(priced, "A")
         .otherwise("T")
     )
@@ -34,7 +44,8 @@ def line_tag(line: Column) -> Column:
 def _tagged_line(raw: Column) -> Column:
     def tag(line: Column) -> Column:
         marked = bind(
-            line_tag(line), lambda t: F.when(t.isin("K", "C"), t).otherwise(F.concat(t, line))
+            bind(F.lower(line), lambda low: line_tag(line, low)),
+            lambda t: F.when(t.isin("K", "C"), t).otherwise(F.concat(t, line)),
         )
         return F.when(line != "", marked)
 
@@ -88,7 +99,8 @@ def block_columns(block: Column) -> dict[str, Column]:
     most amounts (first on a tie) stand in for it.
     """
     whole = F.contains(block, F.lit("\nS"))
-    summary = F.regexp_extract(block, r"\nS([^\n]*)", 1)
+    after = F.substring_index(block, "\nS", -1)
+    summary = F.substring_index(after, "\n", 1)
     lines = F.split(F.substring(block, 2, 2147483647), "\n", -1)
     counts = F.transform(
         lines, lambda l: F.when(l.startswith("A"), F.size(money.amounts_in(l))).otherwise(F.lit(0))
@@ -101,7 +113,7 @@ def block_columns(block: Column) -> dict[str, Column]:
             lines, lambda l, i: (i != parts["dated"]) & (i != parts["best"]) & (l != "C")
         )
         return F.struct(
-            F.get(lines, parts["dated"]).alias("date_line"),
+            F.substring(F.get(lines, parts["dated"]), 2, 2147483647).alias("date_line"),
             F.substring(F.get(lines, parts["best"]), 2, 2147483647).alias("amount_line"),
             F.concat(F.lit("\n"), F.array_join(rest, "\n")).alias("rest"),
         )
@@ -110,7 +122,7 @@ def block_columns(block: Column) -> dict[str, Column]:
     whole_parts = F.struct(
         summary.alias("date_line"),
         summary.alias("amount_line"),
-        F.regexp_replace(block, r"\nS[^\n]*", "").alias("rest"),
+        F.concat(F.substring_index(block, "\nS", 1), after.substr(F.length(summary) + 1, F.length(after))).alias("rest"),
     )
     return {"_whole": whole, "_parts": F.when(whole, whole_parts).otherwise(split_parts)}
 
@@ -120,38 +132,45 @@ def with_text_transactions(df: DataFrame, block: str, prefix: str = "t_") -> Dat
     p = prefix
     parts, whole, amounts = F.col("_parts"), F.col("_whole"), F.col("_amounts")
     amount2 = money.last_amount(amounts, 2)
-    inline = F.btrim(
-        collapse(money.strip_tagged_amounts(dates.drop_dates(parts["amount_line"]), amounts)), F.lit(" -/:")
-    )
-    side = F.col("_side")
-    direction = F.coalesce(
-        F.when(whole, money.tag_of_amount(parts["amount_line"], amount2)),
-        classify.known(classify.narration_direction(F.col(p + "narration"))),
-        classify.default_direction(F.col(p + "txn_type")),
-    )
+    inline = F.btrim(collapse(money.strip_tagged_amounts(F.col("_dateless"), amounts)), F.lit(" -/:"))
+    narration = F.when(whole, F.concat_ws(" ", inline, _untag(parts["rest"]))).otherwise(_untag(parts["rest"]))
+    # a column that several later expressions read is a step of its own, so it is computed once
     return (
         df.withColumns(block_columns(F.col(block)))
-        .withColumns({"_amounts": money.amounts_in(parts["amount_line"])})
+        .withColumns(
+            {
+                "_amounts": money.amounts_in(parts["amount_line"]),
+                "_dateless": F.when(whole, dates.drop_dates(parts["amount_line"])),
+            }
+        )
         .withColumns(
             {
                 p + "txn_date_raw": dates.first_date(parts["date_line"]),
-                p + "narration": F.when(
-                    whole, collapse(F.concat_ws(" ", inline, _untag(parts["rest"])))
-                ).otherwise(collapse(_untag(parts["rest"]))),
+                p + "narration": collapse(narration),
                 "_amount": money.amount_value(amount2),
                 p + "running_balance": money.amount_value(money.last_amount(amounts)),
+                "_tag": F.when(whole, money.tag_of_amount(parts["amount_line"], amount2)),
+            }
+        )
+        .withColumns({"_low": F.lower(p + "narration"), "_up": F.upper(p + "narration")})
+        .withColumns({p + "txn_type": classify.txn_type_of_lower(F.col("_low"))})
+        .withColumns(
+            {
+                "_side": F.coalesce(
+                    F.col("_tag"),
+                    classify.side_of_upper(F.col("_up")),
+                    classify.default_direction(F.col(p + "txn_type")),
+                )
             }
         )
-        .withColumns({p + "txn_type": classify.txn_type(F.col(p + "narration"))})
-        .withColumns({"_side": direction})
         .withColumns(
             {
-                p + "debit_amount": F.when(side != classify.CREDIT, F.col("_amount")),
-                p + "credit_amount": F.when(side == classify.CREDIT, F.col("_amount")),
+                p + "debit_amount": F.when(F.col("_side") != classify.CREDIT, F.col("_amount")),
+                p + "credit_amount": F.when(F.col("_side") == classify.CREDIT, F.col("_amount")),
                 p + "classification_confidence": classify.confidence(F.col(p + "txn_type")),
             }
         )
-        .drop("_whole", "_parts", "_amounts", "_amount", "_side")
+        .drop("_whole", "_parts", "_amounts", "_dateless", "_amount", "_tag", "_low", "_up", "_side")
     )
 
 

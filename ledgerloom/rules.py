@@ -34,7 +34,7 @@ DATE_PATTERNS: tuple[str, ...] = (
     r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}",
 )
 AMOUNT_PATTERN = r"[\d,]+\.\d{2}"
-TAGGED_AMOUNT_PATTERN = r"([\d,]+\.\d{2})\s*\(?\s*(cr|dr)\.?\)?"
+TAGGED_AMOUNT_PATTERN = r"[\d,]+\.\d{2}\s*\(?\s*[CcDd][Rr]\.?\)?"
 
 # narration label -> pattern on the lower-cased narration, first match wins
 TYPE_RULES: tuple[tuple[str, str], ...] = (

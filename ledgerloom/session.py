@@ -20,6 +20,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # small inputs still use every core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # the JVM never compiles methods above 8000 bytes; long expression chains then run split up
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
