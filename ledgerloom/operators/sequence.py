@@ -81,7 +81,13 @@ def ordered_scan(
     )
 
     final = {number: (F.col(number) + F.col("_rows_before")).cast("long")} if number else {}
-    final |= {o: F.col(o) + F.coalesce(F.col(f"_before_{o}"), F.lit(0)) for o in sums}
+    # NULL only while every value so far is NULL
+    final |= {
+        o: F.when(F.col(o).isNull(), F.col(f"_before_{o}")).otherwise(
+            F.col(o) + F.coalesce(F.col(f"_before_{o}"), F.lit(0))
+        )
+        for o in sums
+    }
     final |= {o: F.coalesce(F.col(o), F.col(f"_carry_{o}")) for o in previous}
     scratch = [f"_before_{o}" for o in sums] + [f"_carry_{o}" for o in previous]
     return (

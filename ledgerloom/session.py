@@ -24,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # the JVM never compiles methods above 8000 bytes; long expression chains then run split up
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # building long expressions is mostly call-site capture otherwise
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
