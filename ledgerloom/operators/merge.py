@@ -96,9 +96,11 @@ def update_only(
 ) -> DataFrame:
     """Update the listed columns of matched rows, possibly to NULL; unmatched source rows are ignored.
 
-    The target may hold many rows per key, so the join is salted on its side.
+    When the target may hold many rows per key, name in `spread` the columns that tell them
+    apart: hot keys are then split.
     """
-    joined = salted_join(target, _incoming(source.select(key, *update), key), [key], "left", spread)
+    incoming = _incoming(source.select(key, *update), key)
+    joined = salted_join(target, incoming, [key], "left", spread) if spread else target.join(incoming, key, "left")
     return joined.select(*_pick(target, key, update, None))
 
 

@@ -148,7 +148,7 @@ def invalidate_next(
     cols = stage_columns(following)
     nulls = {cols[r]: F.lit(None).cast(_ROLE_TYPES[r]) for r in ("status", "error", "attempts")}
     source = touched.select(KEY).distinct().withColumns(nulls)
-    return update_only(log, source, KEY, list(nulls), spread=[KEY])
+    return update_only(log, source, KEY, list(nulls))
 
 
 def reset(log: DataFrame, stage: str, keys: Sequence[str]) -> DataFrame:
@@ -205,7 +205,7 @@ def sync_run_status(log: DataFrame, status_rows: DataFrame) -> DataFrame:
     """Copy each run's job and task state onto every log row stamped by it.
 
     Tasks a run did not report keep what the log has. One run may have stamped most of the log,
-    so the join is salted by statement.
+    so its rows are split by statement for the join.
     """
     cols = task_columns()
     missing = {c: F.lit(None).cast(t) for c, t in cols.items() if c not in log.columns}

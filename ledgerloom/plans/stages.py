@@ -174,7 +174,9 @@ def classify(warehouse: Warehouse, run_id: str) -> DataFrame:
         .filter(F.col("route") == "CPU")
         .select("statement_hash", "bank_format", "raw_text", "tables_json")
     )
-    staged = materialise(classify_documents(warehouse.eligible(docs, "classification")), "lines")
+    # eligibility is decided on keys alone, so texts that stay behind are never shuffled
+    keys = materialise(warehouse.eligible(docs.select("statement_hash"), "classification"), "classify-keys")
+    staged = materialise(classify_documents(docs.join(keys, "statement_hash", "left_semi")), "lines")
     status, lines = split_status(staged)
     touched = status.filter(F.col("status") != "FAILED").select("statement_hash")
     warehouse.lines.replace(lines.withColumn("classified_at", F.current_timestamp()), touched)

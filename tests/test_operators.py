@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 from ledgerloom import rules
 from ledgerloom.operators import merge
 from ledgerloom.operators.features import account_features, gated_features, validation_gate
-from ledgerloom.operators.joins import salted_join
+from ledgerloom.operators.joins import hot_keys, salted_join
 from ledgerloom.operators.reconcile import balance_chain, reconcile
 from ledgerloom.operators.sequence import CHUNK, ordered_scan, position_chunks, range_chunks
 
@@ -120,8 +120,10 @@ def test_gate_then_rollup_equals_rollup_of_gated(spark):
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_salted_join_is_exact(spark, how):
     big = spark.createDataFrame(skewed_rows(500), "k string, i long, v long")
-    unique = spark.createDataFrame([("hot", 1), ("k3", 2), ("zz", 3)], "k string, w int")
-    a, b = salted_join(big, unique, ["k"], how, ["i"]), big.join(unique, "k", how)
+    big = big.withColumn("k", F.when(F.col("k") != "k5", F.col("k")))
+    unique = spark.createDataFrame([("hot", 1), ("k3", 2), ("zz", 3), (None, 4)], "k string, w int")
+    a, b = salted_join(big, unique, ["k"], how, ["i"], hot_rows=20), big.join(unique, "k", how)
+    assert hot_keys(big, ["k"], 20).filter("k = 'hot'").first()["_parts"] > 10
     assert a.select(b.columns).exceptAll(b).isEmpty() and a.count() == b.count()
 
 

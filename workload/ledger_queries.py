@@ -10,6 +10,7 @@ from ledgerloom.functions import classify
 from ledgerloom.operators import features as feat
 from ledgerloom.operators.reconcile import balance_chain, reconcile
 from ledgerloom.operators.summary import breakdown, line_counts
+from ledgerloom.session import materialise
 from workload.fixtures import ACCOUNTS_SQL, STATEMENTS_SQL, account_lines, perturbed, statement_lines
 from workload.registry import query, table
 
@@ -101,7 +102,7 @@ def rounded_features(df: DataFrame) -> DataFrame:
            cast(is_checked and agrees as int) as is_reconciled from checked""",
 )
 def balance_chain_query(spark: SparkSession, d: str) -> DataFrame:
-    chain = balance_chain(perturbed(account_lines(spark, d)))
+    chain = balance_chain(materialise(perturbed(account_lines(spark, d)), "ledger"))
     return chain.select(
         "statement_hash", "line_no", "prev_balance",
         F.col("is_checked").cast("int").alias("is_checked"),
@@ -138,6 +139,7 @@ def features_gated(spark: SparkSession, d: str) -> DataFrame:
     lines = statement_lines(spark, d).withColumn(
         "running_balance", F.when(faulty, F.col("running_balance") + 10).otherwise(F.col("running_balance"))
     )
+    lines = materialise(lines, "ledger")
     gate = feat.validation_gate(reconcile(lines))
     return rounded_features(feat.gated_features(lines, gate))
 

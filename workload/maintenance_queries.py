@@ -87,14 +87,15 @@ def update_only_query(spark: SparkSession, d: str) -> DataFrame:
 )
 def replace_by_key_query(spark: SparkSession, d: str) -> DataFrame:
     cols = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
-    lines = table(spark, d, "lineitem").select(*cols)
+    apart = ["l_suppkey", "l_linenumber", "l_shipdate"]
+    lines = table(spark, d, "lineitem").select(*cols, *apart)
     touched = (
         table(spark, d, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
     )
     fresh = merge.keyed_slice(lines.filter(F.col("l_returnflag") == "R"), touched, "l_orderkey").withColumns(
         {"l_quantity": F.col("l_quantity") + 1, "l_returnflag": F.lit("fresh")}
     )
-    return merge.replace_by_key(lines, fresh, touched, "l_orderkey")
+    return merge.replace_by_key(lines, fresh, touched, "l_orderkey").select(*cols)
 
 
 @query(
@@ -115,7 +116,9 @@ def schema_sync(spark: SparkSession, d: str) -> DataFrame:
 def touched_slice(spark: SparkSession, d: str) -> DataFrame:
     """Run summary: counts per touched key only."""
     touched = table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    lines = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"
+    )
     mine = merge.keyed_slice(lines, touched.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
     return mine.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("line_count"),
