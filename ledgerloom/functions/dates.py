@@ -29,7 +29,7 @@ def drop_dates(line: Column) -> Column:
 
 
 def _month_numbers(names) -> Column:
-    return F.create_map(*[F.lit(v) for n, name in enumerate(names, 1) for v in (name, str(n))])
+    return F.expr("map(" + ", ".join(f"'{name}', '{n}'" for n, name in enumerate(names, 1)) + ")")
 
 
 def _month(name: Column, year: Column) -> Column:

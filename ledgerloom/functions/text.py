@@ -41,18 +41,25 @@ def content_hash(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
+# A text has a date (an amount) when it has the least of one: the shortest digits at both ends.
+# One leading digit class instead of alternatives keeps the scan of long prose cheap.
+_SOME_DATE = (
+    r"\d(?:[-/.]\d{1,2}[-/.]\d{2}|[-/.\s][A-Za-z]{3,9}[-/.\s]\d{2}|\d{3}[-/.]\d{1,2}[-/.]\d)"
+)
+_SOME_AMOUNT = r"[\d,]\.\d{2}"
+
+
 def has_date(c: Column) -> Column:
-    return c.rlike(rules.DATE_PATTERN)
+    return c.rlike(_SOME_DATE)
 
 
 def has_amount(c: Column) -> Column:
-    return c.rlike(rules.AMOUNT_PATTERN)
+    return c.rlike(_SOME_AMOUNT)
 
 
 def printable_length(c: Column) -> Column:
     """Characters that are neither control, format, unassigned nor separators; plain spaces count."""
-    spaces = F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
-    return F.length(F.regexp_replace(c, r"[\p{C}\p{Z}]", "")) + spaces
+    return F.length(F.regexp_replace(c, r"[[^ -~]&&[\p{C}\p{Z}]]", ""))
 
 
 def quality_score(text: Column, pages: Column, table_rows: Column) -> Column:
@@ -78,19 +85,22 @@ def route(score: Column) -> Column:
 
 def source_tag(text: Column) -> Column:
     """First issuer, in list order, with a keyword anywhere in the lower-cased text."""
-    low = F.lower(text)
-    tagged = None
-    for issuer, words in rules.ISSUERS:
-        hit = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
-        tagged = F.when(hit, issuer) if tagged is None else tagged.when(hit, issuer)
-    return tagged.otherwise("UNKNOWN")
+    def first_issuer(low: Column) -> Column:
+        tagged = None
+        for issuer, words in rules.ISSUERS:
+            hit = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
+            tagged = F.when(hit, issuer) if tagged is None else tagged.when(hit, issuer)
+        return tagged.otherwise("UNKNOWN")
+
+    return bind(F.lower(text), first_issuer)
 
 
 def keyword_matches(text: Column) -> Column:
     """How many gate keywords occur as substrings of the lower-cased text."""
-    low = F.lower(text)
-    hits = [F.contains(low, F.lit(w)).cast("int") for w in rules.GATE_KEYWORDS]
-    return F.coalesce(reduce(lambda a, b: a + b, hits), F.lit(0))
+    def count(low: Column) -> Column:
+        return reduce(lambda a, b: a + b, [F.contains(low, F.lit(w)).cast("int") for w in rules.GATE_KEYWORDS])
+
+    return F.coalesce(bind(F.lower(text), count), F.lit(0))
 
 
 def passes_gate(text: Column) -> Column:

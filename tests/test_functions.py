@@ -19,8 +19,7 @@ def apply(spark, values, fn, kind="string"):
     return [r["r"] for r in rows]
 
 
-@pytest.mark.parametrize("n", [0])
-def test_money_cells(spark, n):
+def test_money_cells(spark):
     cells = {
         "₹ 1,186.69": (1186.69, None), "Rs.1,186.69": (1186.69, None), "INR 1186.69": (1186.69, None),
         "1,186.69 Cr": (1186.69, "CREDIT"), "(100.00)": (-100.0, None), "249.00 (Dr)": (249.0, "DEBIT"),
@@ -140,3 +139,13 @@ def test_records_and_blobs(spark):
     tables = [[[f"{line}\n{line}", None]], [[line], [line]], [[f"{line}\n{line}", "b", "c"]], [[line]], []]
     assert apply(spark, tables, is_blob, "array<array<string>>") == [True, False, False, False, False]
     assert apply(spark, ["{bad", None, "[[[\"a\",null]]]"], read_grid) == [[], [], [[["a", None]]]]
+
+
+def test_detection_equals_the_full_patterns(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("0123./-, \nJanuary") for _ in range(rng.randint(0, 24))) for _ in range(3000)]
+    texts += ["1 Jan 24", "12-March-2024", "1/1/20", "2024.1.5", "1.1", "5 to 10", ",.00", "1,0.5"]
+    full = re.compile("|".join(rules.DATE_PATTERNS))
+    got = apply(spark, texts, lambda c: F.struct(text.has_date(c).alias("d"), text.has_amount(c).alias("a")))
+    assert [(r["d"], r["a"]) for r in got] == [
+        (bool(full.search(t)), bool(re.search(rules.AMOUNT_PATTERN, t))) for t in texts]

@@ -51,7 +51,11 @@ def _mention_sql(key: str) -> str:
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     """Documents as bronze rows: pages and table rows vary, texts are whole."""
-    docs = table(spark, d, "documents").select(
+    return _score(table(spark, d, "documents"))
+
+
+def _score(documents: DataFrame) -> DataFrame:
+    docs = documents.select(
         "doc_id",
         "source",
         F.concat_ws("\n", _mention("doc_id"), F.col("text")).alias("raw_text"),
@@ -118,7 +122,8 @@ def route_health_query(spark: SparkSession, d: str) -> DataFrame:
         order by doc_id desc limit 20""",
 )
 def recent_top20(spark: SparkSession, d: str) -> DataFrame:
-    return recent(_scored(spark, d), "doc_id", "source").select("doc_id", "bank_format", "score", "extraction_error")
+    latest = recent(table(spark, d, "documents"), "doc_id", "source")
+    return _score(latest).select("doc_id", "bank_format", "score", "extraction_error")
 
 
 _MATCHES_SQL = " + ".join(f"contains(low, '{w}')::int" for w in rules.GATE_KEYWORDS)
@@ -140,7 +145,12 @@ def keyword_gate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pick(key: str, choices: list[Column]) -> Column:
-    return F.element_at(F.array(*choices), (F.col(key) % len(choices) + 1).cast("int"))
+    """Choice by key; only the chosen one is computed."""
+    at = F.col(key) % len(choices)
+    chain = F.when(at == 0, choices[0])
+    for i, choice in enumerate(choices[1:], 1):
+        chain = chain.when(at == i, choice)
+    return chain
 
 
 @query(
