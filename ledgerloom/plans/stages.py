@@ -93,14 +93,17 @@ class Warehouse:
     def log(self) -> KeyedTable:
         return self._table("run_log", runlog.log_schema(self.policy, with_tasks=True))
 
-    def record(self, stage: str, results: DataFrame, run_id: str) -> None:
-        """Log a stage's materialised results."""
-        self.log.rewrite(results, lambda log: runlog.log_upsert(log, results, stage, run_id, self.policy))
+    def record(self, stage: str, results: DataFrame, run_id: str, touched: DataFrame | None = None) -> None:
+        """Log a stage's materialised results and, for `touched` among them, clear the next stage.
 
-    def invalidate(self, stage: str, touched: DataFrame) -> None:
-        """Clear the stage after `stage` for materialised keys."""
-        if self.policy.next_stage(stage):
-            self.log.rewrite(touched, lambda log: runlog.invalidate_next(log, touched, stage, self.policy))
+        Both changes go through one rewrite of the log.
+        """
+
+        def changed(log: DataFrame) -> DataFrame:
+            logged = runlog.log_upsert(log, results, stage, run_id, self.policy)
+            return logged if touched is None else runlog.invalidate_next(logged, touched, stage, self.policy)
+
+        self.log.rewrite(results, changed)
 
     def reset(self, stage: str, keys: list[str]) -> None:
         touched = self.spark.createDataFrame([(k,) for k in keys], "statement_hash string")
@@ -157,8 +160,8 @@ def backfill(warehouse: Warehouse, run_id: str) -> int:
         staged = materialise(extract(read_files(warehouse.spark, paths), "bronze_backfill"), "backfill")
         seconds = _seconds_since(start)
         warehouse.bronze.upsert(staged.withColumn("extraction_duration_sec", F.lit(seconds)))
-        warehouse.record("pdf_extraction", _extraction_results(staged, seconds), run_id)
-        warehouse.invalidate("pdf_extraction", staged.select("statement_hash"))
+        results = _extraction_results(staged, seconds)
+        warehouse.record("pdf_extraction", results, run_id, touched=staged.select("statement_hash"))
         done += staged.count()
     return done
 
@@ -181,8 +184,7 @@ def classify(warehouse: Warehouse, run_id: str) -> DataFrame:
     touched = status.filter(F.col("status") != "FAILED").select("statement_hash")
     warehouse.lines.replace(lines.withColumn("classified_at", F.current_timestamp()), touched)
     results = status.withColumn("duration_sec", F.lit(_seconds_since(start)))
-    warehouse.record("classification", results, run_id)
-    warehouse.invalidate("classification", touched)
+    warehouse.record("classification", results, run_id, touched)
     return line_counts(lines)
 
 
@@ -207,8 +209,7 @@ def validate(warehouse: Warehouse, run_id: str) -> DataFrame:
         F.lit(_seconds_since(start)).alias("duration_sec"),
         F.lit(None).cast("string").alias("error"),
     )
-    warehouse.record("validation", results, run_id)
-    warehouse.invalidate("validation", staged.select("statement_hash"))
+    warehouse.record("validation", results, run_id, touched=staged.select("statement_hash"))
     return staged.orderBy("statement_hash")
 
 

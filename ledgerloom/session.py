@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_roots: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerloom") -> SparkSession:
@@ -59,6 +60,20 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     Cuts lineage in a way that survives lost executors, freezes lazy inputs, and keeps an
     expensive plan from running once per consumer.
     """
-    path = new_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = new_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete what this application materialised so far; call it once a run's results are used.
+
+    Returns how many staged tables went.
+    """
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)

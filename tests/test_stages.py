@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.plans import runlog, stages
 from ledgerloom.rules import DEFAULT_POLICY
-from ledgerloom.sources.files import decode_files, export_csv, first_pages_pass_gate, read_files
+from ledgerloom.session import materialise, release_staged
+from ledgerloom.sources.files import decode_files, export_csv, first_pages_pass_gate, read_files, score_documents
 from ledgerloom.sources.store import KeyedTable, create_table, ensure_table_columns
 from ledgerloom.streaming.ingest import ingest_directory
 
@@ -192,3 +194,18 @@ def test_export_keeps_order(spark, tmp_path):
     for part in sorted((tmp_path / "out").glob("part-*.csv")):
         lines += part.read_text().splitlines()[1:]
     assert lines == [f"{i},{2 * i}" for i in range(1000)]
+
+
+def test_tables_kept_and_counted(spark):
+    doc = [("h", ["p"], [[["c", None]]] * 60, None)]
+    df = spark.createDataFrame(
+        doc, "statement_hash string, pages array<string>, tables array<array<array<string>>>, extraction_error string")
+    row = score_documents(df).first()
+    assert row.table_row_count == 60 and json.loads(row.tables_json) == [[["c", None]]] * 50
+
+
+def test_release_staged(spark, tmp_path):
+    staged = materialise(spark.range(3), "released")
+    folder = staged.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(folder) and release_staged(spark) >= 1 and not os.path.isdir(folder)
+    assert release_staged(spark) == 0

@@ -10,6 +10,7 @@ from ledgerloom.functions import dates, money, text
 from ledgerloom.operators.merge import one_per_key
 from ledgerloom.operators.summary import recent, route_health
 from ledgerloom.operators.textlines import line_tag, parse_text
+from ledgerloom.sources.files import first_pages_pass_gate, score_documents
 from workload.registry import query, table
 
 DATE_SQL = "|".join(rules.DATE_PATTERNS)
@@ -144,6 +145,41 @@ def keyword_gate(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_KEYWORDS_IN_HEAD_SQL = " + ".join(f"contains(head, '{w}')::int" for w in rules.GATE_KEYWORDS)
+
+
+@query(
+    "bronze_rows",
+    rf"""with paged as (
+      select doc_id, sha256(text) as statement_hash, string_split({_mention_sql("doc_id")} || chr(10) || text, chr(10)) as pages,
+             doc_id % 4 as t from documents),
+    docs as (
+      select *, array_to_string(pages, chr(10)) as raw_text, len(pages) as num_pages, t * 2 as table_rows,
+             lower(array_to_string(pages[1:2], chr(10))) as head from paged),
+    {_SCORED_SQL[_SCORED_SQL.index("sized as"):_SCORED_SQL.index("scored as")].rstrip().rstrip(",")},
+    scored as (
+      select *, round(density * 0.35::double + dated * 0.25::double + greatest(0.0::double, 1.0::double - garble * 5) * 0.2::double
+                + tabular * 0.2::double, 3) as score from parts)
+    select doc_id, statement_hash, num_pages, table_rows as table_row_count, case {_ISSUER_SQL} else 'UNKNOWN' end as bank_format,
+      score as extraction_confidence, case when score >= 0.6 then 'CPU' else 'GPU_FALLBACK' end as route, length(raw_text) as chars,
+      ({_KEYWORDS_IN_HEAD_SQL} >= 2)::int as passes from scored""",
+)
+def bronze_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with their lines as pages and up to three tables each -> bronze rows and gate verdict."""
+    cell_table = F.array(F.array(F.lit("a"), F.lit(None).cast("string")), F.array(F.lit("b")))
+    decoded = table(spark, d, "documents").select(
+        "doc_id",
+        text.content_hash(F.col("text")).alias("statement_hash"),
+        F.split(F.concat_ws("\n", _mention("doc_id"), F.col("text")), "\n", -1).alias("pages"),
+        F.array_repeat(cell_table, (F.col("doc_id") % 4).cast("int")).alias("tables"),
+        F.lit(None).cast("string").alias("extraction_error"),
+    ).withColumn("passes", first_pages_pass_gate(F.col("pages")).cast("int"))
+    return score_documents(decoded).select(
+        "doc_id", "statement_hash", "num_pages", "table_row_count", "bank_format", "extraction_confidence", "route",
+        F.length("raw_text").alias("chars"), "passes",
+    )
+
+
 def _pick(key: str, choices: list[Column]) -> Column:
     """Choice by key; only the chosen one is computed."""
     at = F.col(key) % len(choices)

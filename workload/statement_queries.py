@@ -14,7 +14,8 @@ from ledgerloom.operators.reconcile import reconcile
 from ledgerloom.operators.splice import POS, RANK, splice, with_direction
 from ledgerloom.operators.statements import classify_documents, split_status
 from ledgerloom.operators.textlines import parse_text
-from ledgerloom.session import materialise
+from ledgerloom.plans.stages import Warehouse, classify, roll_up, validate
+from ledgerloom.session import materialise, new_path
 from workload.fixtures import (
     ROWS_PER_TABLE,
     STATEMENTS_SQL,
@@ -363,3 +364,29 @@ def statements_to_features(spark: SparkSession, d: str) -> DataFrame:
     lines = materialise(parse_text(_bronze(statements, joined(F.col("text")), None)), "lines")
     gate = validation_gate(reconcile(lines))
     return rounded_features(account_features(lines).join(gate, "statement_hash", "inner"))
+
+
+@query(
+    "incremental_stages",
+    f"""with {STATEMENTS_SQL}, {_GRID_EXPECTED}, {chain_sql("grid")}, {VERDICT_SQL},
+    passing as (select g.* from grid g where statement_hash in
+      (select statement_hash from verdicts where validation_status in ('PASSED', 'PARTIAL')))
+    {features_sql("passing")}""",
+)
+def incremental_stages(spark: SparkSession, d: str) -> DataFrame:
+    """The stored stages: bronze rows with text and tables are logged, classified, validated, rolled up."""
+    house = Warehouse(spark, new_path(spark, "warehouse"), buckets=8)
+    statements = per_statement(statement_lines(spark, d), cells=grid_cells(), text=plain_text_line())
+    bronze = _bronze(statements, joined(F.col("text")), paged_tables(F.col("cells"))).withColumns(
+        {"route": F.lit("CPU"), "source_path": F.concat(F.lit("/in/"), F.col("statement_hash"))}
+    )
+    bronze = materialise(bronze, "bronze")
+    results = bronze.select("statement_hash", "source_path").withColumns(
+        {"status": F.lit("SUCCESS"), "duration_sec": F.lit(0.0), "error": F.lit(None).cast("string")}
+    )
+    house.bronze.insert_new(bronze)
+    house.record("pdf_extraction", results, "1")
+    classify(house, "1")
+    validate(house, "1")
+    roll_up(house, "1")
+    return rounded_features(house.features.read().drop("computed_at"))
