@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import rules
@@ -26,6 +26,16 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def add_steps(df: DataFrame, *steps: dict[str, Column], drop: tuple[str, ...] = ()) -> DataFrame:
+    """Add columns where later steps may read those of earlier ones.
+
+    One select with lateral column aliases: each name is computed once, and the plan is analysed
+    once instead of once per step.
+    """
+    named = [expr.alias(name) for step in steps for name, expr in step.items()]
+    return df.select("*", *named).drop(*drop)
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of blank from both ends."""
     return F.btrim(c, F.lit(rules.BLANKS))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions import classify, money
-from ledgerloom.functions.text import bind, has_amount, has_date, strip
+from ledgerloom.functions.text import add_steps, bind, has_amount, has_date, strip
 from ledgerloom.operators.textlines import text_blocks
 
 GRID_TYPE = "array<array<array<string>>>"
@@ -190,44 +190,37 @@ def with_grid_transactions(
         )
 
     # a column that several later expressions read is a step of its own, so it is computed once
-    return (
-        df.withColumns(
-            {
-                "_money": F.transform(row, money.parse_money),
-                "_raw": F.coalesce(_cell_at(row, cmap, "narration"), F.lit("")),
-            }
-        )
-        .withColumns({"_low": F.lower("_raw"), "_up": F.upper(strip(F.col("_raw"))), "_values": values})
-        .withColumns({"_type": classify.txn_type_of_lower(F.col("_low"))})
-        .withColumns(
-            {
-                "_words": words,
-                "_debit": cell_money("debit")["value"],
-                "_credit": cell_money("credit")["value"],
-                "_amount": cell_money("amount")["value"],
-                "_tag": cell_money("amount")["direction"],
-            }
-        )
-        .withColumns({"_amount_side": amount_side})
-        .withColumns(
-            {
-                p + "txn_date_raw": strip(_cell_at(row, cmap, "date")),
-                p + "narration": strip(F.col("_raw")),
-                p + "debit_amount": side(classify.DEBIT, "_debit"),
-                p + "credit_amount": side(classify.CREDIT, "_credit"),
-                p + "running_balance": F.coalesce(
-                    cell_money("balance")["value"], F.try_element_at(F.col("_values"), F.lit(-1))
-                ),
-                p + "classification_confidence": classify.confidence(F.col("_type")),
-            }
-        )
-        .withColumns(
-            {
-                p + "txn_type": classify.refine_other(
-                    F.col("_type"), F.col(p + "debit_amount"), F.col(p + "credit_amount")
-                )
-            }
-        )
-        .drop("_money", "_raw", "_low", "_up", "_type", "_words", "_values", "_debit", "_credit", "_amount", "_tag",
-              "_amount_side")
+    return add_steps(
+        df,
+        {
+            "_money": F.transform(row, money.parse_money),
+            "_raw": F.coalesce(_cell_at(row, cmap, "narration"), F.lit("")),
+        },
+        {"_low": F.lower("_raw"), "_up": F.upper(strip(F.col("_raw"))), "_values": values},
+        {"_type": classify.txn_type_of_lower(F.col("_low"))},
+        {
+            "_words": words,
+            "_debit": cell_money("debit")["value"],
+            "_credit": cell_money("credit")["value"],
+            "_amount": cell_money("amount")["value"],
+            "_tag": cell_money("amount")["direction"],
+        },
+        {"_amount_side": amount_side},
+        {
+            p + "txn_date_raw": strip(_cell_at(row, cmap, "date")),
+            p + "narration": strip(F.col("_raw")),
+            p + "debit_amount": side(classify.DEBIT, "_debit"),
+            p + "credit_amount": side(classify.CREDIT, "_credit"),
+            p + "running_balance": F.coalesce(
+                cell_money("balance")["value"], F.try_element_at(F.col("_values"), F.lit(-1))
+            ),
+            p + "classification_confidence": classify.confidence(F.col("_type")),
+        },
+        {
+            p + "txn_type": classify.refine_other(
+                F.col("_type"), F.col(p + "debit_amount"), F.col(p + "credit_amount")
+            )
+        },
+        drop=("_money", "_raw", "_low", "_up", "_type", "_words", "_values", "_debit", "_credit", "_amount", "_tag",
+          "_amount_side"),
     )

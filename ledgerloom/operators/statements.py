@@ -106,13 +106,15 @@ def statement_items(docs: DataFrame) -> DataFrame:
     )
 
 
-def classify_documents(docs: DataFrame) -> DataFrame:
+def classify_documents(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     """Classified lines and, per statement, one row of type `__STATUS__` (see `split_status`).
 
     Input: statement_hash (unique), bank_format, raw_text, tables_json. The parsed lines shuffle
-    once, by statement; all later windows reuse that partitioning.
+    once, by statement; all later windows reuse that partitioning. For `flag_first` see
+    `with_grid_transactions`.
     """
-    parsed = with_text_transactions(with_grid_transactions(statement_items(docs), "_cells", "_map"), "_block")
+    gridded = with_grid_transactions(statement_items(docs), "_cells", "_map", flag_first=flag_first)
+    parsed = with_text_transactions(gridded, "_block")
     grid = F.col(RANK) == _GRID
     status = F.col(RANK) < 0
     picked = {

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions import classify, dates, money
-from ledgerloom.functions.text import bind, collapse, has_amount, has_date, strip
+from ledgerloom.functions.text import add_steps, bind, collapse, has_amount, has_date, strip
 
 
 def line_tag(line: Column, low: Column | None = None) -> Column:
@@ -135,42 +135,35 @@ def with_text_transactions(df: DataFrame, block: str, prefix: str = "t_") -> Dat
     inline = F.btrim(collapse(money.strip_tagged_amounts(F.col("_dateless"), amounts)), F.lit(" -/:"))
     narration = F.when(whole, F.concat_ws(" ", inline, _untag(parts["rest"]))).otherwise(_untag(parts["rest"]))
     # a column that several later expressions read is a step of its own, so it is computed once
-    return (
-        df.withColumns(block_columns(F.col(block)))
-        .withColumns(
-            {
-                "_amounts": money.amounts_in(parts["amount_line"]),
-                "_dateless": F.when(whole, dates.drop_dates(parts["amount_line"])),
-            }
-        )
-        .withColumns(
-            {
-                p + "txn_date_raw": dates.first_date(parts["date_line"]),
-                p + "narration": collapse(narration),
-                "_amount": money.amount_value(amount2),
-                p + "running_balance": money.amount_value(money.last_amount(amounts)),
-                "_tag": F.when(whole, money.tag_of_amount(parts["amount_line"], amount2)),
-            }
-        )
-        .withColumns({"_low": F.lower(p + "narration"), "_up": F.upper(p + "narration")})
-        .withColumns({p + "txn_type": classify.txn_type_of_lower(F.col("_low"))})
-        .withColumns(
-            {
-                "_side": F.coalesce(
-                    F.col("_tag"),
-                    classify.side_of_upper(F.col("_up")),
-                    classify.default_direction(F.col(p + "txn_type")),
-                )
-            }
-        )
-        .withColumns(
-            {
-                p + "debit_amount": F.when(F.col("_side") != classify.CREDIT, F.col("_amount")),
-                p + "credit_amount": F.when(F.col("_side") == classify.CREDIT, F.col("_amount")),
-                p + "classification_confidence": classify.confidence(F.col(p + "txn_type")),
-            }
-        )
-        .drop("_whole", "_parts", "_amounts", "_dateless", "_amount", "_tag", "_low", "_up", "_side")
+    return add_steps(
+        df,
+        block_columns(F.col(block)),
+        {
+            "_amounts": money.amounts_in(parts["amount_line"]),
+            "_dateless": F.when(whole, dates.drop_dates(parts["amount_line"])),
+        },
+        {
+            p + "txn_date_raw": dates.first_date(parts["date_line"]),
+            p + "narration": collapse(narration),
+            "_amount": money.amount_value(amount2),
+            p + "running_balance": money.amount_value(money.last_amount(amounts)),
+            "_tag": F.when(whole, money.tag_of_amount(parts["amount_line"], amount2)),
+        },
+        {"_low": F.lower(p + "narration"), "_up": F.upper(p + "narration")},
+        {p + "txn_type": classify.txn_type_of_lower(F.col("_low"))},
+        {
+            "_side": F.coalesce(
+                F.col("_tag"),
+                classify.side_of_upper(F.col("_up")),
+                classify.default_direction(F.col(p + "txn_type")),
+            )
+        },
+        {
+            p + "debit_amount": F.when(F.col("_side") != classify.CREDIT, F.col("_amount")),
+            p + "credit_amount": F.when(F.col("_side") == classify.CREDIT, F.col("_amount")),
+            p + "classification_confidence": classify.confidence(F.col(p + "txn_type")),
+        },
+        drop=("_whole", "_parts", "_amounts", "_dateless", "_amount", "_tag", "_low", "_up", "_side"),
     )
 
 
@@ -184,10 +177,10 @@ def parse_text(docs: DataFrame, text: str = "raw_text") -> DataFrame:
     """Transactions of each statement's text: (other columns, line_no, transaction columns)."""
     keep = [c for c in docs.columns if c != text]
     blocks = docs.select(*keep, F.posexplode(text_blocks(F.col(text))).alias("_pos", "_block"))
-    parsed = with_text_transactions(blocks, "_block", "")
+    parsed = with_text_transactions(blocks, "_block")
     return parsed.select(
         *keep,
         (F.col("_pos") + 1).alias("line_no"),
-        *TXN_COLUMNS,
+        *[F.col(f"t_{c}").alias(c) for c in TXN_COLUMNS],
         F.lit("raw_text_block").alias("classification_method"),
     )

@@ -121,10 +121,10 @@ def test_splice_matches_one_by_one_insertion(spark):
     assert got == {k: v for k, v in expected.items() if v}
 
 
-def classified(spark, raw, tables):
+def classified(spark, raw, tables, **options):
     docs = spark.createDataFrame([("h", "SBI", raw, json.dumps(tables) if tables is not None else None)],
                                  "statement_hash string, bank_format string, raw_text string, tables_json string")
-    status, lines = split_status(classify_documents(docs))
+    status, lines = split_status(classify_documents(docs, **options))
     return status.first(), lines.orderBy("line_no").collect()
 
 
@@ -165,3 +165,12 @@ def test_one_bad_statement_fails_alone(spark):
     assert {r.statement_hash: r.status for r in status.collect()} == {
         "good": "SUCCESS", "bad": "FAILED", "none": "SUCCESS_EMPTY"}
     assert [r.statement_hash for r in lines.collect()] == ["good"]
+
+
+def test_flag_column_named_dr_cr(spark):
+    """The word "dr" claims the debit role; on request the column serves as the flag."""
+    tables = [[["Date", "Details", "Dr/Cr", "Amount", "Balance"], ["01/01/2024", "x", "CR", "5.00", "105.00"]]]
+    _, plain = classified(spark, None, tables)
+    _, flagged = classified(spark, None, tables, flag_first=True)
+    assert (plain[0].debit_amount, plain[0].credit_amount) == (5.0, None)
+    assert (flagged[0].debit_amount, flagged[0].credit_amount) == (None, 5.0)
