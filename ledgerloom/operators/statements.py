@@ -95,12 +95,16 @@ def statement_items(docs: DataFrame) -> DataFrame:
                 "_found": F.when(F.col("_failed"), none).otherwise(found),
             }
         )
+        .withColumns({"_any": F.size("_found") > 0})
+        # Only small columns ride along: an array read after the explode would be copied into every
+        # row. The exploded array is an expression, as for a bare column the optimizer would infer
+        # a size filter and push it, with all the parsing, below these steps.
         .select(
             "statement_hash",
             "bank_format",
             "_has_tables",
             "_failed",
-            (F.size("_found") > 0).alias("_any"),
+            "_any",
             F.inline(F.concat(status_item, F.col("_found"))),
         )
     )

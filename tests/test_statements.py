@@ -174,3 +174,15 @@ def test_flag_column_named_dr_cr(spark):
     _, flagged = classified(spark, None, tables, flag_first=True)
     assert (plain[0].debit_amount, plain[0].credit_amount) == (5.0, None)
     assert (flagged[0].debit_amount, flagged[0].credit_amount) == (None, 5.0)
+
+
+def test_long_statement_with_many_tables(spark):
+    """Arrays must not be copied into every exploded row."""
+    days = [(datetime.date(2020, 1, 1) + datetime.timedelta(days=i // 3)).strftime("%d/%m/%Y") for i in range(4000)]
+    rows = [[d, f"UPI/{i}", "1.00", "", f"{9000 - i}.00"] for i, d in enumerate(days)]
+    header = ["Date", "Narration", "Debit", "Credit", "Balance"]
+    tables = [([header] if i == 0 else []) + rows[i : i + 20] for i in range(0, 4000, 20)]
+    raw = "\n".join(f"{d} {n} {a} (Dr) {b} (Cr)" for d, n, a, _, b in rows)
+    status, lines = classified(spark, raw, tables)
+    assert status.status == "SUCCESS" and len(lines) == 4000
+    assert [l.narration for l in lines] == [r[1] for r in rows]
