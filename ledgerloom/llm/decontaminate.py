@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import arrow_map, prepare, record_batch
 
 #: An item is found where a part of a document is at most this share of the item's length away.
-MAX_DISTANCE = 0.15
+MAX_DISTANCE = 0.1
 #: Wanted chance to see an item of TYPICAL_CHARS that was edited that much at random places.
-RECALL = 0.95
+RECALL = 0.999
 TYPICAL_CHARS = 200
 #: Steps of the walk behind the first lookup and behind the whole key, and how many are sampled.
 SHORT_STEPS, SHORT_SAMPLES = 16, 8
@@ -38,8 +38,11 @@ STEPS, SAMPLES = 40, 16
 MIN_CHARS = 24
 #: Characters of benchmark text that one pass over the documents holds in each task.
 BLOCK_CHARS = 4 << 20
-#: Characters of document text that are walked at once.
-STRETCH = 1 << 20
+#: Characters of document text, and windows, that are walked at once.
+STRETCH = 1 << 19
+WINDOWS = 1 << 16
+#: Characters of the stretches whose number bounds the edit distance from below; four fit a number.
+GRAM = 4
 _BITMAP_BITS = 22
 _SEED = 20_240_601
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -102,10 +105,10 @@ class Walk:
     def advance(self, symbols: np.ndarray, at: np.ndarray, key: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
         """Pointers and keys after steps first to last."""
         for t in range(first, last):
-            read = symbols[at]
+            read = np.take(symbols, at, mode="clip")
             if t in self.sampled:
                 key = key * _GOLD + read
-            at = at + self.moves[t][read]
+            at = at + np.take(self.moves[t], read, mode="clip")
         return at, key
 
 
@@ -157,6 +160,7 @@ class Index:
             if len(chars) >= MIN_CHARS:
                 self.names.append(name)
                 self.items.append(chars)
+        self.grams = [grams(c) for c in self.items]
         self.walks = [Walk(k) for k in range(walks)]
         self.maps, self.keys, self.targets = [], [], []
         for walk in self.walks:
@@ -179,95 +183,99 @@ class Index:
             self.targets.append(np.array(targets, np.int64).reshape(-1, 2)[order])
 
     def candidates(self, chars: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place in the document where it would begin) of windows that share a key."""
+        """(item, place where it would begin) for windows of the characters that share a key."""
         found: set[tuple[int, int]] = set()
         symbols, all_starts = symbols_of(chars), word_starts(chars)
         for walk, bitmap, keys, targets in zip(self.walks, self.maps, self.keys, self.targets):
-            for s in range(0, len(all_starts), STRETCH // 6):
-                starts = all_starts[s : s + STRETCH // 6]
+            for s in range(0, len(all_starts), WINDOWS):
+                starts = all_starts[s : s + WINDOWS]
                 at, key = walk.advance(symbols, starts, np.zeros(len(starts), np.uint64), 0, SHORT_STEPS)
                 on = np.flatnonzero(bitmap[_spot(key)])
                 if not len(on):
                     continue
                 _, key = walk.advance(symbols, at[on], key[on], SHORT_STEPS, STEPS)
-                lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                for k in np.flatnonzero(hi > lo):
-                    for n, offset in targets[lo[k] : hi[k]].tolist():
+                lo = np.searchsorted(keys, key, "left")
+                hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == key)
+                hi = np.searchsorted(keys, key[hit], "right")
+                for k, end in zip(hit.tolist(), hi.tolist()):
+                    for n, offset in targets[lo[k] : end].tolist():
                         found.add((n, int(starts[on[k]]) - offset))
         return found
 
-    def matches(self, text: str) -> list[tuple[object, int, int, int]]:
-        """(item name, distance, start, end in the text) of each item the text holds, best place each."""
-        if not self.items or not text:
-            return []
-        chars, places = normalise(text)
-        best: dict[int, tuple[int, int, int]] = {}
+    def distance(self, n: int, stretch: np.ndarray) -> tuple[int, int] | None:
+        """(edit distance, end in the stretch) of item n, or None beyond the allowed distance."""
+        item, allowed = self.items[n], int(self.max_distance * len(self.items[n]))
+        # an edit destroys at most GRAM of the item's grams, so more missing ones rule it out
+        missing = ~np.isin(self.grams[n], grams(stretch))
+        if np.count_nonzero(missing) > GRAM * allowed:
+            return None
+        found = edit_distance_in(item, stretch)
+        return found if found[0] <= allowed else None
+
+    def matches(self, texts: list[str]) -> list[list[tuple[object, int, int, int]]]:
+        """Per text (item name, distance, start, end) of each item it holds, best place each.
+
+        The texts are walked in a row; a blank stands at either end of each.
+        """
+        normal = [normalise(t) for t in texts]
+        begins = np.zeros(len(texts) + 1, np.int64)
+        begins[1:] = np.cumsum([len(c) for c, _ in normal])
+        chars = np.concatenate([c for c, _ in normal])
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         tried: set[tuple[int, int]] = set()
         for n, begin in sorted(self.candidates(chars)):
-            item = self.items[n]
-            allowed = int(self.max_distance * len(item))
-            spot = (n, begin // (allowed + 1))
-            if spot in tried or best.get(n, (1,))[0] == 0:
-                continue
-            tried.add(spot)
-            slack = 2 * allowed + 1
-            lo, hi = max(0, begin - slack), min(len(chars), begin + len(item) + slack)
-            distance, end = edit_distance_in(item, chars[lo:hi])
-            if distance <= allowed and distance < best.get(n, (allowed + 1,))[0]:
-                first = int(places[min(max(lo + end - len(item), 0), len(places) - 1)])
-                last = int(places[lo + end - 1]) + 1
-                best[n] = (distance, max(0, first), min(last, len(text)))
-        return [(self.names[n], *found) for n, found in sorted(best.items())]
-
-
-def _joined(chars_of: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Documents in a row, and where each begins."""
-    begins = np.zeros(len(chars_of) + 1, np.int64)
-    begins[1:] = np.cumsum([len(c) for c in chars_of])
-    return np.concatenate(chars_of) if chars_of else np.empty(0, np.uint16), begins
+            size, allowed = len(self.items[n]), int(self.max_distance * len(self.items[n]))
+            doc = int(np.searchsorted(begins, max(begin + size // 2, 0), "right")) - 1
+            for d in {max(0, doc - 1), min(doc, len(texts) - 1), min(doc + 1, len(texts) - 1)}:
+                # the middle may lie in a neighbour if the item is cut off by the text's end
+                lo, hi = max(begins[d], begin - 2 * allowed - 1), min(begins[d + 1], begin + size + 2 * allowed + 1)
+                if hi - lo < size - allowed or best.get((d, n), (1,))[0] == 0:
+                    continue
+                spot = (n, int(lo) // (allowed + 1))
+                if spot in tried:
+                    continue
+                tried.add(spot)
+                found = self.distance(n, chars[lo:hi])
+                if found is None or found[0] >= best.get((d, n), (allowed + 1,))[0]:
+                    continue
+                end = int(lo) + found[1] - int(begins[d])
+                places = normal[d][1]
+                first, last = int(places[max(end - size, 0)]), int(places[max(end - 1, 0)]) + 1
+                best[d, n] = (found[0], max(0, first), min(last, len(texts[d])))
+        out: list[list] = [[] for _ in texts]
+        for (d, n), found in sorted(best.items()):
+            out[d].append((self.names[n], *found))
+        return out
+
+
+def grams(chars: np.ndarray) -> np.ndarray:
+    """Stretches of GRAM characters as numbers."""
+    if len(chars) < GRAM:
+        return np.empty(0, np.uint64)
+    out = np.zeros(len(chars) - GRAM + 1, np.uint64)
+    for k in range(GRAM):
+        out = (out << np.uint64(16)) | chars[k : len(chars) - GRAM + 1 + k]
+    return out
 
 
 def batch_matches(index: Index, texts: list[str | None]) -> list[list[tuple[object, int, int, int]]]:
-    """`matches` of each text. Short texts are walked together; only those with a candidate are compared."""
+    """`Index.matches` of each text, about STRETCH characters at once."""
     out: list[list] = [[] for _ in texts]
     if not index.items:
         return out
     group: list[int] = []
     size = 0
-
-    def work() -> None:
-        parts = [normalise(texts[i])[0] for i in group]
-        chars, begins = _joined(parts)
-        hits = {int(np.searchsorted(begins, min(max(b, 0), len(chars) - 1), "right")) - 1 for b in _places(index, chars)}
-        for h in hits:
-            out[group[h]] = index.matches(texts[group[h]])
-
     for i, text in enumerate(texts):
         if text:
             group.append(i)
             size += len(text)
-        if size >= STRETCH:
-            work()
+        if group and (size >= STRETCH or i == len(texts) - 1):
+            for k, found in zip(group, index.matches([texts[g] for g in group])):
+                out[k] = found
             group, size = [], 0
-    if group:
-        work()
     return out
 
 
-def _places(index: Index, chars: np.ndarray) -> set[int]:
-    """Word starts whose window shares a key with an item's."""
-    found: set[int] = set()
-    symbols, starts = symbols_of(chars), word_starts(chars)
-    for walk, bitmap, keys in zip(index.walks, index.maps, index.keys):
-        at, key = walk.advance(symbols, starts, np.zeros(len(starts), np.uint64), 0, SHORT_STEPS)
-        on = np.flatnonzero(bitmap[_spot(key)])
-        if len(on):
-            _, key = walk.advance(symbols, at[on], key[on], SHORT_STEPS, STEPS)
-            spot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            found.update(starts[on[keys[spot] == key]].tolist())
-    return found
-
-
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
     """Items in blocks of at most BLOCK_CHARS, or of one longer item."""
     block, size = [], 0
