@@ -2,8 +2,8 @@
 
 A bin is a sequence of fixed capacity, its gap the room that is left. A piece goes where the sum of
 the squared numbers of open bins per gap becomes smallest: moving a bin from gap g to gap g - s changes
-it by 2 (N(g - s) - N(g)) + 2, opening a bin by 2 N(C - s) + 1. Bins thus stay spread over all gaps, so
-that later pieces find one that fits.
+it by 2 (N(g - s) - N(g)) + 2, filling it up by 1 - 2 N(g). Bins thus stay spread over all gaps, so that
+later pieces find one that fits. As all pieces are known, a bin is opened only where no open one has room.
 
 Pieces as long as a sequence fill one alone. Only the one short piece of each document is placed:
 groups of about `per_group` pieces are dealt out by a hash and each group is packed, longest piece
@@ -53,15 +53,14 @@ class SumOfSquares:
         change = 2 * (counts[: c + 1 - size] - counts[size:]) + 2
         change[0] = 1 - 2 * counts[size]
         change[counts[size:] == 0] = np.iinfo(np.int64).max
-        anew = 2 * counts[c - size] + 1 if size < c else 0
         best = int(np.argmin(change))
-        if change[best] > anew:
-            number, gap = self.bins, c
-            self.bins += 1
-        else:
+        if counts[best + size]:
             gap = best + size
             number = self.open[gap].pop()
             counts[gap] -= 1
+        else:
+            number, gap = self.bins, c
+            self.bins += 1
         rest = gap - size
         if rest:
             self.open[rest].append(number)
