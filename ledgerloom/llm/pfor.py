@@ -1,6 +1,6 @@
 """Token ids in patched frame-of-reference segments.
 
-A segment holds the ids of consecutive documents. It is cut into blocks of 128 ids. A block keeps its
+A segment holds the ids of consecutive documents. It is cut into blocks of 512 ids. A block keeps its
 minimum; the differences are packed at the width that holds the given percentile of them, and the few
 that need more are stored as (position, high bits) exceptions. The segment lists the byte where each
 block starts, so any block can be read on its own.
@@ -28,9 +28,9 @@ from ledgerloom.llm.common import arrow_map, prepare, record_batch, text_or_empt
 from ledgerloom.session import new_path
 
 MAGIC = b"PFOR"
-BLOCK = 128
+BLOCK = 512
 #: Share of a block's differences that its width must hold.
-PERCENTILE = 90
+PERCENTILE = 98
 #: A segment is closed with the document that brings it to this many ids.
 SEGMENT_IDS = 1 << 18
 END_ID = 0
@@ -72,7 +72,7 @@ def encode_segment(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
         packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
         payload[starts[rows][:, None] + np.arange(packed.shape[1])] = packed
     where = np.nonzero(high)
-    spots = where[1].astype(np.uint8)
+    spots = where[1].astype("<u2")
     over = (rest[where] >> widths[where[0]]).astype("<u4")
     return b"".join(
         [
@@ -108,7 +108,7 @@ def decode_segment(segment: bytes, first: int = 0, last: int | None = None) -> n
     minima, widths, counts, starts = take("<u4", blocks), take("u1", blocks), take("<u2", blocks), take("<u8", blocks)
     payload = take("u1", int(take("<u8", 1)[0]))
     ends = np.cumsum(counts.astype(np.int64))
-    spots, over = take("u1", int(ends[-1])), take("<u4", int(ends[-1]))
+    spots, over = take("<u2", int(ends[-1])), take("<u4", int(ends[-1]))
     out = np.zeros((last - first, BLOCK), np.uint32)
     own = widths[first:last]
     for w in np.unique(own):
