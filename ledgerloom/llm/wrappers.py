@@ -42,6 +42,7 @@ BESIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "s
                 "widget", "toolbar", "pagination", "pager", "tags", "disclaimer"}
 BESIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 MAIN_TAGS = {"article", "main"}
+BLOCK_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "blockquote", "pre", "figcaption"}
 
 SLOT = "#"
 #: Longest repeated element, in tokens, that folding looks for.
@@ -212,7 +213,7 @@ def main_slots(slots: dict[str, list[int]]) -> tuple[list[str], list[str]]:
     mass: dict[str, int] = {}
     for p, n in text.items():
         labels = p.split("/")
-        for k in range(1, len(labels) + 1):
+        for k in range(1, len(labels) + (labels[-1].split("@")[0] not in BLOCK_TAGS)):
             prefix = "/".join(labels[:k])
             mass[prefix] = mass.get(prefix, 0) + n
     holders = [p for p, n in mass.items() if n >= MAIN_SHARE * total]
