@@ -10,10 +10,11 @@ grow with shingles times coordinates; the time is doubled while a coordinate is
 
 Coordinates are banded: 32 bands of 6 miss a pair of similarity 0.8 with a probability of 6e-5.
 Documents with the same word sequence are one class from the start. Classes that share a band are
-linked to the smallest of the band first; the linked ones become components; then, in bands that still
-hold several components, all pairs between different components are compared, so no pair within
-a component is ever listed and none between components is missed. Pairs are decided by their similarity
-over exact shingle sets, except where the estimate is further than four deviations from the threshold.
+linked to the smallest of the band first, and the linked ones become components. Bands that still hold
+several components are compared in full, but no pairs are listed for it: a band's classes are dealt to
+blocks, each two blocks meet in one task, and only pairs between components whose long signatures
+agree enough come out, once, in the first band they share. Pairs are decided by their similarity over exact
+shingle sets, except where the estimate is further than four deviations from the threshold.
 """
 
 from __future__ import annotations
@@ -34,6 +35,10 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 6
+#: Coordinates of the long signature, whose low bytes estimate the similarity of candidates.
+LONG = 1024
+#: Classes of a band in a block, about.
+BLOCK = 1024
 #: Deviations of the estimate from the threshold beyond which it decides alone.
 SURE = 4.0
 #: Words that a worker remembers the hash of.
@@ -119,7 +124,7 @@ def weighted_regions(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndar
     low, height = 1.0, 1.0
     while (weights > low).any():
         on = weights > low
-        names.append(mix(elements[on] ^ np.uint64(int(low)) * _M2))
+        names.append(mix(elements[on] ^ np.uint64(int(low) * int(_M2) % 2**64)))
         heights.append(np.full(int(on.sum()), height))
         covered.append(np.minimum(weights[on] - low, height))
         low, height = low + height, 2 * height
@@ -167,21 +172,20 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, bands: int, rows: int, weighting: str) -> DataFrame:
-    """Per row: uid, doc_id, text_hash, key (of its word sequence), and for the first row of a key in
-    a task its band keys and the low bytes of its signature."""
+    """Per row: uid, doc_id, text_hash, key (of its word sequence), and its band keys if it is the first
+    row of a key in a task."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, seen = RowIds(), set()
         for batch in batches:
-            keys, found, low = [], [], []
+            keys, found = [], []
             for text in batch.column("text").to_pylist():
                 words = word_hashes(text)
                 key = xxhash.xxh3_128_digest(words.tobytes()) if len(words) else None
                 keys.append(key)
                 if key is None or key in seen:
                     found.append(None)
-                    low.append(None)
                     continue
                 if len(seen) > 500_000:  # a key met again later only sends its sketch once more
                     seen.clear()
@@ -189,61 +193,115 @@ def sketches(docs: DataFrame, bands: int, rows: int, weighting: str) -> DataFram
                 elements, counts = shingles(words)
                 sig = signature(elements, counts if weighting == "count" else None, bands * rows)
                 found.append(band_keys(sig, bands, rows).view(np.int64).tolist())
-                low.append((sig & np.uint64(255)).astype(np.uint8).tobytes())
             yield record_batch(
                 uid=(list(ids.take(len(keys))), pa.int64()),
                 doc_id=(batch.column("doc_id"), None),
                 text_hash=(batch.column("text_hash"), None),
                 key=(keys, pa.binary()),
                 bands=(found, pa.list_(pa.int64())),
-                low=(low, pa.binary()),
             )
 
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), text_or_empty().alias("text"))
-    schema = f"uid long, doc_id {kind}, text_hash long, key binary, bands array<long>, low binary"
+    schema = f"uid long, doc_id {kind}, text_hash long, key binary, bands array<long>"
     return arrow_map(source, sketch, schema)
 
 
-def _estimated(pairs: DataFrame, low: DataFrame, threshold: float, size: int) -> DataFrame:
+def _verdicts(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(may reach the threshold, surely does) of long signatures, row by row."""
+    spread = SURE * (threshold * (1 - threshold) / LONG) ** 0.5
+    # low bytes also agree by chance
+    near = ((x == y).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
+    return near > threshold - spread, near > threshold + spread
+
+
+def _long(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), LONG)
+
+
+def _estimated(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) that may reach the threshold; `sure` where the estimate leaves no doubt."""
-    spread = SURE * (threshold * (1 - threshold) / size) ** 0.5
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(batch), size) for c in ("low_a", "low_b")
-            )
-            # low bytes also agree by chance
-            near = ((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(near > threshold + spread)], names=["a", "b", "sure"]
-            )
-            yield out.filter(pa.array(near > threshold - spread))
+            may, sure = _verdicts(_long(batch.column("long_a")), _long(batch.column("long_b")), threshold)
+            out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sure)], names=["a", "b", "sure"])
+            yield out.filter(pa.array(may))
 
-    both = pairs.join(low.select(F.col("uid").alias("a"), F.col("low").alias("low_a")), "a").join(
-        low.select(F.col("uid").alias("b"), F.col("low").alias("low_b")), "b"
+    both = pairs.join(sets.select(F.col("uid").alias("a"), F.col("long").alias("long_a")), "a").join(
+        sets.select(F.col("uid").alias("b"), F.col("long").alias("long_b")), "b"
     )
-    return arrow_map(both.select("a", "b", "low_a", "low_b"), estimate, "a long, b long, sure boolean")
+    return arrow_map(both.select("a", "b", "long_a", "long_b"), estimate, "a long, b long, sure boolean")
+
+
+def _across(placed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs as from `_estimated`, between components of the same band, for placed (band, rep, component, bands).
+
+    A band of n classes has n / BLOCK blocks; a class goes to each task that compares its block with
+    another, so rows grow as n times blocks, and comparing is array work on two blocks.
+    """
+    sizes = placed.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = placed.join(sizes, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "component", "bands")
+    dealt = dealt.join(sets.select(F.col("uid").alias("rep"), "long"), "rep")
+    columns = ("band", "lo", "hi", "own", "rep", "component", "bands", "long")
+    dealt = dealt.select(*columns).repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "rep")
+
+    def compare(key: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        band, lo, hi = key
+        kinds = (np.int32, np.int64, np.int64)
+        own, reps, parts = (np.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))
+        bands = np.array([r[3] for r in rows], np.int64)
+        low = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), LONG)
+        for i in np.flatnonzero(own == lo):
+            others = (own == hi) & (parts != parts[i])
+            if lo == hi:
+                others[: i + 1] = False
+            others = np.flatnonzero(others)
+            if not len(others):
+                continue
+            may, sure = _verdicts(low[others], low[i], threshold)
+            others, sure = others[may], sure[may]
+            # the first band that the two share reports them
+            first = (bands[others] == bands[i]).argmax(axis=1)
+            here = bands[i][first] == band
+            others, sure = others[here], sure[here]
+            if len(others):
+                a, b = np.maximum(reps[others], reps[i]), np.minimum(reps[others], reps[i])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure)], names=["a", "b", "sure"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+                if row[:3] != key:
+                    if len(rows) > 1:
+                        yield from compare(key, rows)
+                    key, rows = row[:3], []
+                rows.append(row[3:])
+        if len(rows) > 1:
+            yield from compare(key, rows)
+
+    return arrow_map(dealt, walk, "a long, b long, sure boolean")
 
 
-def _shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """uid, elements (sorted shingle hashes as bytes), counts of nodes (uid, doc_id, text_hash)."""
+def _shingle_sets(docs: DataFrame, nodes: DataFrame, weighting: str) -> DataFrame:
+    """uid, elements (sorted shingle hashes as bytes), counts and long signature of nodes (uid, doc_id, text_hash)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(word_hashes(t)) for t in batch.column("text").to_pylist()]
+            sigs = [signature(e, c if weighting == "count" else None, LONG) for e, c in sets]
             yield record_batch(
                 uid=(batch.column("uid"), None),
-                elements=([s[0].tobytes() for s in sets], pa.binary()),
-                counts=([s[1].astype("<u4").tobytes() for s in sets], pa.binary()),
+                elements=([e.tobytes() for e, _ in sets], pa.binary()),
+                counts=([c.astype("<u4").tobytes() for _, c in sets], pa.binary()),
+                long=([(s & np.uint64(255)).astype(np.uint8).tobytes() for s in sigs], pa.binary()),
             )
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), text_or_empty().alias("text"))
     own = texts.join(nodes, texts["doc_id"].eqNullSafe(nodes["doc_id"]) & (texts["text_hash"] == nodes["text_hash"]))
-    sets = arrow_map(own.select("uid", "text"), cut, "uid long, elements binary, counts binary")
-    return sets
+    return arrow_map(own.select("uid", "text"), cut, "uid long, elements binary, counts binary, long binary")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float, weighting: str) -> DataFrame:
@@ -288,39 +346,31 @@ def near_duplicates(
     rows = materialise(sketches(docs, bands, band_rows, weighting), "sketches")
     with_words = rows.filter(F.col("key").isNotNull())
     classes = with_words.groupBy("key").agg(
-        F.min("uid").alias("rep"), F.min_by(F.struct("doc_id", "text_hash", "bands", "low"), "uid").alias("first")
+        F.min("uid").alias("rep"), F.min_by(F.struct("doc_id", "text_hash", "bands"), "uid").alias("first")
     )
     classes = materialise(classes.select("key", "rep", "first.*"), "classes")
 
     banded = classes.select("rep", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("least")).filter("n > 1")
     members = materialise(banded.join(shared.select("band", "least"), "band"), "bands")
-    low = classes.select(F.col("rep").alias("uid"), "low")
+    names = classes.select(F.col("rep").alias("uid"), "doc_id", "text_hash")
+    nodes = names.join(members.select(F.col("rep").alias("uid")).distinct(), "uid", "left_semi")
+    sets = materialise(_shingle_sets(docs, nodes, weighting).dropDuplicates(["uid"]), "shingles")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        near = materialise(_estimated(pairs, low, similarity, bands * band_rows), "near")
+    def linked(near: DataFrame) -> DataFrame:
         doubt = near.filter(~F.col("sure")).select("a", "b")
-        nodes = doubt.select(F.col("a").alias("uid")).union(doubt.select("b")).distinct()
-        names = classes.select(F.col("rep").alias("uid"), "doc_id", "text_hash")
-        sets = materialise(_shingle_sets(docs, nodes.join(names, "uid")).dropDuplicates(["uid"]), "shingles")
-        return near.filter("sure").select("a", "b").union(_similar(doubt, sets, similarity, weighting))
+        return near.filter("sure").select("a", "b").union(_similar(doubt, sets, similarity, weighting)).toDF("u", "v")
 
     stars = members.filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
-    links = materialise(linked(stars).toDF("u", "v"), "stars")
-    first = materialise(components(links), "components")
+    links = materialise(linked(materialise(_estimated(stars, sets, similarity), "near")), "stars")
+    parts = materialise(components(links), "components")
 
-    placed = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
+    placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
         "band", "rep", F.coalesce("component", "rep").alias("component")
     )
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    placed = materialise(placed.join(mixed.select("band"), "band", "left_semi"), "mixed")
-    x = placed.select("band", F.col("rep").alias("a"), F.col("component").alias("ca"))
-    y = placed.select("band", F.col("rep").alias("b"), F.col("component").alias("cb"))
-    # pairs that were stars have been decided
-    across = x.join(y, "band").filter("ca < cb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    across = across.distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialise(linked(across).toDF("u", "v"), "across")
-    parts = first
+    placed = placed.join(mixed.select("band"), "band", "left_semi").join(classes.select("rep", "bands"), "rep")
+    more = materialise(linked(materialise(_across(placed, sets, similarity), "across")), "more")
     if not more.isEmpty():
         parts = components(links.unionByName(more))
 
