@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 #: Distinct words that a worker remembers at most: the first it meets, which the frequent ones are among.
-MEMORY_WORDS = 700_000
+MEMORY_WORDS = 900_000
 #: Longer words are not remembered.
 MEMORY_CHARS = 48
 #: Characters of a text that are worked on at once.
@@ -80,9 +80,14 @@ class WordEncoder:
     def _encode(self, words: list[str]) -> list[bytes]:
         return [self.pack(e) for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
-    def _uneven(self, word: str) -> bool:
-        """Whether the cut before this word depends on what stands to its left."""
-        return self.leading_blank and (not word or word[0].isspace() or word.startswith(self.special))
+    def _uneven(self, words: set[str]) -> bool:
+        """Whether the cut before one of these words depends on what stands to its left."""
+        if not self.leading_blank:
+            return False
+        firsts = {w[:1] for w in words}
+        if "" in firsts or any(map(str.isspace, firsts)):
+            return True
+        return any(s[0] in firsts for s in self.special) and any(w.startswith(self.special) for w in words)
 
     def _learn(self, new: set[str], extra: dict[str, bytes]) -> None:
         """Put the bytes of new words into the memory, or into `extra` where it is full."""
@@ -140,7 +145,7 @@ class WordEncoder:
         new = {w for w in words if w not in known}
         extra: dict[str, bytes] = {}
         if new:
-            if any(map(self._uneven, new)):
+            if self._uneven(new):
                 return None
             self._learn(new, extra)
         out = [known[w] for w in words] if not extra else [extra[w] if w in extra else known[w] for w in words]
