@@ -9,7 +9,8 @@ from ledgerloom.session import materialise
 
 
 def _least(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
+    # written down, so that the join with it deals both sides anew and may split a hub's partition
+    return materialise(links.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m")), "least")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

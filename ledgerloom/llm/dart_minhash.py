@@ -379,7 +379,8 @@ def near_duplicates(
     named = rows.select("uid", "doc_id", "text_hash", "key").join(by_key, "key", "left")
     named = materialise(named.select("uid", "doc_id", "text_hash", F.coalesce("component", "uid").alias("component")), "classes of rows")
     best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
-    heads = named.groupBy("component").agg(F.count("*").alias("class_size"), F.min(best).alias("best"))
+    # written down, so that the join with it may split a large class
+    heads = materialise(named.groupBy("component").agg(F.count("*").alias("class_size"), F.min(best).alias("best")), "heads")
     return named.join(heads, "component").select(
         "doc_id", "text_hash", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("best.uid")).alias("kept")
     )
