@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import text_or_empty
-from ledgerloom.session import new_path
+from ledgerloom.session import materialise, new_path
 
 
 SPAN = "struct<start:int,end:int>"
@@ -132,7 +132,8 @@ class BlobLedger:
             F.max(F.when((F.col("kind") == r.kind) & (F.col("rule_version") == r.version), F.struct("spans")))["spans"].alias(r.kind)
             for r in self.rules
         ]
-        hits = held.filter(F.size("spans") > 0).groupBy("blob").agg(*per_kind)
+        # written down, so that the join with it may split a blob of many versions
+        hits = materialise(held.filter(F.size("spans") > 0).groupBy("blob").agg(*per_kind), "secret-hits")
         none = F.array().cast(f"array<{SPAN}>")
         named = blobs(versions.select("doc_id", "text")).select("doc_id", "blob")
         return named.join(hits, "blob", "left").select("doc_id", "blob", *[F.coalesce(F.col(r.kind), none).alias(r.kind) for r in self.rules])
