@@ -13,31 +13,6 @@ from ledgerloom.functions.text import strip
 CREDIT, DEBIT, UNKNOWN = "CREDIT", "DEBIT", "UNKNOWN"
 
 
-# Substrings one of which every match of a rule contains. Most narrations match no rule or one,
-# and a substring test costs a fraction of a regex.
-_HINTS = {
-    "UPI": ("upi",),
-    "NEFT": ("neft",),
-    "RTGS": ("rtgs",),
-    "IMPS": ("imps",),
-    "FUND_TRANSFER": ("trf",),
-    "ATM_WITHDRAWL": ("atm",),
-    "POS_PURCHASE": ("pos", "pur"),
-    "CHEQUE": ("chq", "cheque", "clg"),
-    "SALARY_CREDIT": ("sal",),
-    "INTEREST": ("int",),
-    "BANK_CHARGES": ("charges", "chrg", "fee", "pentalty", "amb", "chg"),
-    "REVERSAL": ("rev", "return"),
-    "EMI": ("emi", "loan"),
-    "CASH_DEPOSIT": ("cdm", "cash", "bna"),
-    "ECS_NACH": ("ecs", "nach", "mandade"),
-    "BILL_PAYMENT": ("bil", "ecom"),
-    "TAX_GST": ("gst", "tds"),
-    "MOBILE_BANKING": ("mob", "ib"),
-    "SWEEP": ("sweep", "mod"),
-}
-
-
 def any_of(text: Column, words) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
 
@@ -51,7 +26,8 @@ def txn_type_of_lower(low: Column) -> Column:
     """`txn_type` for a narration that a column already holds lower-cased."""
     chain = None
     for label, pattern in rules.TYPE_RULES:
-        hit = any_of(low, _HINTS[label]) & low.rlike(pattern)
+        # most narrations match no rule or one, and a substring test costs a fraction of a regex
+        hit = any_of(low, rules.TYPE_HINTS[label]) & low.rlike(pattern)
         chain = F.when(hit, label) if chain is None else chain.when(hit, label)
     return chain.otherwise(rules.UNMATCHED_TYPE)
 

@@ -5,18 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COUNTED_TYPES = {
-    "salary_credit_count": "SALARY_CREDIT",
-    "atm_withdrawl_count": "ATM_WITHDRAWL",
-    "upi_txn_count": "UPI",
-    "bounce_or_reversal_count": "REVERSAL",
-    "emi_txn_count": "EMI",
-}
-PASSING = ("PASSED", "PARTIAL")
+from ledgerloom import rules
 
 
 def count_type(label: str) -> Column:
-    return F.sum(F.when(F.col("txn_type") == label, 1).otherwise(0))
+    return F.count_if(F.col("txn_type") == label)
 
 
 def account_features(lines: DataFrame) -> DataFrame:
@@ -33,12 +26,12 @@ def account_features(lines: DataFrame) -> DataFrame:
         F.min("running_balance").alias("min_balance"),
         F.max("running_balance").alias("max_balance"),
         F.avg("running_balance").alias("avg_balance"),
-        *[count_type(label).alias(out) for out, label in COUNTED_TYPES.items()],
+        *[count_type(label).alias(out) for out, label in rules.COUNTED_TYPES.items()],
         F.countDistinct("txn_type").alias("distinct_txn_types"),
     )
 
 
-def validation_gate(validated: DataFrame, statuses=PASSING) -> DataFrame:
+def validation_gate(validated: DataFrame, statuses=rules.PASSING) -> DataFrame:
     """Keys of statements that may be rolled up."""
     return validated.filter(F.col("validation_status").isin(*statuses)).select("statement_hash")
 

@@ -20,9 +20,9 @@ def read_grid(tables_json: Column) -> Column:
     return F.coalesce(F.from_json(tables_json, GRID_TYPE), F.array().cast(GRID_TYPE))
 
 
-def write_grid(tables: Column) -> Column:
-    """The first tables as JSON, as many as are kept per document."""
-    return F.to_json(F.slice(tables, 1, rules.TABLES_KEPT), {"ignoreNullFields": "false"})
+def write_grid(tables: Column, kept: int | None = None) -> Column:
+    """The tables as JSON: all of them, or the first `kept` of each document."""
+    return F.to_json(F.slice(tables, 1, kept) if kept else tables, {"ignoreNullFields": "false"})
 
 
 def grid_rows(tables: Column) -> Column:

@@ -110,14 +110,15 @@ def clear_columns(target: DataFrame, key: str, values: Sequence, columns: Sequen
     return target.withColumns({c: F.when(~hit | F.col(key).isNull(), F.col(c)) for c in columns})
 
 
-def replace_by_key(
-    target: DataFrame, fresh: DataFrame, touched: DataFrame, key: str, spread: Sequence[str] | None = None
-) -> DataFrame:
-    """Drop every target row of a touched key, then add the fresh rows; other keys stay."""
-    kept = salted_join(target, touched.select(key).distinct(), [key], "left_anti", spread)
+def replace_by_key(target: DataFrame, fresh: DataFrame, touched: DataFrame, key: str) -> DataFrame:
+    """Drop every target row of a touched key, then add the fresh rows; other keys stay.
+
+    Adaptive execution splits the target's hot keys, which it can for anti and semi joins.
+    """
+    kept = target.join(touched.select(key).distinct(), key, "left_anti").select(*target.columns)
     return kept.unionByName(fresh)
 
 
-def keyed_slice(df: DataFrame, touched: DataFrame, key: str, spread: Sequence[str] | None = None) -> DataFrame:
+def keyed_slice(df: DataFrame, touched: DataFrame, key: str) -> DataFrame:
     """Rows of the touched keys only (this run's statements)."""
-    return salted_join(df, touched.select(key).distinct(), [key], "left_semi", spread)
+    return df.join(touched.select(key).distinct(), key, "left_semi").select(*df.columns)

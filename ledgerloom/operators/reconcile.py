@@ -96,6 +96,12 @@ def reconcile(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     return counts.withColumns(_verdict())
 
 
+def no_lines(keys: DataFrame) -> DataFrame:
+    """The verdict on statements (statement_hash) that have no lines at all."""
+    counts = {c: F.lit(0).cast("int") for c in ("total_lines", "reconciled_lines", "mismatch_count")}
+    return keys.select("statement_hash").withColumns(counts).withColumns(_verdict())
+
+
 def _verdict() -> dict[str, Column]:
     total, ok, bad = F.col("total_lines"), F.col("reconciled_lines"), F.col("mismatch_count")
     failed_note = F.concat(bad.cast("string"), F.lit(" of "), total.cast("string"), F.lit(rules.NOTE_MISMATCH))

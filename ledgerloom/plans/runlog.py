@@ -63,13 +63,12 @@ def log_schema(policy: StagePolicy = DEFAULT_POLICY, with_tasks: bool = False) -
     return schema
 
 
-def is_eligible(status: Column, attempts: Column, version: Column, current: int, cap: int) -> Column:
-    """Never attempted, or failed below the cap, or last done by older logic (NULL is older)."""
-    return (
-        status.isNull()
-        | ((status == "FAILED") & (attempts < cap))
-        | (F.coalesce(version, F.lit(-1)) < current)
-    )
+def is_done(log: DataFrame, stage: str, policy: StagePolicy = DEFAULT_POLICY) -> Column:
+    """Whether a log row needs nothing from the stage: attempted, by the current logic, and not a failure
+    below the cap. Never NULL."""
+    status, attempts, version = (log[stage_columns(stage)[role]] for role in ("status", "attempts", "version"))
+    retry = status.eqNullSafe("FAILED") & F.coalesce(attempts < policy.retry_cap, F.lit(False))
+    return status.isNotNull() & F.coalesce(version >= policy.version(stage), F.lit(False)) & ~retry
 
 
 def eligible(
@@ -79,22 +78,9 @@ def eligible(
     key_col: str = KEY,
     policy: StagePolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Candidates (their own columns only) that the stage should process now."""
-    cols = stage_columns(stage)
-    log_slice = log.select(
-        F.col(KEY).alias("_log_key"),
-        F.col(cols["status"]).alias("_status"),
-        F.col(cols["attempts"]).alias("_attempts"),
-        F.col(cols["version"]).alias("_version"),
-    )
-    wanted = is_eligible(
-        F.col("_status"), F.col("_attempts"), F.col("_version"), policy.version(stage), policy.retry_cap
-    )
-    return (
-        candidates.join(log_slice, F.col(key_col) == F.col("_log_key"), "left")
-        .filter(wanted)
-        .select(*candidates.columns)
-    )
+    """Candidates (their own columns only) that the stage should process now: all but the done ones."""
+    finished = log.filter(is_done(log, stage, policy)).select(F.col(KEY).alias(key_col))
+    return candidates.join(finished, key_col, "left_anti").select(*candidates.columns)
 
 
 def log_upsert(

@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom import rules
+from ledgerloom.functions.text import content_hash
 from ledgerloom.operators.features import account_features, validation_gate
-from ledgerloom.operators.merge import keyed_slice, one_per_key
-from ledgerloom.operators.reconcile import reconcile
+from ledgerloom.operators.merge import one_per_key
+from ledgerloom.operators.reconcile import no_lines, reconcile
 from ledgerloom.operators.statements import LINES_SCHEMA, classify_documents, split_status
 from ledgerloom.operators.summary import line_counts
 from ledgerloom.plans import runlog
+from ledgerloom import rules
 from ledgerloom.rules import DEFAULT_POLICY, StagePolicy
 from ledgerloom.session import materialise
 from ledgerloom.sources.files import (
@@ -70,8 +71,8 @@ class Warehouse:
     policy: StagePolicy = field(default_factory=lambda: DEFAULT_POLICY)
     buckets: int = 32
 
-    def _table(self, name: str, schema: T.StructType, spread: list[str] | None = None) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/{name}", schema, "statement_hash", spread, self.buckets)
+    def _table(self, name: str, schema: T.StructType) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/{name}", schema, "statement_hash", self.buckets)
 
     @property
     def bronze(self) -> KeyedTable:
@@ -79,7 +80,7 @@ class Warehouse:
 
     @property
     def lines(self) -> KeyedTable:
-        return self._table("classified_transactions", LINES_SCHEMA, ["statement_hash", "line_no"])
+        return self._table("classified_transactions", LINES_SCHEMA)
 
     @property
     def validated(self) -> KeyedTable:
@@ -94,16 +95,17 @@ class Warehouse:
         return self._table("run_log", runlog.log_schema(self.policy, with_tasks=True))
 
     def record(self, stage: str, results: DataFrame, run_id: str, touched: DataFrame | None = None) -> None:
-        """Log a stage's materialised results and, for `touched` among them, clear the next stage.
+        """Log a stage's materialised results (one per statement) and, for `touched` among them, clear the
+        next stage.
 
-        Both changes go through one rewrite of the log.
+        Both changes go through one write of the log, which only appends statements that are new.
         """
 
         def changed(log: DataFrame) -> DataFrame:
             logged = runlog.log_upsert(log, results, stage, run_id, self.policy)
             return logged if touched is None else runlog.invalidate_next(logged, touched, stage, self.policy)
 
-        self.log.rewrite(results, changed)
+        self.log.rewrite(results.select("statement_hash").distinct(), changed)
 
     def reset(self, stage: str, keys: list[str]) -> None:
         touched = self.spark.createDataFrame([(k,) for k in keys], "statement_hash string")
@@ -118,8 +120,14 @@ def _seconds_since(start: float) -> float:
 
 
 def extract(files: DataFrame, label: str) -> DataFrame:
-    """(path, content) -> bronze rows, one per content; of equal files the smallest path stays."""
-    decoded = one_per_key(decode_files(files), "statement_hash", ["source_path"])
+    """(path, content) -> bronze rows, one per content; of equal files the smallest path stays.
+
+    The choice is made on hashes and paths alone, so contents are neither sorted nor shuffled for it
+    where the chosen paths fit a broadcast, and shuffled once where not.
+    """
+    named = files.select(content_hash(F.col("content")).alias("statement_hash"), F.col("path"))
+    chosen = one_per_key(named, "statement_hash", ["path"]).select("path")
+    decoded = decode_files(files.join(chosen, "path", "left_semi"))
     return score_documents(decoded).withColumns(
         {"ingested_at": F.current_timestamp(), "pipeline_stages": F.lit(label)}
     )
@@ -172,14 +180,11 @@ def classify(warehouse: Warehouse, run_id: str) -> DataFrame:
     Every statement that was read counts as touched, also one that now has no lines.
     """
     start = time.time()
-    docs = (
-        warehouse.bronze.read()
-        .filter(F.col("route") == "CPU")
-        .select("statement_hash", "bank_format", "raw_text", "tables_json")
-    )
-    # eligibility is decided on keys alone, so texts that stay behind are never shuffled
-    keys = materialise(warehouse.eligible(docs.select("statement_hash"), "classification"), "classify-keys")
-    staged = materialise(classify_documents(docs.join(keys, "statement_hash", "left_semi")), "lines")
+    bronze = warehouse.bronze.read().filter(F.col("route") == "CPU")
+    keys = materialise(warehouse.eligible(bronze.select("statement_hash"), "classification"), "classify-keys")
+    # texts are read from the keys' buckets alone
+    docs = warehouse.bronze.matching(keys).select("statement_hash", "bank_format", "raw_text", "tables_json")
+    staged = materialise(classify_documents(docs), "lines")
     status, lines = split_status(staged)
     touched = status.filter(F.col("status") != "FAILED").select("statement_hash")
     warehouse.lines.replace(lines.withColumn("classified_at", F.current_timestamp()), touched)
@@ -194,15 +199,19 @@ def gpu_fallback(warehouse: Warehouse) -> DataFrame:
 
 
 def validate(warehouse: Warehouse, run_id: str) -> DataFrame:
-    """Reconcile eligible statements; returns this run's verdicts."""
+    """Reconcile eligible statements; returns this run's verdicts.
+
+    Candidates are the statements that the log has as classified. One without lines fails, and loses
+    its features.
+    """
     start = time.time()
-    lines = warehouse.lines.read()
-    keys = materialise(
-        warehouse.eligible(lines.select("statement_hash").distinct(), "validation"), "validation-keys"
-    )
-    wanted = keyed_slice(lines, keys, "statement_hash", ["statement_hash", "line_no"])
-    staged = materialise(reconcile(wanted), "verdicts")
+    classified = warehouse.log.read().filter(F.col("classification_status").isin("SUCCESS", "SUCCESS_EMPTY"))
+    keys = materialise(warehouse.eligible(classified.select("statement_hash"), "validation"), "validation-keys")
+    judged = reconcile(warehouse.lines.matching(keys))
+    staged = materialise(judged.unionByName(no_lines(keys.join(judged, "statement_hash", "left_anti"))), "verdicts")
     warehouse.validated.upsert(staged.withColumn("validated_at", F.current_timestamp()))
+    empty = staged.filter(F.col("total_lines") == 0).select("statement_hash")
+    warehouse.features.replace(warehouse.features.read().limit(0), empty)
     results = staged.select(
         "statement_hash",
         F.lit("SUCCESS").alias("status"),
@@ -223,7 +232,7 @@ def roll_up(warehouse: Warehouse, run_id: str, retract: bool = False) -> DataFra
     passed = validation_gate(warehouse.validated.read())
     keys = materialise(warehouse.eligible(passed, "merge"), "merge-keys")
     try:
-        lines = keyed_slice(warehouse.lines.read(), keys, "statement_hash", ["statement_hash", "line_no"])
+        lines = warehouse.lines.matching(keys)
         staged = materialise(
             account_features(lines).withColumn("computed_at", F.current_timestamp()), "features"
         )
@@ -231,7 +240,7 @@ def roll_up(warehouse: Warehouse, run_id: str, retract: bool = False) -> DataFra
         if retract:
             failed = materialise(
                 warehouse.validated.read()
-                .filter(~F.col("validation_status").isin("PASSED", "PARTIAL"))
+                .filter(~F.col("validation_status").isin(*rules.PASSING))
                 .select("statement_hash"),
                 "retracted",
             )
@@ -248,7 +257,7 @@ def _merge_results(keys: DataFrame, status: str, start: float, error: str | None
         "statement_hash",
         F.lit(status).alias("status"),
         F.lit(_seconds_since(start)).alias("duration_sec"),
-        F.lit(error[: rules.ERROR_LENGTH] if error else None).cast("string").alias("error"),
+        F.lit(error).cast("string").alias("error"),
     )
 
 
@@ -263,5 +272,5 @@ def sync_status(warehouse: Warehouse, run_id: str, document: str) -> DataFrame:
         one = runlog.single_row(warehouse.spark, {"run_id": run_id, "document": document}, schema)
         stamped = materialise(log.filter(F.col("run_id") == run_id).select("statement_hash"), "stamped")
         rows = runlog.run_status_rows(one)
-        warehouse.log.rewrite(stamped, lambda current: runlog.sync_run_status(current, rows))
+        warehouse.log.rewrite(stamped.distinct(), lambda current: runlog.sync_run_status(current, rows))
     return runlog.run_summary(warehouse.log.read(), run_id)

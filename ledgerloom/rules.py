@@ -11,10 +11,7 @@ from dataclasses import dataclass
 QUALITY_THRESHOLD = 0.60
 BALANCE_TOLERANCE = 0.05
 RETRY_CAP = 3
-TABLES_KEPT = 50
-ERROR_LENGTH = 500
 GATE_MIN_MATCHES = 2
-GATE_PAGES = 2
 
 # issuer -> keywords, first issuer with any keyword in the text wins
 ISSUERS: tuple[tuple[str, tuple[str, ...]], ...] = (
@@ -58,6 +55,29 @@ TYPE_RULES: tuple[tuple[str, str], ...] = (
     ("MOBILE_BANKING", r"\bmob(ile)?[\s/\-]?bk?g?\b|\bib[\s/\-]?transfer\b"),
     ("SWEEP", r"\bsweep\b|\bmod\b"),
 )
+# label -> substrings one of which every match of its pattern contains; the same labels as above
+TYPE_HINTS: dict[str, tuple[str, ...]] = {
+    "UPI": ("upi",),
+    "NEFT": ("neft",),
+    "RTGS": ("rtgs",),
+    "IMPS": ("imps",),
+    "FUND_TRANSFER": ("trf",),
+    "ATM_WITHDRAWL": ("atm",),
+    "POS_PURCHASE": ("pos", "pur"),
+    "CHEQUE": ("chq", "cheque", "clg"),
+    "SALARY_CREDIT": ("sal",),
+    "INTEREST": ("int",),
+    "BANK_CHARGES": ("charges", "chrg", "fee", "pentalty", "amb", "chg"),
+    "REVERSAL": ("rev", "return"),
+    "EMI": ("emi", "loan"),
+    "CASH_DEPOSIT": ("cdm", "cash", "bna"),
+    "ECS_NACH": ("ecs", "nach", "mandade"),
+    "BILL_PAYMENT": ("bil", "ecom"),
+    "TAX_GST": ("gst", "tds"),
+    "MOBILE_BANKING": ("mob", "ib"),
+    "SWEEP": ("sweep", "mod"),
+}
+assert TYPE_HINTS.keys() == {label for label, _ in TYPE_RULES}
 UNMATCHED_TYPE = "OTHER"
 MATCH_CONFIDENCE = 0.9
 UNMATCHED_CONFIDENCE = 0.3
@@ -101,6 +121,16 @@ GATE_KEYWORDS: tuple[str, ...] = (
     "neft", "rtgs", "imps", "upi",
 )
 
+# label counted by each feature, and verdicts that let a statement into the features
+COUNTED_TYPES: dict[str, str] = {
+    "salary_credit_count": "SALARY_CREDIT",
+    "atm_withdrawl_count": "ATM_WITHDRAWL",
+    "upi_txn_count": "UPI",
+    "bounce_or_reversal_count": "REVERSAL",
+    "emi_txn_count": "EMI",
+}
+PASSING: tuple[str, ...] = ("PASSED", "PARTIAL")
+
 # reconciliation notes
 NOTE_EMPTY = "No parsed transaction lines"
 NOTE_UNVERIFIED = "No lines had both a prior balance and a debit/credit to check"

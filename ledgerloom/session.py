@@ -37,10 +37,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder for materialised tables: the one the cluster names, else our own (tests only)."""
+    """Folder for materialised tables: the one the cluster names; a local session may have its own.
+
+    On a cluster without one this fails: each executor would write to its own disk.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_roots:
         root = tempfile.mkdtemp(prefix="ledgerloom-")

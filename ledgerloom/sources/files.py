@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom import rules
 from ledgerloom.functions import text
 from ledgerloom.operators.grid import grid_rows, write_grid
 
@@ -97,21 +96,24 @@ def decode_files(files: DataFrame) -> DataFrame:
     )
 
 
-def first_pages_pass_gate(pages: Column) -> Column:
-    """Keyword gate on the first pages of a document; unreadable documents do not pass."""
-    head = F.array_join(F.slice(pages, 1, rules.GATE_PAGES), "\n", "")
+def pages_pass_gate(pages: Column, first: int | None = None) -> Column:
+    """Keyword gate on a whole document, or on its first pages; unreadable documents do not pass."""
+    head = F.array_join(F.slice(pages, 1, first) if first else pages, "\n", "")
     return F.coalesce(text.passes_gate(head), F.lit(False))
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Decoded documents -> bronze rows: joined text, kept tables, quality score, issuer, route."""
+def score_documents(docs: DataFrame, tables_kept: int | None = None) -> DataFrame:
+    """Decoded documents -> bronze rows: joined text, tables, quality score, issuer, route.
+
+    All tables are kept unless `tables_kept` says how many of each document.
+    """
     raw = F.coalesce(F.array_join("pages", "\n", ""), F.lit(""))
     return (
         docs.withColumns(
             {
                 "raw_text": raw,
                 "num_pages": F.coalesce(F.greatest(F.size("pages"), F.lit(0)), F.lit(0)),
-                "tables_json": F.coalesce(write_grid(F.col("tables")), F.lit("[]")),
+                "tables_json": F.coalesce(write_grid(F.col("tables"), tables_kept), F.lit("[]")),
                 "table_row_count": F.coalesce(grid_rows(F.col("tables")), F.lit(0)),
             }
         )
@@ -121,7 +123,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     F.col("raw_text"), F.col("num_pages"), F.col("table_row_count")
                 ),
                 "bank_format": text.source_tag(F.col("raw_text")),
-                "extraction_error": F.substring("extraction_error", 1, rules.ERROR_LENGTH),
             }
         )
         .withColumn("route", text.route(F.col("extraction_confidence")))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ledgerloom.plans import runlog, stages
 from ledgerloom.rules import DEFAULT_POLICY
 from ledgerloom.session import materialise, release_staged
-from ledgerloom.sources.files import decode_files, export_csv, first_pages_pass_gate, read_files, score_documents
+from ledgerloom.sources.files import decode_files, export_csv, pages_pass_gate, read_files, score_documents
 from ledgerloom.sources.store import KeyedTable, create_table, ensure_table_columns
 from ledgerloom.streaming.ingest import ingest_directory
 
@@ -82,6 +82,62 @@ def test_keyed_table(spark, tmp_path):
     assert {r.w for r in wider.read().collect()} == {None}
 
 
+def keyed(spark, path, buckets=4):
+    schema = T.StructType().add("k", "string").add("v", T.IntegerType())
+    table = KeyedTable(spark, str(path), schema, key="k", buckets=buckets)
+    return table, lambda rows: spark.createDataFrame(rows, "k string, v int")
+
+
+def test_bucket_count_is_kept(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
+    rows = [(f"k{i}", i) for i in range(200)]
+    table.append(frame(rows))
+    for other in (6, 8, 2):
+        with pytest.raises(ValueError):
+            keyed(spark, tmp_path / "t", other)
+    table.upsert(frame([("k7", -7), ("new", 1)]))
+    want = sorted([(k, v) for k, v in rows if k != "k7"] + [("k7", -7), ("new", 1)])
+    assert sorted(map(tuple, table.read().collect())) == want
+    wider = table.rebucket(str(tmp_path / "wider"), 9)
+    wider.upsert(frame([("k8", -8)]))
+    assert dict(wider.read().collect())["k8"] == -8 and wider.read().count() == 201
+
+
+def test_a_write_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    table, frame = keyed(spark, tmp_path / "t")
+    table.append(frame([("a", 1), ("b", 2)]))
+    monkeypatch.setattr(KeyedTable, "_switch", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    for write in (lambda: table.upsert(frame([("a", 9)])), lambda: table.append(frame([("c", 3)]))):
+        with pytest.raises(RuntimeError):
+            write()
+        assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2)]
+    monkeypatch.undo()
+    table.upsert(frame([("a", 9)]))
+    table.compact()
+    assert sorted(map(tuple, table.read().collect())) == [("a", 9), ("b", 2)]
+    assert len([n for n in os.listdir(tmp_path / "t") if n.startswith("_version")]) == 1
+
+
+def test_repeated_source_keys_are_refused(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
+    table.append(frame([("a", 1)]))
+    for write in (table.upsert, table.insert_new):
+        with pytest.raises(ValueError):
+            write(frame([("b", 1), ("b", 2)]))
+    assert table.read().count() == 1
+
+
+def test_new_keys_are_appended(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t", 64)
+    table.append(frame([(f"k{i}", i) for i in range(40)]))
+    table.upsert(frame([(f"n{i}", i) for i in range(40)]))
+    assert [v["replaced"] for v in table.versions()] == [[], []]
+    table.upsert(frame([("k0", -1), ("m0", 1)]))
+    assert [len(v["replaced"]) for v in table.versions()] == [1, 1, 0]
+    assert table.read().count() == 81
+    assert {r.k for r in table.matching(frame([("k0", 0), ("n1", 0), ("zz", 0)])).collect()} == {"k0", "n1"}
+
+
 def test_catalog_columns(spark, tmp_path):
     name = "sync_probe"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -169,6 +225,26 @@ def test_stages_end_to_end(spark, tmp_path, incoming):
     assert stages.sync_status(bumped, "interactive-1", "{}").count() == 0
 
 
+def test_statement_that_lost_its_lines(spark, tmp_path, incoming):
+    house = stages.Warehouse(spark, str(tmp_path / "tables"), buckets=2)
+    ingest_directory(house, str(incoming), str(tmp_path / "ckpt"), "1")
+    stages.classify(house, "1")
+    stages.validate(house, "1")
+    stages.roll_up(house, "1")
+    assert house.features.read().count() == 2
+    a = house.bronze.read().filter(F.col("statement_hash") == digest(document("a")))
+    house.bronze.upsert(materialise(a.withColumns({"raw_text": F.lit("nothing here"), "tables_json": F.lit("[]")})))
+    newer = stages.Warehouse(spark, house.root, DEFAULT_POLICY.bumped("classification"), buckets=2)
+    stages.classify(newer, "2")
+    verdicts = {r.statement_hash: r for r in stages.validate(newer, "2").collect()}
+    assert (verdicts[digest(document("a"))].validation_status, verdicts[digest(document("a"))].total_lines) == ("FAILED", 0)
+    assert verdicts[digest(document("b"))].validation_status == "PASSED"
+    stages.roll_up(newer, "2")
+    assert {r.statement_hash for r in newer.features.read().collect()} == {digest(document("b"))}
+    log = {r.statement_hash: r for r in newer.log.read().collect()}
+    assert log[digest(document("a"))].classification_status == "SUCCESS_EMPTY" and log[digest(document("a"))].validation_status == "SUCCESS"
+
+
 def test_failed_rollup_is_logged_and_raised(spark, tmp_path, monkeypatch):
     house = stages.Warehouse(spark, str(tmp_path / "tables"), buckets=2)
     house.validated.append(spark.createDataFrame([("a", "PASSED")], "statement_hash string, validation_status string"))
@@ -176,14 +252,14 @@ def test_failed_rollup_is_logged_and_raised(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         stages.roll_up(house, "9")
     row = house.log.read().first()
-    assert row.merge_status == "FAILED" and len(row.merge_error) == 500 and row.merge_attempt_count == 1
+    assert row.merge_status == "FAILED" and len(row.merge_error) == 900 and row.merge_attempt_count == 1
 
 
 def test_decoding_and_gate(spark, tmp_path, incoming):
     (incoming / "two.txt").write_text("IFSC first page\fdebit second page\fcredit third page")
     docs = decode_files(read_files(spark, str(incoming), "*.{json,txt}"))
     got = {r.source_path.rsplit("/", 1)[1]: (r.passes, r.extraction_error)
-           for r in docs.withColumn("passes", first_pages_pass_gate(F.col("pages"))).collect()}
+           for r in docs.withColumn("passes", pages_pass_gate(F.col("pages"))).collect()}
     assert got["two.txt"] == (True, None) and got["broken.json"] == (False, "document is not readable JSON")
 
 
@@ -201,6 +277,8 @@ def test_tables_kept_and_counted(spark):
     df = spark.createDataFrame(
         doc, "statement_hash string, pages array<string>, tables array<array<array<string>>>, extraction_error string")
     row = score_documents(df).first()
+    assert row.table_row_count == 60 and json.loads(row.tables_json) == [[["c", None]]] * 60
+    row = score_documents(df, tables_kept=50).first()
     assert row.table_row_count == 60 and json.loads(row.tables_json) == [[["c", None]]] * 50
 
 

@@ -10,7 +10,7 @@ from ledgerloom.functions import dates, money, text
 from ledgerloom.operators.merge import one_per_key
 from ledgerloom.operators.summary import recent, route_health
 from ledgerloom.operators.textlines import line_tag, parse_text
-from ledgerloom.sources.files import first_pages_pass_gate, score_documents
+from ledgerloom.sources.files import pages_pass_gate, score_documents
 from workload.registry import query, table
 
 DATE_SQL = "|".join(rules.DATE_PATTERNS)
@@ -173,13 +173,37 @@ def bronze_rows(spark: SparkSession, d: str) -> DataFrame:
         F.split(F.concat_ws("\n", _mention("doc_id"), F.col("text")), "\n", -1).alias("pages"),
         F.array_repeat(cell_table, (F.col("doc_id") % 4).cast("int")).alias("tables"),
         F.lit(None).cast("string").alias("extraction_error"),
-    ).withColumn("passes", first_pages_pass_gate(F.col("pages")).cast("int"))
+    ).withColumn("passes", pages_pass_gate(F.col("pages"), first=2).cast("int"))
     return score_documents(decoded).select(
         "doc_id", "statement_hash", "num_pages", "table_row_count", "bank_format", "extraction_confidence", "route",
         F.length("raw_text").alias("chars"), "passes",
     )
 
 
+@query(
+    "bronze_tables",
+    rf"""select doc_id, '[' || array_to_string(list_transform(range(50 + (doc_id % 20)::int),
+             lambda i: '[["' || i || '",null],["b"]]'), ',') || ']' as tables_json,
+           2 * (50 + doc_id % 20)::int as table_row_count, ({_KEYWORDS_IN_HEAD_SQL} >= 2)::int as passes
+    from (select doc_id, lower({_mention_sql("doc_id")} || chr(10) || text) as head from documents)""",
+)
+def bronze_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with 50 to 69 tables each: all of them stay, and the gate reads all pages."""
+    count = (50 + F.col("doc_id") % 20).cast("int")
+    tables = F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda i: F.array(F.array(i.cast("string"), F.lit(None).cast("string")), F.array(F.lit("b"))),
+    )
+    decoded = table(spark, d, "documents").select(
+        "doc_id",
+        text.content_hash(F.col("text")).alias("statement_hash"),
+        F.split(F.concat_ws("\n", _mention("doc_id"), F.col("text")), "\n", -1).alias("pages"),
+        tables.alias("tables"),
+        F.lit(None).cast("string").alias("extraction_error"),
+    ).withColumn("passes", pages_pass_gate(F.col("pages")).cast("int"))
+    return score_documents(decoded).select("doc_id", "tables_json", "table_row_count", "passes")
+
+
 def _pick(key: str, choices: list[Column]) -> Column:
     """Choice by key; only the chosen one is computed."""
     at = F.col(key) % len(choices)
