@@ -137,11 +137,12 @@ def _order_key() -> Column:
     return F.sha2(F.col("o_orderkey").cast("string"), 256)
 
 
-def _log(spark: SparkSession, d: str) -> DataFrame:
-    """Log rows of the orders before 1998; classification state by key, version by customer."""
+def log_rows(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    """Log rows of the orders before 1998, or of all; classification state by key, version by customer."""
     state = (F.col("o_orderkey") % 6 + 1).cast("int")
     version = F.when(F.col("o_orderkey") % 6 == 5, F.lit(None)).otherwise(_VERSION - F.col("o_custkey") % 2)
-    known = table(spark, d, "orders").filter(F.col("o_orderdate") < "1998-01-01").select(
+    orders = table(spark, d, "orders")
+    known = (orders if whole else orders.filter(F.col("o_orderdate") < "1998-01-01")).select(
         _order_key().alias("statement_hash"),
         F.concat(F.lit("/in/"), F.col("o_orderkey").cast("string")).alias("source_path"),
         F.substring("o_orderpriority", 1, 1).alias("run_id"),
@@ -160,13 +161,17 @@ def _log(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_LOG_SQL = f"""
+def log_sql(whole: bool = False) -> str:
+    return f"""
 log as (
   select sha256(o_orderkey::varchar) as statement_hash, '/in/' || o_orderkey as source_path, left(o_orderpriority, 1) as run_id,
     [null, 'SUCCESS', 'FAILED', 'FAILED', 'NEEDS_REVIEW', 'SUCCESS'][o_orderkey % 6 + 1] as status,
     1.5::double as duration, case when o_orderkey % 6 = 2 then 'bad' end as error, [null, 1, 1, 3, 3, 1][o_orderkey % 6 + 1] as attempts,
     case when o_orderkey % 6 <> 5 then {_VERSION} - o_custkey % 2 end as version, 'SUCCESS' as v_status, 2 as v_attempts
-  from orders where o_orderdate < date '1998-01-01')"""
+  from orders{"" if whole else " where o_orderdate < date '1998-01-01'"})"""
+
+
+_LOG_SQL, _WHOLE_SQL = log_sql(), log_sql(True)
 _SHOWN = {
     "status": "classification_status",
     "duration": "classification_duration_sec",
@@ -188,7 +193,7 @@ def _show(log: DataFrame, *more: str) -> DataFrame:
 )
 def eligible(spark: SparkSession, d: str) -> DataFrame:
     candidates = table(spark, d, "orders").select("o_orderkey", _order_key().alias("statement_hash"))
-    return runlog.eligible(candidates, _log(spark, d), "classification")
+    return runlog.eligible(candidates, log_rows(spark, d), "classification")
 
 
 @query(
@@ -200,7 +205,7 @@ def eligible(spark: SparkSession, d: str) -> DataFrame:
 def eligible_after_bump(spark: SparkSession, d: str) -> DataFrame:
     candidates = table(spark, d, "orders").select(_order_key().alias("statement_hash"))
     policy = rules.DEFAULT_POLICY.bumped("classification")
-    found = runlog.eligible(candidates, _log(spark, d), "classification", policy=policy)
+    found = runlog.eligible(candidates, log_rows(spark, d), "classification", policy=policy)
     return found.agg(F.count(F.lit(1)).alias("eligible"))
 
 
@@ -232,12 +237,12 @@ def log_upsert(spark: SparkSession, d: str) -> DataFrame:
         F.when(failed, "failed again").alias("error"),
     )
     twice = results.unionByName(results)
-    return _show(runlog.log_upsert(_log(spark, d), twice, "classification", "run-7"), "validation_status")
+    return _show(runlog.log_upsert(log_rows(spark, d), twice, "classification", "run-7"), "validation_status")
 
 
 @query(
     "invalidate_next",
-    f"""with {_LOG_SQL}, touched as (select sha256(o_orderkey::varchar) as k from orders where o_orderstatus = 'O')
+    f"""with {_WHOLE_SQL}, touched as (select sha256(o_orderkey::varchar) as k from orders where o_orderstatus = 'O')
     select statement_hash, status as classification_status, case when t.k is null then v_status end as validation_status,
            case when t.k is null then v_attempts end as validation_attempt_count, 3 as validation_logic_version
     from log left join touched t on t.k = statement_hash""",
@@ -246,7 +251,7 @@ def invalidate_next(spark: SparkSession, d: str) -> DataFrame:
     touched = table(spark, d, "orders").filter(F.col("o_orderstatus") == "O").select(
         _order_key().alias("statement_hash")
     )
-    log = runlog.invalidate_next(_log(spark, d), touched, "classification")
+    log = runlog.invalidate_next(log_rows(spark, d, whole=True), touched, "classification")
     return log.select(
         "statement_hash", "classification_status", "validation_status", "validation_attempt_count",
         "validation_logic_version",
@@ -258,7 +263,7 @@ _RESET_KEYS = ("1", "2", "3", "5", "1000000007")
 
 @query(
     "reset_key",
-    f"""with {_LOG_SQL}, marked as (
+    f"""with {_WHOLE_SQL}, marked as (
       select *, statement_hash in ({", ".join(f"sha256('{k}')" for k in _RESET_KEYS)}) as hit from log)
     select statement_hash, source_path, run_id, case when not hit then status end as classification_status,
       duration as classification_duration_sec, case when not hit then error end as classification_error,
@@ -267,17 +272,17 @@ _RESET_KEYS = ("1", "2", "3", "5", "1000000007")
 )
 def reset_key(spark: SparkSession, d: str) -> DataFrame:
     keys = [sha256(k.encode()).hexdigest() for k in _RESET_KEYS]
-    return _show(runlog.reset(_log(spark, d), "classification", keys))
+    return _show(runlog.reset(log_rows(spark, d, whole=True), "classification", keys))
 
 
 @query(
     "run_summary",
-    f"""with {_LOG_SQL} select statement_hash, source_path, status as classification_status,
+    f"""with {_WHOLE_SQL} select statement_hash, source_path, status as classification_status,
         duration as classification_duration_sec, error as classification_error, attempts as classification_attempt_count
         from log where run_id = '2'""",
 )
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
-    return runlog.run_summary(_log(spark, d), "2", "classification")
+    return runlog.run_summary(log_rows(spark, d, whole=True), "2", "classification")
 
 
 _RUNS_SQL = """
@@ -321,7 +326,7 @@ def _run_documents(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "task_sync",
-    f"""with {_LOG_SQL}, {_RUNS_SQL}
+    f"""with {_WHOLE_SQL}, {_RUNS_SQL}
     select statement_hash, run_id, round(f / 1000, 3) as pdf_extraction_task_duration_sec,
       'SUCCESS' as pdf_extraction_task_result_state, null::varchar as pdf_extraction_task_error,
       round(o / 1000, 3) as classification_task_duration_sec, round(p / 1000, 3) as validation_task_duration_sec,
@@ -331,7 +336,7 @@ def _run_documents(spark: SparkSession, d: str) -> DataFrame:
 )
 def task_sync(spark: SparkSession, d: str) -> DataFrame:
     """Status of five runs onto all log rows they stamped."""
-    synced = runlog.sync_run_status(_log(spark, d), runlog.run_status_rows(_run_documents(spark, d)))
+    synced = runlog.sync_run_status(log_rows(spark, d, whole=True), runlog.run_status_rows(_run_documents(spark, d)))
     return synced.select(
         "statement_hash", "run_id", "pdf_extraction_task_duration_sec", "pdf_extraction_task_result_state",
         "pdf_extraction_task_error", "classification_task_duration_sec", "validation_task_duration_sec",

@@ -38,7 +38,7 @@ _OUT = (
 _OUT_SQL = ", ".join(_OUT)
 
 
-def _bronze(statements: DataFrame, text: Column | None, tables: Column | None) -> DataFrame:
+def bronze_of(statements: DataFrame, text: Column | None, tables: Column | None) -> DataFrame:
     none = F.lit(None).cast("string")
     return statements.select(
         "statement_hash",
@@ -77,21 +77,21 @@ text_txns as (
 @query("parse_text_statement", f"with {STATEMENTS_SQL}, {_TEXT_EXPECTED} select {_OUT_SQL} from text_txns")
 def parse_text_statement(spark: SparkSession, d: str) -> DataFrame:
     statements = per_statement(statement_lines(spark, d), text=rich_text_line())
-    return parse_text(_bronze(statements, joined(F.col("text")), None)).select(*_OUT)
+    return parse_text(bronze_of(statements, joined(F.col("text")), None)).select(*_OUT)
 
 
-_GRID_EXPECTED = """
+GRID_EXPECTED = """
 grid as (
   select statement_hash, bank_format, user_id, line_no, day, event_id, cents, txn_date_raw, narration, debit_amount, credit_amount,
          running_balance, case when txn_type <> 'OTHER' then txn_type else 'CREDIT_OTHER' end as txn_type,
          txn_type as text_type, balance_cents, is_debit, 'table_extract' as classification_method from lines)"""
 
 
-@query("parse_table_statement", f"with {STATEMENTS_SQL}, {_GRID_EXPECTED} select {_OUT_SQL} from grid")
+@query("parse_table_statement", f"with {STATEMENTS_SQL}, {GRID_EXPECTED} select {_OUT_SQL} from grid")
 def parse_table_statement(spark: SparkSession, d: str) -> DataFrame:
     """Split debit/credit columns over several tables, the header only on the first."""
     statements = per_statement(statement_lines(spark, d), cells=grid_cells())
-    return _lines_of(_bronze(statements, None, paged_tables(F.col("cells"))))
+    return _lines_of(bronze_of(statements, None, paged_tables(F.col("cells"))))
 
 
 _FLAG_HEADER = ("Value Date", "Remarks", "Amount", "DC Indicator", "Closing Balance")
@@ -114,7 +114,7 @@ def _flag_cells() -> Column:
 
 @query(
     "table_single_amount",
-    f"""with {STATEMENTS_SQL}, {_GRID_EXPECTED},
+    f"""with {STATEMENTS_SQL}, {GRID_EXPECTED},
     sided as (select *, case when line_no % 3 = 2 and text_type = 'OTHER' then true else is_debit end as side from grid)
     select statement_hash, line_no, txn_date_raw, narration, case when side then cents / 100 end as debit_amount,
            case when not side then cents / 100 end as credit_amount, running_balance,
@@ -123,12 +123,12 @@ def _flag_cells() -> Column:
 )
 def table_single_amount(spark: SparkSession, d: str) -> DataFrame:
     statements = per_statement(statement_lines(spark, d), cells=_flag_cells())
-    return _lines_of(_bronze(statements, None, paged_tables(F.col("cells"), _FLAG_HEADER)))
+    return _lines_of(bronze_of(statements, None, paged_tables(F.col("cells"), _FLAG_HEADER)))
 
 
 @query(
     "table_money_fallback",
-    f"""with {STATEMENTS_SQL}, {_GRID_EXPECTED},
+    f"""with {STATEMENTS_SQL}, {GRID_EXPECTED},
     sided as (select *, text_type = 'OTHER' or is_debit as side from grid)
     select statement_hash, line_no, txn_date_raw, narration, case when side then cents / 100 end as debit_amount,
            case when not side then cents / 100 end as credit_amount, running_balance,
@@ -142,7 +142,7 @@ def table_money_fallback(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("INR "), money_text(F.col("balance_cents"))),
     )
     statements = per_statement(statement_lines(spark, d), cells=cells)
-    return _lines_of(_bronze(statements, None, paged_tables(F.col("cells"), ("Posting Date", "Particulars", "", "", ""))))
+    return _lines_of(bronze_of(statements, None, paged_tables(F.col("cells"), ("Posting Date", "Particulars", "", "", ""))))
 
 
 # header rows and, per role (date narration debit credit balance amount drcr), the claimed column
@@ -179,7 +179,7 @@ def map_header(spark: SparkSession, d: str) -> DataFrame:
 def header_carry(spark: SparkSession, d: str) -> DataFrame:
     """The map in force per table: its own, else the last one before it."""
     statements = per_statement(statement_lines(spark, d), cells=grid_cells())
-    docs = _bronze(statements, None, paged_tables(F.col("cells")))
+    docs = bronze_of(statements, None, paged_tables(F.col("cells")))
     tables = docs.select(
         "statement_hash", F.posexplode(mapped_tables(read_grid(F.col("tables_json")))).alias("_pos", "t")
     )
@@ -213,7 +213,7 @@ _ORDERED = """
 
 @query(
     "blob_recover",
-    f"""with {STATEMENTS_SQL}, {_GRID_EXPECTED},
+    f"""with {STATEMENTS_SQL}, {GRID_EXPECTED},
     marked as (select *, (line_no <= {ROWS_PER_TABLE})::int as extra, count(*) over (partition by statement_hash) as n from grid),
     kept as (select * from marked where extra = 0 or n > 1),
     ordered as ({_ORDERED.format(source="kept")})
@@ -226,7 +226,7 @@ _ORDERED = """
 def blob_recover(spark: SparkSession, d: str) -> DataFrame:
     """A squashed first page; a blob needs at least two packed lines, so one-line statements give none."""
     statements = per_statement(statement_lines(spark, d), cells=grid_cells(), serial=_serial_line())
-    return _lines_of(_bronze(statements, None, _first_page_as_blob(F.col("cells"), F.col("serial"))))
+    return _lines_of(bronze_of(statements, None, _first_page_as_blob(F.col("cells"), F.col("serial"))))
 
 
 @query(
@@ -254,7 +254,7 @@ def _kept_cells(cells: Column) -> Column:
 
 @query(
     "backfill_missing",
-    f"""with {STATEMENTS_SQL}, {_GRID_EXPECTED},
+    f"""with {STATEMENTS_SQL}, {GRID_EXPECTED},
     marked as (select *, (line_no % 6 = 2)::int as extra from grid),
     firsts as (select *, row_number() over (partition by statement_hash, txn_date_raw, balance_cents order by extra, line_no) as copy
                from marked),
@@ -270,7 +270,7 @@ def backfill_missing(spark: SparkSession, d: str) -> DataFrame:
     """Tables lack some lines that the text has; those come back, unless date and balance are known."""
     statements = per_statement(statement_lines(spark, d), cells=grid_cells(), text=plain_text_line())
     return _lines_of(
-        _bronze(statements, joined(F.col("text")), paged_tables(_kept_cells(F.col("cells"))))
+        bronze_of(statements, joined(F.col("text")), paged_tables(_kept_cells(F.col("cells"))))
     )
 
 
@@ -361,14 +361,14 @@ _FLAGSHIP_SQL = f"""{STATEMENTS_SQL}, {_TEXT_EXPECTED}, {chain_sql("text_txns")}
 def statements_to_features(spark: SparkSession, d: str) -> DataFrame:
     """Statement texts -> lines -> verdicts -> gate -> features."""
     statements = per_statement(statement_lines(spark, d), text=rich_text_line())
-    lines = materialise(parse_text(_bronze(statements, joined(F.col("text")), None)), "lines")
+    lines = materialise(parse_text(bronze_of(statements, joined(F.col("text")), None)), "lines")
     gate = validation_gate(reconcile(lines))
     return rounded_features(account_features(lines).join(gate, "statement_hash", "inner"))
 
 
 @query(
     "incremental_stages",
-    f"""with {STATEMENTS_SQL}, {_GRID_EXPECTED}, {chain_sql("grid")}, {VERDICT_SQL},
+    f"""with {STATEMENTS_SQL}, {GRID_EXPECTED}, {chain_sql("grid")}, {VERDICT_SQL},
     passing as (select g.* from grid g where statement_hash in
       (select statement_hash from verdicts where validation_status in ('PASSED', 'PARTIAL')))
     {features_sql("passing")}""",
@@ -377,7 +377,7 @@ def incremental_stages(spark: SparkSession, d: str) -> DataFrame:
     """The stored stages: bronze rows with text and tables are logged, classified, validated, rolled up."""
     house = Warehouse(spark, new_path(spark, "warehouse"), buckets=8)
     statements = per_statement(statement_lines(spark, d), cells=grid_cells(), text=plain_text_line())
-    bronze = _bronze(statements, joined(F.col("text")), paged_tables(F.col("cells"))).withColumns(
+    bronze = bronze_of(statements, joined(F.col("text")), paged_tables(F.col("cells"))).withColumns(
         {"route": F.lit("CPU"), "source_path": F.concat(F.lit("/in/"), F.col("statement_hash"))}
     )
     bronze = materialise(bronze, "bronze")
