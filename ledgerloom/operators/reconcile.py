@@ -36,9 +36,11 @@ def balance_chain(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame
     """Per line: previous balance, whether the line can be checked, whether it agrees.
 
     A line is checked when it has a balance, an earlier line has one, and its debit or credit
-    is not zero. Lines without a balance are skipped and do not move the chain.
+    is not zero. Lines without a balance are skipped and do not move the chain. Lines that come
+    with their chunk (contiguous in their statement) keep it.
     """
-    chunked = position_chunks(_normalised(lines), "line_no", chunk_lines)
+    normal = _normalised(lines)
+    chunked = normal if CHUNK in lines.columns else position_chunks(normal, "line_no", chunk_lines)
     scanned = ordered_scan(
         chunked, ["statement_hash"], ["line_no"], previous={"prev_balance": "running_balance"}
     ).drop(CHUNK)

@@ -80,12 +80,14 @@ def _statement_hash() -> Column:
     return F.sha2(F.concat_ws("-", F.col("user_id").cast("string"), F.col("block").cast("string")), 256)
 
 
-def account_lines(spark: SparkSession, d: str) -> DataFrame:
-    """All events of a user as one account, however many."""
-    chunked = range_chunks(_events(spark, d), ["user_id"], ["ts", "event_id"])
+def account_lines(spark: SparkSession, d: str, chunked: bool = False) -> DataFrame:
+    """All events of a user as one account, however many; `chunked` keeps the chunk of each line."""
+    chunks = range_chunks(_events(spark, d), ["user_id"], ["ts", "event_id"])
     scanned = ordered_scan(
-        chunked, ["user_id"], ["ts", "event_id"], number="line_no", sums={"balance_cents": F.col("signed")}
-    ).drop(CHUNK)
+        chunks, ["user_id"], ["ts", "event_id"], number="line_no", sums={"balance_cents": F.col("signed")}
+    )
+    if not chunked:
+        scanned = scanned.drop(CHUNK)
     opened = scanned.withColumn("balance_cents", F.col("balance_cents") + OPENING_CENTS)
     return _line_columns(opened).withColumn("statement_hash", F.sha2(F.col("user_id").cast("string"), 256))
 

@@ -102,7 +102,8 @@ def rounded_features(df: DataFrame) -> DataFrame:
            cast(is_checked and agrees as int) as is_reconciled from checked""",
 )
 def balance_chain_query(spark: SparkSession, d: str) -> DataFrame:
-    chain = balance_chain(materialise(perturbed(account_lines(spark, d)), "ledger"))
+    # the chunks that numbered the lines also carry the balances: the ledger is written once
+    chain = balance_chain(perturbed(account_lines(spark, d, chunked=True)))
     return chain.select(
         "statement_hash", "line_no", "prev_balance",
         F.col("is_checked").cast("int").alias("is_checked"),

@@ -17,8 +17,10 @@ from ledgerloom.operators.textlines import parse_text
 from ledgerloom.plans.stages import Warehouse, classify, roll_up, validate
 from ledgerloom.session import materialise, new_path
 from workload.fixtures import (
+    ACCOUNTS_SQL,
     ROWS_PER_TABLE,
     STATEMENTS_SQL,
+    account_lines,
     grid_cells,
     joined,
     money_text,
@@ -80,6 +82,19 @@ def parse_text_statement(spark: SparkSession, d: str) -> DataFrame:
     return parse_text(bronze_of(statements, joined(F.col("text")), None)).select(*_OUT)
 
 
+@query(
+    "long_statement_parse",
+    f"with {ACCOUNTS_SQL}, lines as (select * from accounts), {_TEXT_EXPECTED} select {_OUT_SQL} from text_txns",
+)
+def long_statement_parse(spark: SparkSession, d: str) -> DataFrame:
+    """One statement per user, however many events the user has."""
+    entry = F.struct("line_no", rich_text_line().alias("text"))
+    statements = account_lines(spark, d).groupBy("statement_hash").agg(
+        F.array_sort(F.collect_list(entry))["text"].alias("text"), F.first("bank_format").alias("bank_format")
+    )
+    return parse_text(bronze_of(statements, joined(F.col("text")), None)).select(*_OUT)
+
+
 GRID_EXPECTED = """
 grid as (
   select statement_hash, bank_format, user_id, line_no, day, event_id, cents, txn_date_raw, narration, debit_amount, credit_amount,
