@@ -27,7 +27,7 @@ CENTROIDS = 3
 DIMENSIONS = 8192
 UNKNOWN = "und"
 #: A text is rejected below this share of the smallest similarity seen in learning for its length.
-SLACK = 0.5
+SLACK = 0.25
 
 
 _BLANK_OR_LETTER = np.array([c if c >= 128 or chr(c).isalpha() else 32 for c in range(256)], np.uint8)
