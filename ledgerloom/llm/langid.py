@@ -1,10 +1,10 @@
 """Language identification by nearest centroids.
 
 A text becomes a vector of character n-gram counts (bytes of the lower-case letters, anything else as
-one blank; n = 1 to 3, hashed), damped, weighted by inverse document frequency and normalised. Each language has several centroids,
-found by spherical k-means over a bounded sample of labelled rows. A text gets the language of the
-most similar centroid. One that is further from it than learning texts of its length ever are is
-rejected.
+one blank; n = 1 to 3, hashed), damped, weighted by inverse document frequency and normalised. Each
+language has several centroids, found by spherical k-means over a bounded sample of labelled rows. A
+text gets the language of the most similar centroid. One whose similarity is far below that of all
+learning texts of its length is rejected.
 """
 
 from __future__ import annotations
