@@ -234,14 +234,14 @@ def _estimated(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 
 
 def _across(placed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs as from `_estimated`, between components of the same band, for placed (band, rep, component, bands).
+    """Pairs as from `_estimated`, between components of the same band, for placed (band, n, rep, component, bands).
 
     A band of n classes has n / BLOCK blocks; a class goes to each task that compares its block with
     another, so rows grow as n times blocks, and comparing is array work on two blocks.
     """
-    sizes = placed.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = placed.join(sizes, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    dealt = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "component", "bands")
     dealt = dealt.join(sets.select(F.col("uid").alias("rep"), "long"), "rep")
     columns = ("band", "lo", "hi", "own", "rep", "component", "bands", "long")
@@ -351,8 +351,9 @@ def near_duplicates(
     classes = materialise(classes.select("key", "rep", "first.*"), "classes")
 
     banded = classes.select("rep", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("least")).filter("n > 1")
-    members = materialise(banded.join(shared.select("band", "least"), "band"), "bands")
+    # written down, as `mixed` below, so that the join with it may split a large band
+    shared = materialise(banded.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("least")).filter("n > 1"), "shared")
+    members = materialise(banded.join(shared, "band"), "bands")
     names = classes.select(F.col("rep").alias("uid"), "doc_id", "text_hash")
     nodes = names.join(members.select(F.col("rep").alias("uid")).distinct(), "uid", "left_semi")
     sets = materialise(_shingle_sets(docs, nodes, weighting).dropDuplicates(["uid"]), "shingles")
@@ -366,10 +367,11 @@ def near_duplicates(
     parts = materialise(components(links), "components")
 
     placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("component")
+        "band", "n", "rep", F.coalesce("component", "rep").alias("component")
     )
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    placed = placed.join(mixed.select("band"), "band", "left_semi").join(classes.select("rep", "bands"), "rep")
+    mixed = materialise(mixed.select("band"), "mixed")
+    placed = placed.join(mixed, "band", "left_semi").join(classes.select("rep", "bands"), "rep")
     more = materialise(linked(materialise(_across(placed, sets, similarity), "across")), "more")
     if not more.isEmpty():
         parts = components(links.unionByName(more))
