@@ -37,9 +37,14 @@ END_ID = 0
 _HEAD = struct.Struct("<4sHHQQ")  # magic, block size, unused, ids, blocks
 
 
+_WIDTH_OF = np.array([n.bit_length() for n in range(1 << 16)], np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
-    """Bits that each value needs (0 for 0)."""
-    return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
+    """Bits that each value (uint32) needs, 0 for 0."""
+    low = _WIDTH_OF[values & np.uint32(0xFFFF)]
+    high = values >> np.uint32(16)
+    return np.where(high > 0, 16 + _WIDTH_OF[high], low).astype(np.uint8) if high.any() else low
 
 
 def encode_segment(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
@@ -67,9 +72,14 @@ def encode_segment(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
         if not w:
             continue
         rows = np.flatnonzero(widths == w)
-        low = (rest[rows] & np.uint32((1 << w) - 1)).astype("<u4")
-        bits = np.unpackbits(low.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=w)
-        packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
+        low = (rest[rows] & np.uint32((1 << w) - 1)).astype(np.uint64).reshape(len(rows), BLOCK // 8, 8)
+        packed = np.zeros((len(rows), BLOCK // 8, w), np.uint8)  # eight values fill w bytes
+        for k in range(8):
+            first, shift = divmod(k * w, 8)
+            moved = low[:, :, k] << np.uint64(shift)
+            for j in range(-(-(w + shift) // 8)):
+                packed[:, :, first + j] |= (moved >> np.uint64(8 * j)).astype(np.uint8)
+        packed = packed.reshape(len(rows), -1)
         payload[starts[rows][:, None] + np.arange(packed.shape[1])] = packed
     where = np.nonzero(high)
     spots = where[1].astype("<u2")
@@ -110,17 +120,18 @@ def decode_segment(segment: bytes, first: int = 0, last: int | None = None) -> n
     ends = np.cumsum(counts.astype(np.int64))
     spots, over = take("<u2", int(ends[-1])), take("<u4", int(ends[-1]))
     out = np.zeros((last - first, BLOCK), np.uint32)
-    own = widths[first:last]
+    own, begins = widths[first:last], starts[first:last].astype(np.int64)
+    # eight bytes from any byte on hold a value of up to 32 bits that begins in it
+    padded = np.concatenate([payload, np.zeros(8, np.uint8)])
+    window = np.ndarray(len(payload) + 1, "<u8", padded, strides=(1,))
     for w in np.unique(own):
         w = int(w)
         if not w:
             continue
         rows = np.flatnonzero(own == w)
-        packed = payload[starts[first:last][rows].astype(np.int64)[:, None] + np.arange(w * BLOCK // 8)]
-        bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, w)
-        wide = np.zeros((len(bits), 32), np.uint8)
-        wide[:, :w] = bits
-        out[rows] = np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(len(rows), BLOCK)
+        bit = np.arange(BLOCK) * w
+        read = window[begins[rows][:, None] + (bit >> 3)]
+        out[rows] = (read >> (bit & 7).astype(np.uint64)) & np.uint64((1 << w) - 1)
     lo, hi = int(ends[first] - counts[first]), int(ends[last - 1])
     block_of = np.repeat(np.arange(last - first), counts[first:last])
     out[block_of, spots[lo:hi]] |= over[lo:hi] << own[block_of].astype(np.uint32)

@@ -89,37 +89,28 @@ class WordEncoder:
             return True
         return any(s[0] in firsts for s in self.special) and any(w.startswith(self.special) for w in words)
 
-    def _learn(self, new: set[str], extra: dict[str, bytes]) -> None:
-        """Put the bytes of new words into the memory, or into `extra` where it is full."""
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Bytes of new words; they go into the memory while it has room.
+
+        Letters with signs behind them are quick to put together, so they take a fifth of it at most.
+        """
         known, tails = self.later, self.tails
         parts = {w: m.groups() for w in new if (m := _STEM_AND_TAIL.fullmatch(w))}
-        wanted = {stem for stem, _ in parts.values() if stem not in known} | {w for w in new if w not in parts}
-        listed = list(wanted)
-        packed = self._encode([f" {w}" for w in listed] if self.leading_blank else listed)
-        fresh = dict(zip(listed, packed))
-        for tail in {t for _, t in parts.values() if t not in tails}:
-            if len(tails) >= MEMORY_WORDS // 8:
-                tails.clear()
-            tails[tail] = self.pack_tail(tail)
-        room = MEMORY_WORDS - len(known)
-        for w, b in fresh.items():
-            if len(w) <= MEMORY_CHARS and room > 0:
-                known[w] = b
-                room -= 1
-            else:
-                extra[w] = b
+        listed = list({w for w in new if w not in parts} | {stem for stem, _ in parts.values() if stem not in known})
+        fresh = dict(zip(listed, self._encode([f" {w}" for w in listed] if self.leading_blank else listed)))
+        out = fresh.copy()
         for w, (stem, tail) in parts.items():
-            head = known.get(stem)
-            if head is None:
-                head = extra[stem]
             if tail not in tails:
+                if len(tails) >= MEMORY_WORDS // 8:
+                    tails.clear()
                 tails[tail] = self.pack_tail(tail)
-            b = head + self.moved(tails[tail], len(stem))
-            if len(w) <= MEMORY_CHARS and room > MEMORY_WORDS // 2:  # stems have the other half to themselves
-                known[w] = b
+            out[w] = (fresh.get(stem) or known[stem]) + self.moved(tails[tail], len(stem))
+        room = MEMORY_WORDS - len(known)
+        for w in (fresh if room <= 0.8 * MEMORY_WORDS else out):
+            if room > 0 and len(w) <= MEMORY_CHARS:
+                known[w] = out[w]
                 room -= 1
-            else:
-                extra[w] = b
+        return out
 
     def pack_tail(self, tail: str) -> bytes:
         return self._encode([tail])[0]
@@ -141,14 +132,15 @@ class WordEncoder:
                 head = self._encode([opening])[0]
                 if len(opening) <= MEMORY_CHARS and len(self.first) < MEMORY_WORDS // 8:
                     self.first[opening] = head
-        known = self.later
-        new = {w for w in words if w not in known}
-        extra: dict[str, bytes] = {}
-        if new:
+        out = list(map(self.later.get, words))
+        if None in out:
+            missing = [i for i, packed in enumerate(out) if packed is None]
+            new = {words[i] for i in missing}
             if self._uneven(new):
                 return None
-            self._learn(new, extra)
-        out = [known[w] for w in words] if not extra else [extra[w] if w in extra else known[w] for w in words]
+            learned = self._learn(new)
+            for i in missing:
+                out[i] = learned[words[i]]
         return out if head is None else [head, *out]
 
     def encode(self, text: str) -> bytes:
