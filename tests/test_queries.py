@@ -22,7 +22,12 @@ def oracle():
 def test_query(spark, oracle, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    cur = oracle.execute(entry.oracle_sql()[name])
+    sql = entry.oracle_sql().get(name)
+    if sql is None:  # beyond SQL: tests/llm holds these against brute force
+        assert name.startswith("op") or name == "pipeline"
+        assert rows and len(set(df.columns)) == len(df.columns)
+        return
+    cur = oracle.execute(sql)
     columns = [c[0] for c in cur.description]
     assert sorted(columns) == sorted(df.columns)
     assert canonical(df.columns, rows) == canonical(columns, cur.fetchall())
