@@ -63,6 +63,8 @@ def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
         yield text[start:cut]
         start = cut
     yield text[start:]
+#: Letters up to here are letters in every version of the character tables.
+_LAST_LETTER = "\u024f"
 
 
 class WordEncoder:
@@ -80,6 +82,18 @@ class WordEncoder:
     def _encode(self, words: list[str]) -> list[bytes]:
         return [self.pack(e) for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
+    def _encode_pieces(self, words: list[str]) -> dict[str, bytes]:
+        """Packed ids of distinct words that the tokenizer cuts apart before their blanks and nowhere else."""
+        encoding = self.tokenizer.encode("".join([f" {w}" for w in words]), add_special_tokens=False)
+        packed, cuts, last = self.pack(encoding), [], None
+        for i, word in enumerate(encoding.word_ids):
+            if word != last:
+                cuts.append(4 * i)
+                last = word
+        if len(cuts) != len(words):
+            return dict(zip(words, self._encode([f" {w}" for w in words])))
+        return {w: packed[a:b] for w, a, b in zip(words, cuts, [*cuts[1:], len(packed)])}
+
     def _uneven(self, words: set[str]) -> bool:
         """Whether the cut before one of these words depends on what stands to its left."""
         if not self.leading_blank:
@@ -96,8 +110,20 @@ class WordEncoder:
         """
         known, tails = self.later, self.tails
         parts = {w: m.groups() for w in new if (m := _STEM_AND_TAIL.fullmatch(w))}
-        listed = list({w for w in new if w not in parts} | {stem for stem, _ in parts.values() if stem not in known})
-        fresh = dict(zip(listed, self._encode([f" {w}" for w in listed] if self.leading_blank else listed)))
+        letters = {stem for stem, _ in parts.values() if stem not in known}
+        others = new.difference(parts)
+        if self.leading_blank:
+            # words of letters alone are one piece each for the tokenizer, so they can go in one text
+            whole = {w for w in others if w.isalpha() and max(w) <= _LAST_LETTER}
+            letters |= whole
+            others -= whole
+        else:
+            others |= letters
+            letters = set()
+        fresh = self._encode_pieces(list(letters)) if letters else {}
+        if others:
+            listed = list(others)
+            fresh |= zip(listed, self._encode([f" {w}" for w in listed] if self.leading_blank else listed))
         out = fresh.copy()
         for w, (stem, tail) in parts.items():
             if tail not in tails:
