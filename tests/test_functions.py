@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions import classify, dates, money, text
-from ledgerloom.functions.classify import _HINTS
 from ledgerloom.operators.grid import header_map, is_blob, read_grid, split_records
 
 
@@ -80,7 +79,7 @@ def test_rule_hints_are_implied(spark):
     for label, pattern in rules.TYPE_RULES:
         for sample in alternatives.get(label, [label.lower()[:4] + "/", "trf"]):
             if re.search(pattern, sample):
-                assert any(h in sample for h in _HINTS[label]), (label, sample)
+                assert any(h in sample for h in rules.TYPE_HINTS[label]), (label, sample)
     first = [(s, next(n for n, p in rules.TYPE_RULES if re.search(p, s)))
              for group in alternatives.values() for s in group if any(re.search(p, s) for _, p in rules.TYPE_RULES)]
     assert apply(spark, [s.upper() for s, _ in first], classify.txn_type) == [n for _, n in first]

@@ -145,7 +145,7 @@ def test_merges(spark):
         ("x", None, "p"), ("y", 2, "q")]
     many = kv(spark, [("x", i, "old") for i in range(5)] + [("y", 1, "old")])
     fresh = kv(spark, [("x", 7, "new")])
-    assert rows(merge.replace_by_key(many, fresh, kv(spark, [("x", 0, ""), ("gone", 0, "")]), "k", ["a"])) == [
+    assert rows(merge.replace_by_key(many, fresh, kv(spark, [("x", 0, ""), ("gone", 0, "")]), "k")) == [
         ("x", 7, "new"), ("y", 1, "old")]
     assert rows(merge.clear_columns(target, "k", ["x"], ["b"])) == [("x", 1, None), ("y", 2, "q")]
     with pytest.raises(ValueError):
