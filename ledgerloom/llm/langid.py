@@ -26,6 +26,8 @@ SAMPLE_BYTES = 48 << 20
 CENTROIDS = 3
 DIMENSIONS = 8192
 UNKNOWN = "und"
+#: Length classes whose texts (under 16 characters) are not rejected for their distance.
+SHORT_CLASSES = 2
 #: A text is rejected below this share of the smallest similarity seen in learning for its length.
 SLACK = 0.25
 
@@ -120,12 +122,12 @@ def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS, dimensions: int
     owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
     centres = np.concatenate(found).astype(np.float32)
     near = (points @ centres.T).max(axis=1)
-    least = np.zeros(8)
     classes = np.array([length_class(len(t)) for t, _ in rows])
-    for c in range(8):
-        # a longer text is at least as near as a shorter one; classes without rows take the one below
-        own = near[classes == c]
-        least[c] = slack * float(own.min()) if len(own) else (least[c - 1] if c else 0.0)
+    own = np.array([near[classes == c].min() if (classes == c).any() else np.inf for c in range(8)])
+    # a shorter text may be as far as any longer one; under SHORT_CLASSES too little can be told
+    least = slack * np.minimum.accumulate(own[::-1])[::-1]
+    least[~np.isfinite(least)] = slack * own.min()
+    least[:SHORT_CLASSES] = 0.0
     return Model(languages, owner, centres, idf, least)
 
 
