@@ -6,8 +6,10 @@ are then aligned one after the other; where they differ, the stretches become op
 repeated group takes in single occurrences. Text is a slot. What comes out is a regular expression with
 repeats and options but no alternatives, that describes all pages of the host: the wrapper.
 
-The wrapper's slots are told apart by their place in the tree. Over all pages of a host a slot gathers
-characters and linked characters, from which the slots of the main text are chosen.
+Each page is then matched against the wrapper of its host, which tells the slot of every text. Over all
+pages of a host a slot gathers characters, linked characters and how often its text is the same. A slot
+outside repeated groups whose text is constant over the host's pages is template; of the others, tags
+and class words tell the article from what stands beside it.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +52,10 @@ SLOT = "#"
 LONGEST_UNIT = 24
 #: Without a marked article: the smallest element that holds this share of the host's text.
 MAIN_SHARE = 0.6
+#: A slot is template if this share of its pages has one text, on so many pages and this share of the host's.
+CONSTANT_SHARE, CONSTANT_PAGES, PRESENT_SHARE = 0.9, 3, 0.5
+#: Different texts of a slot that are counted; more of them lower all counts.
+COUNTED_TEXTS = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(HIDDEN) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -202,75 +209,190 @@ def beside(path: str) -> bool:
     return False
 
 
-def main_slots(slots: dict[str, list[int]]) -> tuple[list[str], list[str]]:
-    """Paths of the slots of the main text: in marked articles; and, for pages without one, elsewhere."""
-    own = {p: s for p, s in slots.items() if not beside(p)}
-    marked = [p for p in own if any(label.split("@")[0] in MAIN_TAGS for label in p.split("/"))]
-    rest = {p: s for p, s in own.items() if p not in set(marked)}
+class Matcher:
+    """Finds the slot of every text of a page: its number among the `#` of the expression."""
+
+    def __init__(self, expression: list) -> None:
+        self.code: list[tuple] = []  # (token, slot), (None, first choice, second choice)
+        self.repeated: list[bool] = []  # per slot
+        self._compile(expression, False)
+
+    def _compile(self, sequence: list, repeated: bool) -> None:
+        for item in sequence:
+            if isinstance(item, str):
+                self.code.append((item, len(self.repeated) if item == SLOT else -1))
+                if item == SLOT:
+                    self.repeated.append(repeated)
+                continue
+            kind, unit = item
+            first = len(self.code)
+            if kind == "?":
+                self.code.append(())
+            self._compile(unit, repeated or kind == "+")
+            if kind == "?":
+                self.code[first] = (None, first + 1, len(self.code))
+            else:
+                self.code.append((None, first, len(self.code) + 1))
+
+    def slots(self, tokens: list[str]) -> list[int] | None:
+        """Slot of each text token in turn, or None if the expression does not describe the page."""
+        code, last, size = self.code, len(self.code), len(tokens)
+        seen: set[tuple[int, int]] = set()
+        trail: list[int] = []
+        untried = [(0, 0, 0)]
+        while untried:
+            place, at, kept = untried.pop()
+            del trail[kept:]
+            while place < last:
+                step = code[place]
+                if step[0] is None:
+                    if (place, at) in seen:
+                        break
+                    seen.add((place, at))
+                    untried.append((step[2], at, len(trail)))
+                    place = step[1]
+                elif at < size and tokens[at] == step[0]:
+                    if step[1] >= 0:
+                        trail.append(step[1])
+                    at += 1
+                    place += 1
+                else:
+                    break
+            else:
+                if at == size:
+                    return trail
+        return None
+
+    def texts(self, page: str) -> list[tuple[str, str, bool]]:
+        """(slot with path, text, linked) of a page's texts; slot -1 if the wrapper does not describe it."""
+        read = list(read_page(page))
+        found = [(path, text, linked) for _, path, text, linked in read if text]
+        slots = self.slots([token for token, *_ in read])
+        return [(f"{n}{path}", text, linked) for n, (path, text, linked) in zip(slots or [-1] * len(found), found)]
+
+
+def path_of(slot: str) -> str:
+    return "".join(slot.partition("/")[1:])
+
+
+def _bounded(texts: dict[str, int]) -> dict[str, int]:
+    """Counts of at most COUNTED_TEXTS texts; each is too low by no more than the others' number."""
+    while len(texts) > COUNTED_TEXTS:
+        least = min(texts.values())
+        texts = {t: n - least for t, n in texts.items() if n > least}
+    return texts
+
+
+class SlotCounts:
+    """Per slot with path of a host: pages, characters, linked characters, counts of equal texts, repeated."""
+
+    def __init__(self, slots: dict[str, list] | None = None, pages: int = 0) -> None:
+        self.slots, self.pages = slots or {}, pages
+
+    def add(self, slots: dict[str, list], pages: int) -> None:
+        self.pages += pages
+        for slot, counts in slots.items():
+            own = self.slots.setdefault(slot, [0, 0, 0, {}, counts[4]])
+            for k in range(3):
+                own[k] += counts[k]
+            for text, n in counts[3].items():
+                own[3][text] = own[3].get(text, 0) + n
+            own[3] = _bounded(own[3])
+
+    def show(self, page: str, matcher: Matcher) -> None:
+        slots: dict[str, list] = {}
+        texts: dict[str, xxhash.xxh3_64] = {}
+        for slot, text, linked in matcher.texts(page):
+            n = int(slot.partition("/")[0])
+            own = slots.setdefault(slot, [1, 0, 0, {}, n < 0 or matcher.repeated[n]])
+            own[1] += len(text)
+            own[2] += len(text) * linked
+            texts.setdefault(slot, xxhash.xxh3_64()).update(text.encode("utf-8", "replace") + b"\0")
+        for slot, digest in texts.items():
+            slots[slot][3] = {digest.hexdigest(): 1}
+        self.add(slots, 1)
+
+    def constant(self, slot: str) -> bool:
+        pages, _, _, texts, _ = self.slots[slot]
+        return pages >= CONSTANT_PAGES and max(texts.values(), default=0) >= CONSTANT_SHARE * pages
+
+    def main(self) -> tuple[list[str], list[str]]:
+        """`main_slots` without template: slots outside repeated groups whose text is constant over the host's pages.
+
+        A title (h1) may be constant and stays. Where nothing varies, as in copies of one page, nothing
+        tells template from content.
+        """
+        template = {
+            x for x, s in self.slots.items()
+            if not s[4] and s[0] >= PRESENT_SHARE * self.pages and self.constant(x) and path_of(x).rpartition("/")[2].split("@")[0] != "h1"
+        }
+        marked, other = main_slots({x: s for x, s in self.slots.items() if x not in template})
+        if template and all(map(self.constant, marked + other)):
+            return main_slots(self.slots)
+        return marked, other
+
+
+def main_slots(slots: dict[str, list]) -> tuple[list[str], list[str]]:
+    """Slots of the main text: in marked articles; and, for pages without one, elsewhere."""
+    own = {x: s for x, s in slots.items() if not beside(path_of(x))}
+    marked = [x for x in own if any(label.split("@")[0] in MAIN_TAGS for label in path_of(x).split("/"))]
+    rest = {x: s for x, s in own.items() if x not in set(marked)}
     # menus without a telling name are mostly links
-    text = {p: s[1] - s[2] for p, s in rest.items() if 2 * s[2] < s[1]}
+    text = {x: s[1] - s[2] for x, s in rest.items() if 2 * s[2] < s[1]}
     total = sum(text.values())
     mass: dict[str, int] = {}
-    for p, n in text.items():
-        labels = p.split("/")
+    for x, n in text.items():
+        labels = path_of(x).split("/")
         for k in range(1, len(labels) + (labels[-1].split("@")[0] not in BLOCK_TAGS)):
             prefix = "/".join(labels[:k])
             mass[prefix] = mass.get(prefix, 0) + n
     holders = [p for p, n in mass.items() if n >= MAIN_SHARE * total]
     deepest = max(holders, key=lambda p: (p.count("/"), p), default=None)
-    others = [p for p in text if deepest is not None and (p == deepest or p.startswith(f"{deepest}/"))]
+    others = [x for x in text if deepest is not None and f"{path_of(x)}/".startswith(f"{deepest}/")]
     return sorted(marked), sorted(others)
 
 
 class HostWrapper:
     """A wrapper that grows by the pages it is shown."""
 
-    def __init__(self, expression: list | None = None, slots: dict | None = None, pages: int = 0) -> None:
-        self.expression, self.slots, self.pages = expression, slots or {}, pages
+    def __init__(self, expression: list | None = None, pages: int = 0) -> None:
+        self.expression, self.pages = expression, pages
 
-    def add(self, expression: list, slots: dict[str, list[int]], pages: int) -> None:
+    def add(self, expression: list, pages: int) -> None:
         self.expression = expression if self.expression is None else align(self.expression, expression)
         self.pages += pages
-        for path, counts in slots.items():
-            own = self.slots.setdefault(path, [0, 0, 0])
-            for k in range(3):
-                own[k] += counts[k]
 
     def show(self, page: str, known: set) -> None:
-        tokens, slots = [], {}
-        for token, path, text, linked in read_page(page):
-            tokens.append(token)
-            if text:
-                s = slots.setdefault(path, [1, 0, 0])
-                s[1] += len(text)
-                s[2] += len(text) * linked
-        expression = fold(tokens)
+        expression = fold([token for token, *_ in read_page(page)])
         name = tuple(expression)
         if name in known:  # the wrapper describes this page already
-            self.add(self.expression, slots, 1)
+            self.pages += 1
             return
         known.add(name)
-        self.add(expression, slots, 1)
+        self.add(expression, 1)
 
 
 def _frozen(x):
     return (x[0], tuple(map(_frozen, x[1]))) if isinstance(x, list) else x
 
 
+def parsed(expression: str) -> list:
+    return list(map(_frozen, json.loads(expression)))
+
+
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """host, expression (JSON), pages, marked and other (paths of main slots) of every host.
+    """host, expression (JSON) and pages of every host.
 
     Tasks align their own pages of a host; the partial wrappers, one per task and host, are then
     aligned in order, so a host with a third of all pages is no larger there than another.
     """
-    columns = "host string, task int, expression string, slots string, pages long"
+    columns = "host string, task int, expression string, pages long"
 
     def rows(found: dict[str, HostWrapper], task: int) -> pa.RecordBatch:
         return record_batch(
             host=(list(found), pa.string()),
             task=([task] * len(found), pa.int32()),
             expression=([json.dumps(w.expression) for w in found.values()], pa.string()),
-            slots=([json.dumps(w.slots) for w in found.values()], pa.string()),
             pages=([w.pages for w in found.values()], pa.int64()),
         )
 
@@ -292,13 +414,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         host, wrapper = None, HostWrapper()
 
         def out() -> pa.RecordBatch:
-            marked, other = main_slots(wrapper.slots)
             return record_batch(
-                host=([host], pa.string()),
-                expression=([json.dumps(wrapper.expression)], pa.string()),
-                pages=([wrapper.pages], pa.int64()),
-                marked=([marked], pa.list_(pa.string())),
-                other=([other], pa.list_(pa.string())),
+                host=([host], pa.string()), expression=([json.dumps(wrapper.expression)], pa.string()), pages=([wrapper.pages], pa.int64())
             )
 
         for batch in batches:
@@ -307,21 +424,88 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                     yield out()
                     wrapper = HostWrapper()
                 host = row["host"]
-                wrapper.add(list(map(_frozen, json.loads(row["expression"]))), json.loads(row["slots"]), row["pages"])
+                wrapper.add(parsed(row["expression"]), row["pages"])
         if wrapper.pages:
             yield out()
 
     parts = arrow_map(pages.select("host", "html"), partial, columns)
     # partial wrappers of a host in the same order after a lost task
     ordered = parts.repartition("host").sortWithinPartitions("host", "task", "expression")
-    return arrow_map(ordered, whole, "host string, expression string, pages long, marked array<string>, other array<string>")
+    return arrow_map(ordered, whole, "host string, expression string, pages long")
+
+
+def choose_slots(matched: DataFrame) -> DataFrame:
+    """host, marked and other (main slots) from pages (host, html, expression).
+
+    Tasks count the slots of their own pages of a host; the counts of a host are then added up.
+    """
+    texts = pa.list_(pa.string())
+
+    def rows(found: dict[str, SlotCounts], task: int) -> pa.RecordBatch:
+        return record_batch(
+            host=(list(found), pa.string()),
+            task=([task] * len(found), pa.int32()),
+            slots=([json.dumps(c.slots) for c in found.values()], pa.string()),
+            pages=([c.pages for c in found.values()], pa.int64()),
+        )
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        found: dict[str, SlotCounts] = {}
+        matchers = Matchers()
+        for batch in batches:
+            for host, page, expression in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "expression"))):
+                if page:
+                    found.setdefault(host, SlotCounts()).show(page, matchers.of(host, expression))
+            if len(found) > 5000:
+                yield rows(found, TaskContext.get().partitionId())
+                found = {}
+        yield rows(found, TaskContext.get().partitionId())
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, counts = None, SlotCounts()
+
+        def out() -> pa.RecordBatch:
+            marked, other = counts.main()
+            return record_batch(host=([host], pa.string()), marked=([marked], texts), other=([other], texts))
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if counts.pages and row["host"] != host:
+                    yield out()
+                    counts = SlotCounts()
+                host = row["host"]
+                counts.add(json.loads(row["slots"]), row["pages"])
+        if counts.pages:
+            yield out()
+
+    parts = arrow_map(matched.select("host", "html", "expression"), partial, "host string, task int, slots string, pages long")
+    ordered = parts.repartition("host").sortWithinPartitions("host", "task", "slots")
+    return arrow_map(ordered, whole, "host string, marked array<string>, other array<string>")
+
+
+class Matchers:
+    """Matchers of the hosts met last."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, Matcher] = {}
+
+    def of(self, host: str, expression: str | None) -> Matcher:
+        if host not in self.known:
+            if len(self.known) > 5000:
+                self.known.clear()
+            self.known[host] = Matcher(parsed(expression or "[]"))
+        return self.known[host]
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of (page_id, url, html).
 
-    The text is that of the main slots of the host's wrapper: the marked article, or in a page without
-    one, the element that holds most of the host's text. A null or empty page, and one without main
+    Each page is matched against its host's wrapper. The text is that of the main slots: those in the
+    marked article, or in a page without one, in the element that holds most of the host's text; slots
+    whose text is constant over the host's pages are left out, unless no main slot of the host varies.
+    A null or empty page, and one without main
     text, gives the empty text. A null url or one without a host counts as the host "". Repeated rows
     give a row each; other columns are not read.
     """
@@ -329,26 +513,30 @@ def extract_text(pages: DataFrame) -> DataFrame:
     source = pages.select(
         "page_id", F.col("url").cast("string").alias("url"), host.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
-    # the written table's size tells Spark whether it may be broadcast
-    wrappers = materialise(infer_wrappers(source), "wrappers").select("host", "marked", "other")
+    # a written table's size tells Spark whether it may be broadcast
+    wrappers = materialise(infer_wrappers(source), "wrappers").select("host", "expression")
+    chosen = materialise(choose_slots(source.join(wrappers, "host", "left")), "slots")
+    wrappers = materialise(wrappers.join(chosen, "host"), "main-slots")
     kind = pages.schema["page_id"].dataType.simpleString()
+    names = ("host", "html", "expression", "marked", "other")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[str, tuple[frozenset, frozenset]] = {}
+        matchers = Matchers()
         for batch in batches:
             texts = []
-            for name, page, marked, other in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "marked", "other"))):
+            for name, page, expression, *chosen in zip(*(batch.column(c).to_pylist() for c in names)):
                 if name not in sets:
                     if len(sets) > 5000:
                         sets.clear()
-                    sets[name] = (frozenset(marked or ()), frozenset(other or ()))
-                own = sets[name]
-                found = [(path, text) for _, path, text, _ in read_page(page) if text]
-                inside = [t for p, t in found if p in own[0]]
-                texts.append(" ".join(inside or [t for p, t in found if p in own[1]]))
+                    sets[name] = tuple(frozenset(x or ()) for x in chosen)
+                marked, other = sets[name]
+                found = matchers.of(name, expression).texts(page) if page else []
+                main = [t for x, t, _ in found if x in marked] or [t for x, t, _ in found if x in other]
+                texts.append(" ".join(main))
             yield record_batch(
                 page_id=(batch.column("page_id"), None), url=(batch.column("url"), None), text=(texts, pa.string()), n_chars=(list(map(len, texts)), pa.int64())
             )
 
-    joined = source.join(wrappers, "host", "left").select("page_id", "url", "host", "html", "marked", "other")
+    joined = source.join(wrappers, "host", "left").select("page_id", "url", *names)
     return arrow_map(joined, extract, f"page_id {kind}, url string, text string, n_chars long")

@@ -265,6 +265,25 @@ def test_main_text(pages):
     assert wrappers.extract_text(frame.limit(0)).count() == 0
 
 
+def test_constant_text_of_a_host_is_template(spark):
+    """A notice inside the article is told by its being the same on all pages of the host, not by its tag or class."""
+    notice = '<div class="box">Read on in our app</div>'
+    rows = [
+        (k, f"https://c.example.org/{k}", f"<body><article><h1>Title {k}</h1>{notice * (k % 7 > 0)}<p class=lead>Lead {k}</p>"
+         f"{''.join(f'<p>Text {k} {n}</p>' for n in range(1 + k % 3))}<div><em>All rights reserved</em></div></article></body>")
+        for k in range(30)
+    ]
+    rows += [(100 + k, f"https://d.example.org/{k}", f"<body><div><div>Press agency</div><p>Story {k}</p><p>More {k}</p></div></body>") for k in range(8)]
+    rows += [(200 + k, f"https://e.example.org/{k}", f"<article><h1>One</h1>{notice}<p>page</p></article>") for k in range(5)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in wrappers.extract_text(frame).collect()}
+    for k in range(30):
+        assert got[k] == " ".join([f"Title {k}", f"Lead {k}"] + [f"Text {k} {n}" for n in range(1 + k % 3)])
+    assert all(got[100 + k] == f"Story {k} More {k}" for k in range(8))
+    # copies of one page do not tell
+    assert all(got[200 + k] == "One Read on in our app page" for k in range(5))
+
+
 def test_wrappers_describe_their_pages(pages):
     from pyspark.sql import functions as F
 
@@ -295,6 +314,21 @@ def _groups(expression):
     return out
 
 
+def test_matching_finds_the_slots():
+    expression = ["a", ("?", ("p", "#", "/p")), ("+", ("li", "#", ("?", ("b", "#", "/b")), "/li")), "#", "/a"]
+    matcher = wrappers.Matcher(expression)
+    assert matcher.repeated == [False, True, True, False]
+    assert matcher.slots(["a", "li", "#", "/li", "li", "#", "b", "#", "/b", "/li", "#", "/a"]) == [1, 1, 2, 3]
+    assert matcher.slots(["a", "p", "#", "/p", "li", "#", "/li", "#", "/a"]) == [0, 1, 3]
+    assert matcher.slots(["a", "p", "#", "/p", "#", "/a"]) is None
+    rng = random.Random(6)
+    streams = [[t for t, *_ in wrappers.read_page(page(rng.randrange(5), rng.randrange(5), rng.random() < 0.5))] for _ in range(40)]
+    wrapper = wrappers.fold(streams[0])
+    for stream in streams[1:]:
+        wrapper = wrappers.align(wrapper, wrappers.fold(stream))
+    assert all(wrappers.Matcher(wrapper).slots(stream) is not None for stream in streams)
+
+
 def test_folding():
     assert wrappers.fold(["ul", "li", "#", "/li", "li", "#", "/li", "li", "#", "/li", "/ul"]) == ["ul", ("+", ("li", "#", "/li")), "/ul"]
     inner = ["tr", "td", "/td", "td", "/td", "/tr"]
