@@ -3,9 +3,10 @@
 Protected entities are the values that the base patterns find. A term discloses an entity when seeing
 the term makes the entity much more likely: with p(e) the share of documents that hold entity e, and
 p(e|t) the share of documents with term t in which t stands near e, the pointwise mutual information
-log p(e|t) / p(e) is compared with the entity's whole information -log p(e). Terms that reach the share
-`alpha` of it, in at least `support` different contexts, are generalised wherever they occur, and removed
-where they reach `remove`.
+log p(e|t) / p(e) is compared with the entity's whole information -log p(e). For p(e|t) stands the lower
+end of its Wilson interval, `z` deviations wide, which comes nearer to the plain share with every further
+context; copies of a context are one piece of evidence. Terms that reach the share `alpha` of the
+information are generalised wherever they occur, and removed where they reach `remove`.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ WINDOW = 12
 ALPHA = 0.9
 #: From this share on, a term is removed, not generalised.
 REMOVE = 0.99
-#: Different contexts in which a term must stand near an entity.
-SUPPORT = 3
+#: Deviations by which p(e|t) is taken to be lower than the share that was seen.
+DEVIATIONS = 0.4
 #: Terms that one pass over the documents looks for.
 BLOCK_TERMS = 200_000
 #: Terms that a task counts before it hands its counts on.
@@ -154,10 +155,18 @@ def _blocks(terms: DataFrame, columns: list[str]) -> Iterator[list]:
         yield block
 
 
-def disclosing_terms(docs: DataFrame, window: int = WINDOW, alpha: float = ALPHA, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
+def lower_bound(share: Column, hits: Column, z: float) -> Column:
+    """Lower end of the Wilson interval of a share of which so many hits were seen."""
+    n = hits / share
+    middle = share + F.lit(z * z / 2) / n
+    width = F.lit(z) * F.sqrt(share * (F.lit(1.0) - share) / n + F.lit(z * z / 4) / (n * n))
+    return (middle - width) / (F.lit(1.0) + F.lit(z * z) / n)
+
+
+def disclosing_terms(docs: DataFrame, window: int = WINDOW, alpha: float = ALPHA, remove: float = REMOVE, z: float = DEVIATIONS) -> DataFrame:
     """term, share (of an entity's information that it gives away, the largest), removed.
 
-    Copies of a context count once for `support`. Documents count by row.
+    Documents count by row; as evidence, rows with the same context count once.
     """
     seen = materialise(contexts(docs, window), "contexts")
     total = docs.count()
@@ -165,7 +174,7 @@ def disclosing_terms(docs: DataFrame, window: int = WINDOW, alpha: float = ALPHA
     pairs = seen.filter(F.col("term").isNotNull()).groupBy("entity", "term").agg(
         F.count_distinct("context").alias("contexts"), F.count_distinct("row").alias("n_et")
     )
-    pairs = materialise(pairs.filter(F.col("contexts") >= support), "pairs")
+    pairs = materialise(pairs, "pairs")
     spark, found = docs.sparkSession, None
     for block in _blocks(pairs.select("term").distinct(), ["term"]):
         counted = document_counts(docs, frozenset(t for (t,) in block))
@@ -173,21 +182,21 @@ def disclosing_terms(docs: DataFrame, window: int = WINDOW, alpha: float = ALPHA
     if found is None:
         return spark.createDataFrame([], "term string, share double, removed boolean")
     rare = -F.log(F.col("n_e") / F.lit(float(max(1, total))))
-    gain = F.log(F.col("n_et") / F.col("documents")) + rare
+    gain = F.log(lower_bound(F.col("n_et") / F.col("documents"), F.col("contexts"), z)) + rare
     # an entity in every document has no information to give away
     share: Column = F.when(rare > 0, gain / rare).otherwise(F.lit(0.0))
     shares = pairs.join(found, "term").join(entities, "entity").groupBy("term").agg(F.max(share).alias("share"))
     return shares.filter(F.col("share") >= alpha).withColumn("removed", F.col("share") >= remove)
 
 
-def sanitise(docs: DataFrame, window: int = WINDOW, alpha: float = ALPHA, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, window: int = WINDOW, alpha: float = ALPHA, remove: float = REMOVE, z: float = DEVIATIONS) -> DataFrame:
     """doc_id, spans (array of kind, start, end, code points) and sanitised (text) of every row.
 
     Base spans become their kind in square brackets, disclosing terms `[TERM]`, or nothing if removed.
     Overlapping spans are replaced as one, by the first. Spans come by kind (base kinds in order, then
     terms), then start. A null text is empty. Repeated rows give a row each; other columns are not read.
     """
-    terms = materialise(disclosing_terms(docs, window, alpha, remove, support), "terms")
+    terms = materialise(disclosing_terms(docs, window, alpha, remove, z), "terms")
     kind = docs.schema["doc_id"].dataType.simpleString()
     span = "array<struct<kind:string,start:int,end:int,removed:boolean>>"
     schema = f"doc_id {kind}, text string, spans {span}"

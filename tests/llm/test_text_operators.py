@@ -1,5 +1,6 @@
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -204,6 +205,24 @@ def test_terms_that_give_an_address_away(documents_of):
     assert (out[101].spans, out[101].sanitised) == ([], "")
 
 
+def test_terms_of_entities_with_one_context(documents_of):
+    """A name that stands beside a rare address only gives it away; common words and copies do not add to it."""
+    rows = [(k, f"common words stand here, number {'abcdefghij'[k % 10]}") for k in range(400)]
+    rows += [(1000, "common words: write Quibblet at q@example.org"), (1001, "words, common"), (1002, "today write to somebody")]
+    rows += [(1100 + k, "common Doppel, mail d@example.org") for k in range(5)]
+    terms = {r.term: r.share for r in pii.disclosing_terms(documents_of(rows)).collect()}
+    assert terms.keys() == {"quibblet", "doppel", "mail"}
+    # five copies are one context, no surer than a single row
+    rare = {t: math.log(len(rows) / n) for t, n in (("quibblet", 1), ("doppel", 5))}
+    for t, information in rare.items():
+        assert terms[t] == pytest.approx(1 - math.log(1 + pii.DEVIATIONS**2) / information)
+    more = rows + [(2000 + k, f"Quibblet {'xyzuvw'[k] * 4} q@example.org") for k in range(6)]
+    surer = {r.term: r.share for r in pii.disclosing_terms(documents_of(more)).collect()}["quibblet"]
+    assert surer > 1 - math.log(1 + pii.DEVIATIONS**2) / math.log(len(more) / 7)
+    out = {r.doc_id: r.sanitised for r in pii.sanitise(documents_of(rows)).collect()}
+    assert out[1000] == "common words: write [TERM] at [EMAIL]"
+
+
 def rows_of(rows, doc_id):
     return dict(rows)[doc_id] or ""
 
