@@ -10,7 +10,10 @@ Windows begin at every word of a document and at every word of a benchmark item,
 many chances as it has words, in each of `repetitions` walks; edits near the item's start do not hide
 it. The walk is the same for windows of all item sizes as far as it is read here. A short first part
 of the samples is looked up in a bitmap and drops most windows; the walk goes on only for the rest.
-A candidate fixes which stretch of the document, as long as the item, to compare; the smallest edit
+The walks read about 20 characters, so items with few words or many edits may have no clean window. Items
+under PIECES_BELOW characters are also looked up by pigeonhole: cut into one piece more than edits are
+allowed, one piece at least stands unchanged in the document, at any place. Items under MIN_CHARS are found
+as they are. A candidate fixes which stretch of the document, as long as the item, to compare; the smallest edit
 distance between the item and any part of that stretch decides.
 """
 
@@ -34,8 +37,12 @@ TYPICAL_CHARS = 200
 #: Steps of the walk behind the first lookup and behind the whole key, and how many are sampled.
 SHORT_STEPS, SHORT_SAMPLES = 16, 8
 STEPS, SAMPLES = 40, 16
-#: Items with fewer characters are too short to tell a leak from common speech.
+#: Items with fewer characters are too short to tell an edited leak from common speech; they match whole only.
 MIN_CHARS = 24
+#: Items with fewer characters are looked up by pieces too, of at most so many characters.
+PIECES_BELOW, PIECE = TYPICAL_CHARS, 12
+#: From this code on, scripts are written without blanks: every character begins a window.
+NO_BLANKS = 0x2E80
 #: Characters of benchmark text that one pass over the documents holds in each task.
 BLOCK_CHARS = 4 << 20
 #: Characters of document text, and windows, that are walked at once.
@@ -82,7 +89,21 @@ def normalise(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_starts(chars: np.ndarray) -> np.ndarray:
-    return np.flatnonzero((chars[1:] != 32) & (chars[:-1] == 32)) + 1
+    return np.flatnonzero((chars[1:] != 32) & ((chars[:-1] == 32) | (chars[1:] >= NO_BLANKS))) + 1
+
+
+def piece_keys(chars: np.ndarray, width: int) -> np.ndarray:
+    """A number for the `width` characters from each place on."""
+    n = len(chars) - width + 1
+    key = np.zeros(max(n, 0), np.uint64)
+    for k in range(width if n > 0 else 0):
+        key = key * _GOLD + chars[k : k + n]
+    return key
+
+
+def cut(size: int, allowed: int) -> tuple[list[int], int]:
+    """(starts, width) of one piece more than allowed edits."""
+    return [size * k // (allowed + 1) for k in range(allowed + 1)], min(PIECE, size // (allowed + 1))
 
 
 def repetitions(max_distance: float, recall: float) -> int:
@@ -149,6 +170,26 @@ def edit_distance_in(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _looked_up(keys: np.ndarray, targets: np.ndarray, key: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(item, place where it would begin) of the keys that the sorted ones hold."""
+    if not len(keys):
+        return
+    lo = np.searchsorted(keys, key, "left")
+    hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == key)
+    hi = np.searchsorted(keys, key[hit], "right")
+    for k, end in zip(hit.tolist(), hi.tolist()):
+        for n, offset in targets[lo[k] : end].tolist():
+            yield n, int(places[k]) - offset
+
+
+def _stands_alone(chars: np.ndarray, begin: int, size: int) -> bool:
+    """Whether no word goes on over either end; scripts without blanks have no such ends."""
+    if begin < 1 or begin + size >= len(chars):
+        return False
+    pairs = ((chars[begin - 1], chars[begin]), (chars[begin + size - 1], chars[begin + size]))
+    return all(32 in pair or max(pair) >= NO_BLANKS for pair in pairs)
+
+
 class Index:
     """Windows of a block of benchmark items, by key, for each walk."""
 
@@ -157,16 +198,32 @@ class Index:
         self.names, self.items = [], []
         for name, text in items:
             chars = normalise(text)[0][1:-1] if text else np.empty(0, np.uint16)
-            if len(chars) >= MIN_CHARS:
+            if len(chars):
                 self.names.append(name)
                 self.items.append(chars)
+        self.allowed = [int(max_distance * len(c)) if len(c) >= MIN_CHARS else 0 for c in self.items]
         self.grams = [grams(c) for c in self.items]
+        pieces: dict[int, list[tuple[int, int, int]]] = {}  # width: key, item, start
+        for n, chars in enumerate(self.items):
+            if len(chars) < PIECES_BELOW:
+                starts, width = cut(len(chars), self.allowed[n])
+                for start in starts if width else ():
+                    pieces.setdefault(width, []).append((int(piece_keys(chars[start : start + width], width)[0]), n, start))
+        self.pieces = []
+        for width, own in sorted(pieces.items()):
+            own.sort()
+            keys = np.array([k for k, _, _ in own], np.uint64)
+            bitmap = np.zeros(1 << _BITMAP_BITS, bool)
+            bitmap[_spot(keys)] = True
+            self.pieces.append((width, bitmap, keys, np.array([x[1:] for x in own], np.int64)))
         self.walks = [Walk(k) for k in range(walks)]
         self.maps, self.keys, self.targets = [], [], []
         for walk in self.walks:
             bitmap = np.zeros(1 << _BITMAP_BITS, bool)
             keys, targets = [], []
             for n, chars in enumerate(self.items):
+                if len(chars) < MIN_CHARS:
+                    continue
                 # a walk reads half as many characters as it has steps, on average
                 starts = np.concatenate([[0], word_starts(chars)])
                 starts = starts[(starts == 0) | (starts <= len(chars) - MIN_CHARS)]
@@ -194,17 +251,16 @@ class Index:
                 if not len(on):
                     continue
                 _, key = walk.advance(symbols, at[on], key[on], SHORT_STEPS, STEPS)
-                lo = np.searchsorted(keys, key, "left")
-                hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == key)
-                hi = np.searchsorted(keys, key[hit], "right")
-                for k, end in zip(hit.tolist(), hi.tolist()):
-                    for n, offset in targets[lo[k] : end].tolist():
-                        found.add((n, int(starts[on[k]]) - offset))
+                found.update(_looked_up(keys, targets, key, starts[on]))
+        for width, bitmap, keys, targets in self.pieces:
+            key = piece_keys(chars, width)
+            on = np.flatnonzero(bitmap[_spot(key)])
+            found.update(_looked_up(keys, targets, key[on], on))
         return found
 
     def distance(self, n: int, stretch: np.ndarray) -> tuple[int, int] | None:
         """(edit distance, end in the stretch) of item n, or None beyond the allowed distance."""
-        item, allowed = self.items[n], int(self.max_distance * len(self.items[n]))
+        item, allowed = self.items[n], self.allowed[n]
         # an edit destroys at most GRAM of the item's grams, so more missing ones rule it out
         missing = ~np.isin(self.grams[n], grams(stretch))
         if np.count_nonzero(missing) > GRAM * allowed:
@@ -224,14 +280,16 @@ class Index:
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         tried: set[tuple[int, int]] = set()
         for n, begin in sorted(self.candidates(chars)):
-            size, allowed = len(self.items[n]), int(self.max_distance * len(self.items[n]))
+            size, allowed = len(self.items[n]), self.allowed[n]
+            if size < MIN_CHARS and not _stands_alone(chars, begin, size):
+                continue
             doc = int(np.searchsorted(begins, max(begin + size // 2, 0), "right")) - 1
             for d in {max(0, doc - 1), min(doc, len(texts) - 1), min(doc + 1, len(texts) - 1)}:
                 # the middle may lie in a neighbour if the item is cut off by the text's end
-                lo, hi = max(begins[d], begin - 2 * allowed - 1), min(begins[d + 1], begin + size + 2 * allowed + 1)
+                lo, hi = max(begins[d], begin - 3 * allowed - 1), min(begins[d + 1], begin + size + 3 * allowed + 1)
                 if hi - lo < size - allowed or best.get((d, n), (1,))[0] == 0:
                     continue
-                spot = (n, int(lo) // (allowed + 1))
+                spot = (n, d, begin // (allowed + 1))
                 if spot in tried:
                     continue
                 tried.add(spot)
@@ -295,7 +353,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_distance: float = MAX_
 
     Distances count characters of the normalised texts (lower-case letters and digits, other runs as
     one blank); start and end are code points of the document, approximate by the distance at the
-    start. Null and empty texts, and items under 24 normalised characters, hold and match nothing.
+    start. Null and empty texts hold and match nothing; items under 24 normalised characters match whole.
     Repeated rows are reported each; several items with the same text likewise. Every block of at most
     BLOCK_CHARS of benchmark text is one pass over the documents.
     """

@@ -127,3 +127,27 @@ def test_blocks_and_empty_tables(spark, documents_of, monkeypatch):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(documents_of(docs), none).count() == 0
     assert decontaminate.clean_rows(documents_of(docs), none).count() == len(docs)
+
+
+def edited(rng, item, edits):
+    for _ in range(edits):
+        k = rng.randrange(len(item))
+        item = item[:k] + rng.choice(["", "x", item[k] + "q"]) + item[k + 1 :]
+    return item
+
+
+def test_short_items_are_found_by_length():
+    """Mixed edits up to the allowed distance hide no item of any length, nor does a script without blanks."""
+    rng = random.Random(4)
+    for size in (26, 36, 50, 70, 110, 150, 220):
+        items = [" ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 8))) for _ in range(size))[:size].strip() for _ in range(60)]
+        texts = ["some words " + edited(rng, i, int(0.1 * len(i))) + " and more" for i in items]
+        index = decontaminate.Index(list(enumerate(items)), decontaminate.MAX_DISTANCE, decontaminate.repetitions(0.1, 0.999))
+        for n, found in enumerate(index.matches(texts)):
+            if len(plain(items[n])) >= 24 and distance_in(plain(items[n]), plain(texts[n])) <= int(0.1 * len(plain(items[n]))):
+                assert n in {f[0] for f in found}, size
+    signs = ["".join(chr(rng.randrange(0x4E00, 0x5E00)) for _ in range(n)) for n in (30, 90, 600)]
+    items = [*signs, "Forty two", signs[0][:9]]
+    index = decontaminate.Index(list(enumerate(items)), 0.1, 2)
+    texts = ["字" * 7 + items[1] + "字" * 5, "字" * 7 + items[2] + "字", "so: FORTY, two!", "forty twofold", "字" + items[4] + "字", "x"]
+    assert [{f[0] for f in found} for found in index.matches(texts)] == [{1}, {2}, {3}, set(), {4}, set()]
