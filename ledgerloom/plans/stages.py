@@ -27,8 +27,7 @@ from ledgerloom.session import materialise
 from ledgerloom.sources.files import (
     BRONZE_SCHEMA,
     decode_files,
-    path_slices,
-    read_files,
+    landed_files,
     score_documents,
 )
 from ledgerloom.sources.store import KeyedTable
@@ -69,10 +68,9 @@ class Warehouse:
     spark: SparkSession
     root: str
     policy: StagePolicy = field(default_factory=lambda: DEFAULT_POLICY)
-    buckets: int = 32
 
     def _table(self, name: str, schema: T.StructType) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/{name}", schema, "statement_hash", self.buckets)
+        return KeyedTable(self.spark, f"{self.root}/{name}", schema, "statement_hash")
 
     @property
     def bronze(self) -> KeyedTable:
@@ -94,18 +92,21 @@ class Warehouse:
     def log(self) -> KeyedTable:
         return self._table("run_log", runlog.log_schema(self.policy, with_tasks=True))
 
-    def record(self, stage: str, results: DataFrame, run_id: str, touched: DataFrame | None = None) -> None:
+    def record(
+        self, stage: str, results: DataFrame, run_id: str, touched: DataFrame | None = None, batch: str | None = None
+    ) -> None:
         """Log a stage's materialised results (one per statement) and, for `touched` among them, clear the
         next stage.
 
-        Both changes go through one write of the log, which only appends statements that are new.
+        Both changes go through one write of the log, which reads and appends these statements only. A
+        batch that was logged before is logged as if it had not been: attempts count once.
         """
 
         def changed(log: DataFrame) -> DataFrame:
             logged = runlog.log_upsert(log, results, stage, run_id, self.policy)
             return logged if touched is None else runlog.invalidate_next(logged, touched, stage, self.policy)
 
-        self.log.rewrite(results.select("statement_hash").distinct(), changed)
+        self.log.rewrite(results.select("statement_hash").distinct(), changed, batch)
 
     def reset(self, stage: str, keys: list[str]) -> None:
         touched = self.spark.createDataFrame([(k,) for k in keys], "statement_hash string")
@@ -143,35 +144,37 @@ def _extraction_results(staged: DataFrame, seconds: float) -> DataFrame:
     )
 
 
-def ingest_batch(warehouse: Warehouse, files: DataFrame, run_id: str) -> int:
-    """One micro-batch: extract, insert statements not seen before, log. Safe to replay.
+def ingest_batch(warehouse: Warehouse, files: DataFrame, run_id: str, batch: str | None = None) -> int:
+    """One micro-batch: extract, insert statements not seen before, log.
 
-    Known content keeps its bronze row and only has its log row stamped.
+    Known content keeps its bronze row and only has its log row stamped. `batch` names the batch over all
+    its deliveries; delivered again, also after half of it was written, it leaves what one run leaves.
     """
     if files.isEmpty():
         return 0
     start = time.time()
     staged = materialise(extract(files, "bronze_extraction"), "bronze")
     seconds = _seconds_since(start)
-    warehouse.bronze.insert_new(staged.withColumn("extraction_duration_sec", F.lit(seconds)))
-    warehouse.record("pdf_extraction", _extraction_results(staged, seconds), run_id)
+    warehouse.bronze.insert_new(staged.withColumn("extraction_duration_sec", F.lit(seconds)), batch)
+    warehouse.record("pdf_extraction", _extraction_results(staged, seconds), run_id, batch=batch)
     return staged.count()
 
 
-def backfill(warehouse: Warehouse, run_id: str) -> int:
-    """Re-read eligible files by name, as the stream never delivers a file twice."""
+def backfill(warehouse: Warehouse, run_id: str, directory: str, glob: str = "*.json") -> int:
+    """Re-read eligible files of the landed folder by name, as the stream never delivers a file twice.
+
+    One scan and one merge, however many files are due; no file name passes through the driver.
+    """
+    start = time.time()
     candidates = warehouse.bronze.read().select("statement_hash", "source_path")
     eligible = materialise(warehouse.eligible(candidates, "pdf_extraction"), "backfill-paths")
-    done = 0
-    for paths in path_slices(eligible.select("source_path")):
-        start = time.time()
-        staged = materialise(extract(read_files(warehouse.spark, paths), "bronze_backfill"), "backfill")
-        seconds = _seconds_since(start)
-        warehouse.bronze.upsert(staged.withColumn("extraction_duration_sec", F.lit(seconds)))
-        results = _extraction_results(staged, seconds)
-        warehouse.record("pdf_extraction", results, run_id, touched=staged.select("statement_hash"))
-        done += staged.count()
-    return done
+    due = eligible.select(F.col("source_path").alias("path")).distinct()
+    staged = materialise(extract(landed_files(warehouse.spark, directory, glob, due), "bronze_backfill"), "backfill")
+    seconds = _seconds_since(start)
+    warehouse.bronze.upsert(staged.withColumn("extraction_duration_sec", F.lit(seconds)))
+    results = _extraction_results(staged, seconds)
+    warehouse.record("pdf_extraction", results, run_id, touched=staged.select("statement_hash"))
+    return staged.count()
 
 
 def classify(warehouse: Warehouse, run_id: str) -> DataFrame:
@@ -182,7 +185,6 @@ def classify(warehouse: Warehouse, run_id: str) -> DataFrame:
     start = time.time()
     bronze = warehouse.bronze.read().filter(F.col("route") == "CPU")
     keys = materialise(warehouse.eligible(bronze.select("statement_hash"), "classification"), "classify-keys")
-    # texts are read from the keys' buckets alone
     docs = warehouse.bronze.matching(keys).select("statement_hash", "bank_format", "raw_text", "tables_json")
     staged = materialise(classify_documents(docs), "lines")
     status, lines = split_status(staged)
@@ -211,7 +213,8 @@ def validate(warehouse: Warehouse, run_id: str) -> DataFrame:
     staged = materialise(judged.unionByName(no_lines(keys.join(judged, "statement_hash", "left_anti"))), "verdicts")
     warehouse.validated.upsert(staged.withColumn("validated_at", F.current_timestamp()))
     empty = staged.filter(F.col("total_lines") == 0).select("statement_hash")
-    warehouse.features.replace(warehouse.features.read().limit(0), empty)
+    if not empty.isEmpty():
+        warehouse.features.replace(empty.limit(0), empty)
     results = staged.select(
         "statement_hash",
         F.lit("SUCCESS").alias("status"),

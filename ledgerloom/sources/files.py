@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import islice
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +35,6 @@ BRONZE_SCHEMA = T.StructType(
     ]
 )
 DOCUMENT_TYPE = "struct<pages:array<string>,tables:array<array<array<string>>>>"
-PATHS_PER_READ = 10_000
 
 
 def read_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
@@ -48,32 +44,59 @@ def read_files(spark: SparkSession, paths: str | list[str], glob: str | None = N
     return reader.load(paths).select("path", "content")
 
 
-def stream_files(spark: SparkSession, directory: str, glob: str, per_batch: int = 1000) -> DataFrame:
-    """Unbounded file source: each new file is delivered once per checkpoint."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(RAW_FILES)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", per_batch)
-        .load(directory)
-        .select("path", "content")
-    )
+def stream_files(
+    spark: SparkSession,
+    directory: str,
+    glob: str,
+    per_batch: int = 1000,
+    batch_bytes: int | None = None,
+    archive: str | None = None,
+) -> DataFrame:
+    """Unbounded file source: each new file is delivered once per checkpoint.
+
+    A batch admits `per_batch` files or, if given, `batch_bytes` of them (one larger file at least), so that large
+    files do not overfill it. Files that a finished batch has read move to `archive`, if given, which keeps the
+    listing short; a backfill then reads that folder.
+    """
+    reader = spark.readStream.format("binaryFile").schema(RAW_FILES).option("pathGlobFilter", glob)
+    if batch_bytes is None:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", batch_bytes)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.load(directory).select("path", "content")
+
 
+def landed_files(spark: SparkSession, directory: str, glob: str, due: DataFrame) -> DataFrame:
+    """(path, content) of those files of a folder whose path is in `due` (unique).
 
-def path_slices(paths: DataFrame, size: int = PATHS_PER_READ) -> Iterator[list[str]]:
-    """Distinct paths in slices of bounded size, so that the driver never holds them all."""
-    rows = paths.distinct().toLocalIterator()
-    while part := [r[0] for r in islice(rows, size)]:
-        yield part
+    A first pass sees names, times and sizes alone and gives the bounds of the due files; the scan that reads
+    contents has these bounds pushed down and skips every file outside them unopened.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
+    bounds = files.join(due, "path", "left_semi").agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for c in ("length", "modificationTime") for f in (F.min, F.max)]
+    ).first()
+    if bounds[0] is None:
+        return files.select("path", "content").limit(0)
+    within = files.filter(
+        F.col("length").between(bounds["min_length"], bounds["max_length"])
+        & F.col("modificationTime").between(bounds["min_modificationTime"], bounds["max_modificationTime"])
+    )
+    return within.join(due, "path", "left_semi").select("path", "content")
 
 
 def decode_files(files: DataFrame) -> DataFrame:
     """(path, content) -> (statement_hash, source_path, pages, tables, extraction_error).
 
     A document is a JSON object with `pages` (texts) and `tables` (rows of cells), or plain text
-    with form feeds between pages. A JSON document that cannot be read carries an error.
+    with form feeds between pages. A JSON document that cannot be read, or a
+    document whose bytes are not UTF-8, carries an error and no pages; other files are not affected.
     """
-    body = F.col("content").cast("string")
+    text_of = F.col("content").cast("string")
+    valid = F.coalesce(F.is_valid_utf8(text_of), F.lit(False))
+    body = F.when(valid, text_of)
     is_json = F.lower(F.col("path")).endswith(".json")
     doc = F.when(is_json, F.from_json(body, DOCUMENT_TYPE))
     return (
@@ -81,6 +104,7 @@ def decode_files(files: DataFrame) -> DataFrame:
             text.content_hash(F.col("content")).alias("statement_hash"),
             F.col("path").alias("source_path"),
             is_json.alias("_json"),
+            valid.alias("_valid"),
             body.alias("_body"),
             doc.alias("_doc"),
         )
@@ -89,9 +113,9 @@ def decode_files(files: DataFrame) -> DataFrame:
             "source_path",
             F.when(F.col("_json"), F.col("_doc")["pages"]).otherwise(F.split("_body", "\f", -1)).alias("pages"),
             F.col("_doc")["tables"].alias("tables"),
-            F.when(F.col("_json") & F.col("_doc")["pages"].isNull(), F.lit("document is not readable JSON")).alias(
-                "extraction_error"
-            ),
+            F.when(~F.col("_valid"), F.lit("document is not valid UTF-8"))
+            .when(F.col("_json") & F.col("_doc")["pages"].isNull(), F.lit("document is not readable JSON"))
+            .alias("extraction_error"),
         )
     )
 

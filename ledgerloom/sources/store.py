@@ -1,20 +1,19 @@
-"""Keyed Parquet tables: versions of key buckets below one folder, and a pointer to the live ones."""
+"""Keyed tables as plain Parquet that only grows: every write appends rows, the current state is a rollup."""
 
 from __future__ import annotations
 
-import json
+import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.merge import insert_only, replace_by_key, sync_columns, upsert
+from ledgerloom.operators.merge import require_unique, sync_columns, upsert
 
-BUCKET = "_bucket"
-VERSION = "_version"
-_POINTER = "_pointer-"
+BATCH, RANK, GONE = "_batch", "_rank", "_gone"
 
 
 def ensure_table_columns(spark: SparkSession, table: str, columns: dict[str, str]) -> list[str]:
@@ -34,93 +33,47 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
 
 
 class KeyedTable:
-    """A path-based table with a schema and a key.
-
-    Every write adds a version: a folder of key buckets. A small pointer file lists the live
-    versions and, for each, the buckets that later versions replaced; it is written last and under
-    a new name, so a write that breaks off leaves the table as it was and readers never meet half of
-    one. Keys that are new are appended; only buckets that hold a key already stored are written
-    anew. The number of buckets is fixed by the first write and kept in the pointer. One writer at a
-    time is assumed. Reads use the expected schema, so columns added later are NULL in older files.
-    Sources must be materialised first when they are costly or derive from this table.
+    """A folder of appended rows with a key; of each key the rows of the highest rank count.
+
+    A write is one folder of rows with one rank, the time of the write. Inserts have the negative
+    of it, so that any update outranks them and the first of several inserts wins: neither has to look at
+    what is stored. A key that is replaced gets a row without values, which hides all older ones.
+
+    A write may carry a batch name. The same batch again overwrites its own folder under its old rank, and
+    reads nothing of what it wrote before, so a replayed batch leaves the table as one run does. One
+    writer at a time is assumed. Reads use the expected schema, so columns added later are NULL in
+    older rows. Sources must be materialised first when they are costly.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "statement_hash",
-                 buckets: int = 32):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "statement_hash"):
         self.spark, self.path, self.schema, self.key = spark, path, schema, key
-        self.buckets = buckets
-        stored = self._pointer()[1].get("buckets", buckets)
-        if stored != buckets:
-            raise ValueError(f"{path} has {stored} buckets, not {buckets}; rebucket() makes a table with another number")
-
-    # ---- pointer
-
-    def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _pointer(self) -> tuple[int, dict]:
-        """(number, content) of the newest pointer file; -1 and nothing without one."""
-        folder, fs = self._fs()
-        if not fs.exists(folder):
-            return -1, {}
-        names = [f.getPath().getName() for f in fs.listStatus(folder)]
-        numbers = [int(n[len(_POINTER):]) for n in names if n.startswith(_POINTER) and n[len(_POINTER):].isdigit()]
-        if not numbers:
-            return -1, {}
-        newest = max(numbers)
-        stream = fs.open(self.spark._jvm.org.apache.hadoop.fs.Path(self.path, f"{_POINTER}{newest}"))
-        try:
-            content = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return newest, json.loads(content)
-
-    def _switch(self, versions: list[dict]) -> None:
-        """Make these versions the live ones, by renaming a complete file to the next number."""
-        _, fs = self._fs()
-        number, _ = self._pointer()
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path
-        draft, final = jvm_path(self.path, f"_draft-{uuid.uuid4().hex}"), jvm_path(self.path, f"{_POINTER}{number + 1}")
-        stream = fs.create(draft)
-        try:
-            stream.write(bytearray(json.dumps({"buckets": self.buckets, "versions": versions}).encode()))
-        finally:
-            stream.close()
-        if not fs.rename(draft, final):
-            raise RuntimeError(f"another writer switched {self.path}")
-
-    def versions(self) -> list[dict]:
-        return self._pointer()[1].get("versions", [])
 
     # ---- reads
 
-    def _bucket_of(self, key: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
-
-    def _live(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """Rows of the live versions, of the named buckets only: conditions on folders alone."""
-        live = self.versions()
-        full = T.StructType(list(self.schema.fields)).add(VERSION, T.StringType()).add(BUCKET, T.IntegerType())
-        if not live or buckets is not None and not buckets:
+    def _events(self, without: str | None = None) -> DataFrame:
+        full = T.StructType(list(self.schema.fields)).add(RANK, "long").add(GONE, "boolean").add(BATCH, "string")
+        try:
+            rows = self.spark.read.schema(full).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], full)
-        wanted = None
-        for v in live:
-            one = F.col(VERSION) == v["name"]
-            if v["replaced"]:
-                one = one & ~F.col(BUCKET).isin(*v["replaced"])
-            wanted = one if wanted is None else wanted | one
-        rows = self.spark.read.schema(full).parquet(self.path).filter(wanted)
-        return rows if buckets is None else rows.filter(F.col(BUCKET).isin(*buckets))
-
-    def read(self) -> DataFrame:
-        return self._live().drop(VERSION, BUCKET)
-
-    def matching(self, keys: DataFrame) -> DataFrame:
-        """Rows of the keys: only their buckets' folders are read."""
-        found = keys.select(self._bucket_of(self.key).alias(BUCKET)).distinct().collect()
-        rows = self._live([r[0] for r in found]).drop(VERSION, BUCKET)
-        return rows.join(keys.select(self.key).distinct(), self.key, "left_semi")
+        return rows if without is None else rows.filter(F.col(BATCH) != without)
+
+    def _current(self, events: DataFrame, ranks: DataFrame) -> DataFrame:
+        """Rows of each key's highest rank; ranks are chosen on two narrow columns."""
+        latest = ranks.groupBy(self.key).agg(F.max(RANK).alias(RANK))
+        rows = events.filter(~F.col(GONE)).join(latest, [self.key, RANK])
+        return rows.select(*self.schema.fieldNames())
+
+    def read(self, without: str | None = None) -> DataFrame:
+        events = self._events(without)
+        return self._current(events, events)
+
+    def matching(self, keys: DataFrame, without: str | None = None) -> DataFrame:
+        """Rows of the keys only."""
+        events = self._events(without)
+        return self._current(events, events.join(keys.select(self.key).distinct(), self.key, "left_semi"))
 
     # ---- writes
 
@@ -128,78 +81,33 @@ class KeyedTable:
         expected = {f.name: f.dataType.simpleString() for f in self.schema.fields}
         return sync_columns(df, expected).select(*[F.col(c).cast(t).alias(c) for c, t in expected.items()])
 
-    def _add(self, rows: DataFrame, replaced: Sequence[int]) -> None:
-        """Write rows as a new version, then retire the replaced buckets of the older ones."""
-        name = uuid.uuid4().hex
-        placed = self._conform(rows).withColumn(BUCKET, self._bucket_of(self.key))
-        # one writer per bucket; oversized buckets are split by the rebalance
-        placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{VERSION}={name}")
-        gone = set(replaced)
-        kept = [v | {"replaced": sorted(gone | set(v["replaced"]))} for v in self.versions()]
-        kept = [v for v in kept if len(v["replaced"]) < self.buckets]
-        self._switch([*kept, {"name": name, "replaced": []}])
-
-    def _stored_buckets(self, source: DataFrame) -> list[int]:
-        """Buckets that hold keys of the source already; a key the source has twice is an error.
-
-        One job over key columns; at most `buckets` rows come back.
-        """
-        keys = source.groupBy(self.key).agg(F.count("*").alias("_n"))
-        stored = self._live().select(self.key).distinct().withColumn("_stored", F.lit(True))
-        found = (
-            keys.join(stored, self.key, "left")
-            .groupBy(self._bucket_of(self.key).alias(BUCKET))
-            .agg(F.max("_n").alias("most"), F.coalesce(F.max("_stored"), F.lit(False)).alias("stored"))
-            .collect()
-        )
-        if any(r["most"] > 1 for r in found):
-            raise ValueError(f"merge source has several rows for one {self.key}")
-        return [r[BUCKET] for r in found if r["stored"]]
-
-    def append(self, rows: DataFrame) -> None:
-        self._add(rows, [])
-
-    def rewrite(self, source: DataFrame, body: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace the buckets that hold keys of `source` by `body(their rows)`.
-
-        What the body adds for keys of other buckets is appended. The source is unique per key.
-        """
-        buckets = self._stored_buckets(source)
-        self._add(body(self._live(buckets).drop(VERSION, BUCKET)), buckets)
-
-    def insert_new(self, source: DataFrame) -> None:
-        """Insert-only merge: append rows whose key is new."""
-        buckets = self._stored_buckets(source)
-        self.append(insert_only(self._live(buckets), source, self.key) if buckets else source)
-
-    def upsert(self, source: DataFrame, **columns) -> None:
-        self.rewrite(source, lambda current: upsert(current, source, self.key, **columns))
-
-    def replace(self, fresh: DataFrame, touched: DataFrame) -> None:
-        """Delete every row of the touched keys and add the fresh rows."""
-        self.rewrite(
-            touched.select(self.key).distinct(),
-            lambda current: replace_by_key(current, self._conform(fresh), touched, self.key),
+    def _write(self, rows: DataFrame, batch: str | None, sign: int = 1, gone: DataFrame | None = None) -> None:
+        rank = None
+        if batch is not None:
+            rank = self._events().filter(F.col(BATCH) == batch).agg(F.max(F.abs(RANK))).first()[0]
+        placed = self._conform(rows).withColumn(GONE, F.lit(False))
+        if gone is not None:
+            placed = placed.unionByName(self._conform(gone.select(self.key).distinct()).withColumn(GONE, F.lit(True)))
+        placed.withColumn(RANK, F.lit(sign * (rank or time.time_ns()))).write.mode("overwrite").parquet(
+            f"{self.path}/{BATCH}={batch or uuid.uuid4().hex}"
         )
 
-    # ---- upkeep
-
-    def compact(self) -> None:
-        """Write all live rows as one version, and delete what no live version needs."""
-        if self.versions():
-            self._add(self.read(), range(self.buckets))
-        live = {v["name"] for v in self.versions()}
-        folder, fs = self._fs()
-        newest = self._pointer()[0]
-        for f in fs.listStatus(folder) if fs.exists(folder) else []:
-            name = f.getPath().getName()
-            old_version = name.startswith(f"{VERSION}=") and name.split("=", 1)[1] not in live
-            old_pointer = name.startswith(_POINTER) and name != f"{_POINTER}{newest}"
-            if old_version or old_pointer or name.startswith("_draft-"):
-                fs.delete(f.getPath(), True)
-
-    def rebucket(self, path: str, buckets: int) -> "KeyedTable":
-        """A copy of the live rows with another number of buckets, in another folder."""
-        other = KeyedTable(self.spark, path, self.schema, self.key, buckets=buckets)
-        other.append(self.read())
-        return other
+    def insert_new(self, source: DataFrame, batch: str | None = None) -> None:
+        """Insert-only merge: rows whose key is stored already have no effect."""
+        self._write(require_unique(source, self.key), batch, sign=-1)
+
+    def upsert(self, source: DataFrame, batch: str | None = None, **columns) -> None:
+        """Update matched rows and insert the rest; whole rows are written without looking at the stored ones."""
+        if columns or set(self.schema.fieldNames()) - set(source.columns):
+            self.rewrite(source, lambda current: upsert(current, source, self.key, **columns), batch)
+        else:
+            self._write(require_unique(source, self.key), batch)
+
+    def rewrite(self, source: DataFrame, body: Callable[[DataFrame], DataFrame], batch: str | None = None) -> None:
+        """Write `body(current rows of the keys of source)`, with one row per key; the source is unique per key."""
+        keys = require_unique(source, self.key).select(self.key)
+        self._write(body(self.matching(keys, without=batch)), batch)
+
+    def replace(self, fresh: DataFrame, touched: DataFrame, batch: str | None = None) -> None:
+        """The fresh rows, any number per key, stand for all rows of the touched keys."""
+        self._write(fresh, batch, gone=touched)

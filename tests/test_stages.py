@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from ledgerloom.plans import runlog, stages
 from ledgerloom.rules import DEFAULT_POLICY
 from ledgerloom.session import materialise, release_staged
-from ledgerloom.sources.files import decode_files, export_csv, pages_pass_gate, read_files, score_documents
+from ledgerloom.sources.files import decode_files, export_csv, pages_pass_gate, read_files, score_documents, stream_files
 from ledgerloom.sources.store import KeyedTable, create_table, ensure_table_columns
-from ledgerloom.streaming.ingest import ingest_directory
+from ledgerloom.streaming.ingest import drain, ingest_directory
 
 
 def result(spark, key, status, error=None):
@@ -65,79 +65,62 @@ def test_status_sync_keeps_unreported_tasks(spark):
     assert row.validation_task_result_state is None and row.merge_status == "SUCCESS"
 
 
-def test_keyed_table(spark, tmp_path):
+def keyed(spark, path):
     schema = T.StructType().add("k", "string").add("v", T.IntegerType())
-    table = KeyedTable(spark, str(tmp_path / "t"), schema, key="k", buckets=4)
-    frame = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    table = KeyedTable(spark, str(path), schema, key="k")
+    return table, lambda rows: spark.createDataFrame(rows, "k string, v int")
+
+
+def rows_of(table):
+    return sorted(map(tuple, table.read().collect()))
+
+
+def test_keyed_table(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
     assert table.read().count() == 0
     table.insert_new(frame([("a", 1), ("b", 2), ("c", 3)]))
     table.insert_new(frame([("a", 9), ("d", 4)]))
-    assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert rows_of(table) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
     table.upsert(frame([("b", 20), ("e", 5)]))
+    table.insert_new(frame([("b", 21)]))
     assert dict(table.read().collect())["b"] == 20
-    # every row of these keys goes, also when that empties a bucket
-    table.replace(frame([("z", 0)]), frame([(k, 0) for k in "abcz"]).select("k"))
-    assert sorted(map(tuple, table.read().collect())) == [("d", 4), ("e", 5), ("z", 0)]
-    wider = KeyedTable(spark, str(tmp_path / "t"), schema.add("w", "string"), key="k", buckets=4)
+    # every row of these keys goes; a key may get several
+    table.replace(frame([("z", 0), ("z", 1)]), frame([(k, 0) for k in "abcz"]).select("k"))
+    assert rows_of(table) == [("d", 4), ("e", 5), ("z", 0), ("z", 1)]
+    assert sorted(map(tuple, table.matching(frame([("z", 0), ("a", 0), ("e", 0)])).collect())) == [("e", 5), ("z", 0), ("z", 1)]
+    wider = KeyedTable(spark, str(tmp_path / "t"), T.StructType(list(table.schema.fields)).add("w", "string"), key="k")
     assert {r.w for r in wider.read().collect()} == {None}
+    # columns that an upsert does not name keep their value
+    wider.upsert(spark.createDataFrame([("d", "new"), ("f", "only")], "k string, w string"))
+    assert {r.k: (r.v, r.w) for r in wider.read().filter("k in ('d', 'f')").collect()} == {"d": (4, "new"), "f": (None, "only")}
 
 
-def keyed(spark, path, buckets=4):
-    schema = T.StructType().add("k", "string").add("v", T.IntegerType())
-    table = KeyedTable(spark, str(path), schema, key="k", buckets=buckets)
-    return table, lambda rows: spark.createDataFrame(rows, "k string, v int")
-
-
-def test_bucket_count_is_kept(spark, tmp_path):
+def test_a_batch_again_changes_nothing(spark, tmp_path):
     table, frame = keyed(spark, tmp_path / "t")
-    rows = [(f"k{i}", i) for i in range(200)]
-    table.append(frame(rows))
-    for other in (6, 8, 2):
-        with pytest.raises(ValueError):
-            keyed(spark, tmp_path / "t", other)
-    table.upsert(frame([("k7", -7), ("new", 1)]))
-    want = sorted([(k, v) for k, v in rows if k != "k7"] + [("k7", -7), ("new", 1)])
-    assert sorted(map(tuple, table.read().collect())) == want
-    wider = table.rebucket(str(tmp_path / "wider"), 9)
-    wider.upsert(frame([("k8", -8)]))
-    assert dict(wider.read().collect())["k8"] == -8 and wider.read().count() == 201
-
-
-def test_a_write_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
-    table, frame = keyed(spark, tmp_path / "t")
-    table.append(frame([("a", 1), ("b", 2)]))
-    monkeypatch.setattr(KeyedTable, "_switch", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
-    for write in (lambda: table.upsert(frame([("a", 9)])), lambda: table.append(frame([("c", 3)]))):
-        with pytest.raises(RuntimeError):
-            write()
-        assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2)]
-    monkeypatch.undo()
-    table.upsert(frame([("a", 9)]))
-    table.compact()
-    assert sorted(map(tuple, table.read().collect())) == [("a", 9), ("b", 2)]
-    assert len([n for n in os.listdir(tmp_path / "t") if n.startswith("_version")]) == 1
+    raised = lambda current: current.select("k", (F.col("v") + 1).alias("v"))
+    table.insert_new(frame([("a", 1), ("b", 1)]), batch="x-0")
+    table.insert_new(frame([("a", 7), ("c", 1)]), batch="x-1")
+    for _ in range(3):
+        table.rewrite(frame([("a", 0)]), raised, batch="x-2")
+    table.insert_new(frame([("a", 1), ("b", 1)]), batch="x-0")
+    assert rows_of(table) == [("a", 2), ("b", 1), ("c", 1)]
+    # a later write stays the last one when an earlier batch comes again
+    table.upsert(frame([("a", 50)]))
+    table.rewrite(frame([("a", 0)]), raised, batch="x-2")
+    assert dict(rows_of(table))["a"] == 50
+    table.rewrite(frame([("a", 0)]), raised, batch="x-3")
+    assert dict(rows_of(table))["a"] == 51
 
 
 def test_repeated_source_keys_are_refused(spark, tmp_path):
     table, frame = keyed(spark, tmp_path / "t")
-    table.append(frame([("a", 1)]))
+    table.insert_new(frame([("a", 1)]))
     for write in (table.upsert, table.insert_new):
         with pytest.raises(ValueError):
             write(frame([("b", 1), ("b", 2)]))
     assert table.read().count() == 1
 
 
-def test_new_keys_are_appended(spark, tmp_path):
-    table, frame = keyed(spark, tmp_path / "t", 64)
-    table.append(frame([(f"k{i}", i) for i in range(40)]))
-    table.upsert(frame([(f"n{i}", i) for i in range(40)]))
-    assert [v["replaced"] for v in table.versions()] == [[], []]
-    table.upsert(frame([("k0", -1), ("m0", 1)]))
-    assert [len(v["replaced"]) for v in table.versions()] == [1, 1, 0]
-    assert table.read().count() == 81
-    assert {r.k for r in table.matching(frame([("k0", 0), ("n1", 0), ("zz", 0)])).collect()} == {"k0", "n1"}
-
-
 def test_catalog_columns(spark, tmp_path):
     name = "sync_probe"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -176,7 +159,7 @@ def digest(text):
 
 
 def test_stages_end_to_end(spark, tmp_path, incoming):
-    house = stages.Warehouse(spark, str(tmp_path / "tables"), buckets=2)
+    house = stages.Warehouse(spark, str(tmp_path / "tables"))
     ingest_directory(house, str(incoming), str(tmp_path / "ckpt"), "1001")
     bronze = {r.statement_hash: r for r in house.bronze.read().collect()}
     assert set(bronze) == {digest(document("a")), digest(document("b")), digest("{not json")}
@@ -208,11 +191,11 @@ def test_stages_end_to_end(spark, tmp_path, incoming):
 
     # a broken file that was repaired in place comes back through backfill, and one hop is cleared
     (incoming / "broken.json").write_text(document("fixed"))
-    assert stages.backfill(house, "1004") == 1
+    assert stages.backfill(house, "1004", str(incoming)) == 1
     assert digest(document("fixed")) in {r.statement_hash for r in house.bronze.read().collect()}
 
     # a version bump redoes every statement of that stage
-    bumped = stages.Warehouse(spark, house.root, DEFAULT_POLICY.bumped("classification"), buckets=2)
+    bumped = stages.Warehouse(spark, house.root, DEFAULT_POLICY.bumped("classification"))
     assert stages.classify(bumped, "1005").count() == 4
     assert bumped.lines.read().count() == 12
     assert stages.validate(bumped, "1005").count() == 4
@@ -225,8 +208,69 @@ def test_stages_end_to_end(spark, tmp_path, incoming):
     assert stages.sync_status(bumped, "interactive-1", "{}").count() == 0
 
 
+def log_of(house):
+    return sorted((r.statement_hash, r.pdf_extraction_status, r.pdf_extraction_attempt_count, r.run_id) for r in house.log.read().collect())
+
+
+@pytest.mark.parametrize("lost", ["between", "after"])
+def test_a_replayed_batch_counts_once(spark, tmp_path, incoming, monkeypatch, lost):
+    """The driver dies between the bronze write and the log, or before the checkpoint; the batch comes again."""
+    once = stages.Warehouse(spark, str(tmp_path / "once"))
+    ingest_directory(once, str(incoming), str(tmp_path / "ckpt-once"), "1")
+    house = stages.Warehouse(spark, str(tmp_path / "tables"))
+    record = stages.Warehouse.record
+
+    def dies(self, *args, **options):
+        if lost == "after":
+            record(self, *args, **options)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(stages.Warehouse, "record", dies)
+    with pytest.raises(Exception, match="driver lost"):
+        ingest_directory(house, str(incoming), str(tmp_path / "ckpt"), "1")
+    monkeypatch.undo()
+    ingest_directory(house, str(incoming), str(tmp_path / "ckpt"), "1")
+    assert log_of(house) == log_of(once) and {r[2] for r in log_of(house)} == {1}
+    assert house.bronze.read().count() == once.bronze.read().count() == 3
+    # another delivery of the same content is another attempt
+    (incoming / "again.json").write_text(document("b"))
+    ingest_directory(house, str(incoming), str(tmp_path / "ckpt"), "2")
+    assert [r[2:] for r in log_of(house) if r[0] == digest(document("b"))] == [(2, "2")]
+
+
+def test_broken_bytes_fail_alone_and_are_read_again(spark, tmp_path, incoming):
+    (incoming / "bytes.txt").write_bytes(b"IFSC debit \xff\xfe\x80")
+    (incoming / "good.txt").write_text("IFSC débit")
+    (incoming / "bad.json").write_bytes(document("a").encode().replace(b"padding", b"padd\xffng", 1))
+    house = stages.Warehouse(spark, str(tmp_path / "tables"))
+    ingest_directory(house, str(incoming), str(tmp_path / "ckpt"), "1", glob="*.{txt,json}")
+    rows = {r.source_path.rsplit("/", 1)[1]: r for r in house.bronze.read().collect()}
+    assert {n for n, r in rows.items() if r.extraction_error == "document is not valid UTF-8"} == {"bytes.txt", "bad.json"}
+    assert rows["bytes.txt"].raw_text == "" and rows["good.txt"].raw_text == "IFSC débit" and rows["a.json"].extraction_error is None
+    status = {r.source_path.rsplit("/", 1)[1]: r.pdf_extraction_status for r in house.log.read().collect()}
+    assert (status["bytes.txt"], status["good.txt"], status["b.json"]) == ("FAILED", "SUCCESS", "SUCCESS")
+    assert stages.backfill(house, "2", str(incoming), "*.{txt,json}") == 3
+    attempts = {r.source_path.rsplit("/", 1)[1]: r.pdf_extraction_attempt_count for r in house.log.read().collect()}
+    assert (attempts["bytes.txt"], attempts["good.txt"]) == (2, 1)
+
+
+def test_batches_are_bounded_by_bytes_and_sources_archived(spark, tmp_path):
+    folder, archive = tmp_path / "in", tmp_path / "done"
+    folder.mkdir()
+    for k, size in enumerate((10, 20, 50_000, 10, 90_000, 30)):
+        (folder / f"{k}.txt").write_text(f"{k} " + "x" * size)
+        os.utime(folder / f"{k}.txt", (1_700_000_000 + k, 1_700_000_000 + k))
+    seen = []
+    stream = stream_files(spark, str(folder), "*.txt", batch_bytes=50_100, archive=str(archive))
+    drain(stream, lambda batch, name: seen.append((name, batch.count())), str(tmp_path / "ckpt"))
+    assert len(seen) >= 3 and sum(n for _, n in seen) == 6 and len({name for name, _ in seen}) == len(seen)
+    (folder / "late.txt").write_text("late")
+    drain(stream_files(spark, str(folder), "*.txt", batch_bytes=50_100, archive=str(archive)), lambda batch, name: batch.count(), str(tmp_path / "ckpt"))
+    assert sum(1 for _ in archive.rglob("*.txt")) >= 3
+
+
 def test_statement_that_lost_its_lines(spark, tmp_path, incoming):
-    house = stages.Warehouse(spark, str(tmp_path / "tables"), buckets=2)
+    house = stages.Warehouse(spark, str(tmp_path / "tables"))
     ingest_directory(house, str(incoming), str(tmp_path / "ckpt"), "1")
     stages.classify(house, "1")
     stages.validate(house, "1")
@@ -234,7 +278,7 @@ def test_statement_that_lost_its_lines(spark, tmp_path, incoming):
     assert house.features.read().count() == 2
     a = house.bronze.read().filter(F.col("statement_hash") == digest(document("a")))
     house.bronze.upsert(materialise(a.withColumns({"raw_text": F.lit("nothing here"), "tables_json": F.lit("[]")})))
-    newer = stages.Warehouse(spark, house.root, DEFAULT_POLICY.bumped("classification"), buckets=2)
+    newer = stages.Warehouse(spark, house.root, DEFAULT_POLICY.bumped("classification"))
     stages.classify(newer, "2")
     verdicts = {r.statement_hash: r for r in stages.validate(newer, "2").collect()}
     assert (verdicts[digest(document("a"))].validation_status, verdicts[digest(document("a"))].total_lines) == ("FAILED", 0)
@@ -246,8 +290,8 @@ def test_statement_that_lost_its_lines(spark, tmp_path, incoming):
 
 
 def test_failed_rollup_is_logged_and_raised(spark, tmp_path, monkeypatch):
-    house = stages.Warehouse(spark, str(tmp_path / "tables"), buckets=2)
-    house.validated.append(spark.createDataFrame([("a", "PASSED")], "statement_hash string, validation_status string"))
+    house = stages.Warehouse(spark, str(tmp_path / "tables"))
+    house.validated.upsert(spark.createDataFrame([("a", "PASSED")], "statement_hash string, validation_status string"))
     monkeypatch.setattr(stages, "account_features", lambda _: (_ for _ in ()).throw(RuntimeError("x" * 900)))
     with pytest.raises(RuntimeError):
         stages.roll_up(house, "9")

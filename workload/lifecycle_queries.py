@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,9 +12,10 @@ from pyspark.sql import types as T
 from ledgerloom import rules
 from ledgerloom.operators.summary import ordered_export
 from ledgerloom.plans import runlog
-from ledgerloom.plans.stages import Warehouse, backfill, classify, roll_up, validate
+from ledgerloom.plans.stages import Warehouse, backfill, classify, extract, ingest_batch, roll_up, sync_status, validate
 from ledgerloom.session import materialise, new_path
-from ledgerloom.sources.files import export_csv
+from ledgerloom.sources.files import export_csv, read_files
+from ledgerloom.sources.store import create_table, ensure_table_columns
 from ledgerloom.streaming.ingest import ingest_directory
 from workload.fixtures import STATEMENTS_SQL, grid_cells, joined, paged_tables, per_statement, plain_text_line, statement_lines
 from workload.ledger_queries import VERDICT_SQL, chain_sql
@@ -79,7 +83,7 @@ def version_bump_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 def _stored_statements(spark: SparkSession, d: str, name: str) -> Warehouse:
     """All statements in bronze with text and tables, logged as extracted."""
-    house = Warehouse(spark, new_path(spark, name), buckets=8)
+    house = Warehouse(spark, new_path(spark, name))
     statements = per_statement(statement_lines(spark, d), cells=grid_cells(), text=plain_text_line())
     bronze = bronze_of(statements, joined(F.col("text")), paged_tables(F.col("cells"))).withColumns(
         {"route": F.lit("CPU"), "source_path": F.concat(F.lit("/in/"), F.col("statement_hash"))}
@@ -112,7 +116,7 @@ def zero_line_retraction(spark: SparkSession, d: str) -> DataFrame:
     gone = house.bronze.read().filter(F.substring("statement_hash", 1, 1) < "6")
     emptied = gone.withColumns({"raw_text": F.lit("no transactions here"), "tables_json": F.lit("[]")})
     house.bronze.upsert(materialise(emptied, "emptied"))
-    newer = Warehouse(spark, house.root, rules.DEFAULT_POLICY.bumped("classification"), buckets=8)
+    newer = Warehouse(spark, house.root, rules.DEFAULT_POLICY.bumped("classification"))
     classify(newer, "2")
     validate(newer, "2")
     roll_up(newer, "2")
@@ -139,11 +143,15 @@ def _document_files(spark: SparkSession, d: str, folder: str) -> None:
 def _ingested(spark: SparkSession, d: str, name: str) -> Warehouse:
     root = new_path(spark, name)
     _document_files(spark, d, f"{root}/incoming")
-    house = Warehouse(spark, f"{root}/tables", buckets=8)
+    house = Warehouse(spark, f"{root}/tables")
     ingest_directory(house, f"{root}/incoming", f"{root}/checkpoint", "31", glob="*.txt")
     return house
 
 
+def _incoming(house: Warehouse) -> str:
+    return house.root.removesuffix("tables") + "incoming"
+
+
 def _shown(house: Warehouse, *columns: Column | str) -> DataFrame:
     log = house.log.read().drop("source_path")
     return house.bronze.read().join(log, "statement_hash").select("statement_hash", *columns)
@@ -172,14 +180,97 @@ def file_ingest(spark: SparkSession, d: str) -> DataFrame:
 def file_backfill(spark: SparkSession, d: str) -> DataFrame:
     """Newer extraction logic re-reads every file by its name."""
     house = _ingested(spark, d, "backfill")
-    newer = Warehouse(spark, house.root, rules.DEFAULT_POLICY.bumped("pdf_extraction"), buckets=8)
-    backfill(newer, "32")
+    newer = Warehouse(spark, house.root, rules.DEFAULT_POLICY.bumped("pdf_extraction"))
+    backfill(newer, "32", _incoming(house), glob="*.txt")
     return _shown(
         newer, F.length("raw_text").alias("chars"), "pipeline_stages", "pdf_extraction_status",
         "pdf_extraction_attempt_count", "pdf_extraction_logic_version", "run_id",
     )
 
 
+@query(
+    "file_replay",
+    f"""with {_FILES_SQL} select sha256(body) as statement_hash, case when f % 2 = 0 then 2 else 1 end as pdf_extraction_attempt_count,
+        case when f % 2 = 0 then '52' else '51' end as run_id, 'SUCCESS' as pdf_extraction_status from files""",
+)
+def file_replay(spark: SparkSession, d: str) -> DataFrame:
+    """A batch that lost its driver after the bronze write, and after the log, counts once; another batch counts again."""
+    root = new_path(spark, "file-replay")
+    _document_files(spark, d, f"{root}/incoming")
+    files = read_files(spark, f"{root}/incoming", "*.txt")
+    house = Warehouse(spark, f"{root}/tables")
+    # what the first delivery had written before it broke off
+    house.bronze.insert_new(materialise(extract(files, "bronze_extraction"), "lost"), "stream-0")
+    for _ in range(2):
+        ingest_batch(house, files, "51", "stream-0")
+    ingest_batch(house, files.filter(F.regexp_extract("path", "f=([0-9]+)", 1).cast("long") % 2 == 0), "52", "stream-1")
+    return _shown(house, "pdf_extraction_attempt_count", "run_id", "pdf_extraction_status")
+
+
+@query(
+    "broken_files",
+    f"""with {_FILES_SQL} select f, f % 3 = 0 as broken, case when f % 3 = 0 then 'FAILED' else 'SUCCESS' end as status,
+        case when f % 3 = 0 then 'document is not valid UTF-8' end as error, case when f % 3 = 0 then 0 else length(body) end as chars,
+        case when f % 3 = 0 then 2 else 1 end as attempts
+        from files""",
+)
+def broken_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose bytes are no text fail alone and are read again; the others pass."""
+    root = new_path(spark, "broken-files")
+    _document_files(spark, d, f"{root}/incoming")
+    number = F.regexp_extract("path", "f=([0-9]+)", 1).cast("long")
+    broken = F.expr("concat(content, x'fffe80')")
+    files = read_files(spark, f"{root}/incoming", "*.txt").select("path", F.when(number % 3 == 0, broken).otherwise(F.col("content")).alias("content"))
+    house = Warehouse(spark, f"{root}/tables")
+    ingest_batch(house, files, "61")
+    # the failed ones are due again, and fail again
+    due = house.eligible(house.bronze.read().select("statement_hash", F.col("source_path").alias("path")), "pdf_extraction")
+    ingest_batch(house, files.join(materialise(due.select("path"), "due"), "path", "left_semi"), "62")
+    return house.bronze.read().join(house.log.read().drop("source_path"), "statement_hash").select(
+        F.regexp_extract("source_path", "f=([0-9]+)", 1).cast("long").alias("f"),
+        F.col("extraction_error").isNotNull().alias("broken"),
+        F.col("pdf_extraction_status").alias("status"),
+        F.col("pdf_extraction_error").alias("error"),
+        F.length("raw_text").alias("chars"),
+        F.col("pdf_extraction_attempt_count").alias("attempts"),
+    )
+
+
+@query(
+    "status_synced",
+    f"""with {_FILES_SQL} select sha256(body) as statement_hash, '31' as run_id, 12.345::double as job_total_duration_sec,
+        'SUCCESS' as job_overall_result_state, 2.5::double as merge_task_duration_sec, null::varchar as validation_task_result_state from files""",
+)
+def status_synced(spark: SparkSession, d: str) -> DataFrame:
+    """One literal status document reaches every log row that its run stamped."""
+    house = _ingested(spark, d, "status")
+    task = next(k for k, prefix in rules.TASK_PREFIXES.items() if prefix == "merge")
+    document = {"run_duration": 12345, "state": {"result_state": "SUCCESS"}, "tasks": [{"task_key": task, "execution_duration": 2500}]}
+    return sync_status(house, "31", json.dumps(document)).select(
+        "statement_hash", "run_id", "job_total_duration_sec", "job_overall_result_state", "merge_task_duration_sec",
+        "validation_task_result_state",
+    )
+
+
+@query(
+    "catalog_sync",
+    "select c_custkey, c_acctbal, null::varchar as c_note, null::int as c_grade from customer",
+)
+def catalog_sync(spark: SparkSession, d: str) -> DataFrame:
+    """A catalog table made when absent, filled, and brought up to a wider schema twice."""
+    name = f"catalog_sync_{uuid.uuid4().hex}"
+    first = T.StructType().add("c_custkey", "long").add("c_acctbal", "double")
+    wider = T.StructType(list(first.fields)).add("c_note", "string")
+    create_table(spark, name, first)
+    try:
+        table(spark, d, "customer").select(F.col("c_custkey").cast("long"), F.col("c_acctbal").cast("double")).write.insertInto(name)
+        create_table(spark, name, wider)
+        ensure_table_columns(spark, name, {"c_note": "string", "c_grade": "int"})
+        return materialise(spark.table(name), "catalog")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 @query(
     "exported_csv",
     f"""with {STATEMENTS_SQL} select statement_hash, line_no, narration, running_balance from lines

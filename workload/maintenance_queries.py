@@ -389,7 +389,7 @@ def _bronze_rows(docs: DataFrame) -> DataFrame:
 
 def _stream_documents(spark: SparkSession, d: str, name: str) -> tuple[KeyedTable, str]:
     root = new_path(spark, name)
-    target = KeyedTable(spark, f"{root}/bronze", _STREAMED, buckets=8)
+    target = KeyedTable(spark, f"{root}/bronze", _STREAMED)
     _drain_documents(spark, d, target, f"{root}/checkpoint")
     return target, f"{root}/checkpoint"
 
@@ -400,7 +400,7 @@ def _drain_documents(spark: SparkSession, d: str, target: KeyedTable, checkpoint
         .option("pathGlobFilter", "documents.parquet")
         .parquet(d)
     )
-    drain(stream, lambda batch, _: target.insert_new(materialise(_bronze_rows(batch), "batch")), checkpoint)
+    drain(stream, lambda batch, name: target.insert_new(materialise(_bronze_rows(batch), "batch"), name), checkpoint)
 
 
 @query("stream_ingest", _STREAMED_SQL)

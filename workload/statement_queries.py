@@ -390,7 +390,7 @@ def statements_to_features(spark: SparkSession, d: str) -> DataFrame:
 )
 def incremental_stages(spark: SparkSession, d: str) -> DataFrame:
     """The stored stages: bronze rows with text and tables are logged, classified, validated, rolled up."""
-    house = Warehouse(spark, new_path(spark, "warehouse"), buckets=8)
+    house = Warehouse(spark, new_path(spark, "warehouse"))
     statements = per_statement(statement_lines(spark, d), cells=grid_cells(), text=plain_text_line())
     bronze = bronze_of(statements, joined(F.col("text")), paged_tables(F.col("cells"))).withColumns(
         {"route": F.lit("CPU"), "source_path": F.concat(F.lit("/in/"), F.col("statement_hash"))}
