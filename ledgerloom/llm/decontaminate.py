@@ -12,9 +12,9 @@ it. The walk is the same for windows of all item sizes as far as it is read here
 of the samples is looked up in a bitmap and drops most windows; the walk goes on only for the rest.
 The walks read about 20 characters, so items with few words or many edits may have no clean window. Items
 under PIECES_BELOW characters are also looked up by pigeonhole: cut into one piece more than edits are
-allowed, one piece at least stands unchanged in the document, at any place. Items under MIN_CHARS are found
-as they are. A candidate fixes which stretch of the document, as long as the item, to compare; the smallest edit
-distance between the item and any part of that stretch decides.
+allowed, one piece at least stands unchanged in the document, at any place. A candidate fixes which stretch
+of the document, as long as the item, to compare; a bound by shared grams, taken for all candidates at once,
+rules most of them out, and the smallest edit distance between the item and any part of the stretch decides.
 """
 
 from __future__ import annotations
@@ -37,8 +37,6 @@ TYPICAL_CHARS = 200
 #: Steps of the walk behind the first lookup and behind the whole key, and how many are sampled.
 SHORT_STEPS, SHORT_SAMPLES = 16, 8
 STEPS, SAMPLES = 40, 16
-#: Items with fewer characters are too short to tell an edited leak from common speech; they match whole only.
-MIN_CHARS = 24
 #: Items with fewer characters are looked up by pieces too, of at most so many characters.
 PIECES_BELOW, PIECE = TYPICAL_CHARS, 12
 #: From this code on, scripts are written without blanks: every character begins a window.
@@ -48,16 +46,20 @@ BLOCK_CHARS = 4 << 20
 #: Characters of document text, and windows, that are walked at once.
 STRETCH = 1 << 19
 WINDOWS = 1 << 16
-#: Characters of the stretches whose number bounds the edit distance from below; four fit a number.
+#: Places whose piece keys are looked up at once, so that they stay in a core's cache.
+PLACES = 1 << 14
+#: Characters of the grams whose number bounds the edit distance from below, and the slots they are hashed to.
 GRAM = 4
-_BITMAP_BITS = 22
+_GRAM_BITS = 12
+#: Candidates whose grams are compared at once.
+CANDIDATES = 256
 _SEED = 20_240_601
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _letters() -> np.ndarray:
     """Per code point of the basic plane: its lower-case form if letter or digit, else blank."""
-    table = np.full(1 << 16, 32, np.uint16)
+    table = np.full(1 << 16, 32, np.uint32)
     for code in range(1 << 16):
         char = chr(code)
         if char.isalnum():
@@ -72,7 +74,7 @@ _table: np.ndarray | None = None
 def normalise(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(characters, their places in the text): lower-case letters and digits, other runs as one blank.
 
-    A blank stands at either end. Characters beyond the basic plane count as one letter each.
+    A blank stands at either end. Characters beyond the basic plane count as letters and stay as they are.
     """
     global _table
     if _table is None:
@@ -81,8 +83,8 @@ def normalise(text: str) -> tuple[np.ndarray, np.ndarray]:
     chars = _table[np.minimum(codes, 0xFFFF)]
     beyond = codes > 0xFFFF
     if beyond.any():
-        chars[beyond] = 0x4000 | (codes[beyond] & 0x3FFF).astype(np.uint16)
-    chars = np.concatenate([[np.uint16(32)], chars, [np.uint16(32)]])
+        chars[beyond] = codes[beyond]
+    chars = np.concatenate([[np.uint32(32)], chars, [np.uint32(32)]])
     keep = np.ones(len(chars), bool)
     keep[1:] = (chars[1:] != 32) | (chars[:-1] != 32)
     return chars[keep], np.flatnonzero(keep) - 1
@@ -93,12 +95,20 @@ def word_starts(chars: np.ndarray) -> np.ndarray:
 
 
 def piece_keys(chars: np.ndarray, width: int) -> np.ndarray:
-    """A number for the `width` characters from each place on."""
+    """A number for the `width` characters from each place on, put together from halves."""
+    if len(chars) < width:
+        return np.empty(0, np.uint64)
+    if width == 1:
+        return chars.astype(np.uint64)
+    half = width // 2
+    key = piece_keys(chars, half)
     n = len(chars) - width + 1
-    key = np.zeros(max(n, 0), np.uint64)
-    for k in range(width if n > 0 else 0):
-        key = key * _GOLD + chars[k : k + n]
-    return key
+    out = key[:n] * _power(half) + key[half : half + n]
+    return out if width == 2 * half else out * _GOLD + chars[width - 1 :]
+
+
+def _power(n: int) -> np.uint64:
+    return np.uint64(pow(int(_GOLD), n, 1 << 64))
 
 
 def cut(size: int, allowed: int) -> tuple[list[int], int]:
@@ -135,12 +145,46 @@ class Walk:
 
 def symbols_of(chars: np.ndarray) -> np.ndarray:
     """Eight bits per character, with blanks behind the end for walks that run past it."""
-    low = (chars ^ (chars >> np.uint16(8))).astype(np.uint8)
+    low = (chars ^ (chars >> np.uint32(8)) ^ (chars >> np.uint32(16))).astype(np.uint8)
     return np.concatenate([low, np.full(STEPS + 1, 32, np.uint8)])
 
 
-def _spot(keys: np.ndarray) -> np.ndarray:
-    return ((keys ^ (keys >> np.uint64(29))) * _GOLD) >> np.uint64(64 - _BITMAP_BITS)
+class KeySet:
+    """Sorted keys with their targets, behind a bitmap that is as large as their number asks for."""
+
+    def __init__(self, keys: np.ndarray, targets: np.ndarray) -> None:
+        order = np.argsort(keys, kind="stable")
+        keys, targets = keys[order], targets[order].reshape(-1, 2)
+        # every key once, with the row where its targets begin
+        self.keys, first = np.unique(keys, return_index=True)
+        self.first, self.targets = np.append(first, len(keys)), targets
+        self.bitmap = self.bitmap_of(keys)
+
+    @staticmethod
+    def bitmap_of(keys: np.ndarray) -> np.ndarray:
+        bitmap = np.zeros(1 << max(12, min(22, (64 * len(keys)).bit_length())), bool)
+        bitmap[spots(keys, bitmap)] = True
+        return bitmap
+
+    def lookup(self, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place where it would begin) of all targets that the keys have."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == keys)
+        at = at[hit]
+        rows, owner = ranges(self.first[at], self.first[at + 1])
+        found = self.targets[rows]
+        return found[:, 0], places[hit][owner] - found[:, 1]
+
+
+def spots(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    return ((keys ^ (keys >> np.uint64(29))) * _GOLD) >> np.uint64(65 - len(bitmap).bit_length())
+
+
+def ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges in a row, and which range each is from."""
+    sizes = last - first
+    owner = np.repeat(np.arange(len(first)), sizes)
+    return np.arange(int(sizes.sum())) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes), owner
 
 
 def edit_distance_in(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int]:
@@ -170,18 +214,6 @@ def edit_distance_in(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _looked_up(keys: np.ndarray, targets: np.ndarray, key: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(item, place where it would begin) of the keys that the sorted ones hold."""
-    if not len(keys):
-        return
-    lo = np.searchsorted(keys, key, "left")
-    hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == key)
-    hi = np.searchsorted(keys, key[hit], "right")
-    for k, end in zip(hit.tolist(), hi.tolist()):
-        for n, offset in targets[lo[k] : end].tolist():
-            yield n, int(places[k]) - offset
-
-
 def _stands_alone(chars: np.ndarray, begin: int, size: int) -> bool:
     """Whether no word goes on over either end; scripts without blanks have no such ends."""
     if begin < 1 or begin + size >= len(chars):
@@ -191,82 +223,95 @@ def _stands_alone(chars: np.ndarray, begin: int, size: int) -> bool:
 
 
 class Index:
-    """Windows of a block of benchmark items, by key, for each walk."""
+    """Windows and pieces of a block of benchmark items, by key."""
 
     def __init__(self, items: list[tuple[object, str]], max_distance: float, walks: int) -> None:
         self.max_distance = max_distance
         self.names, self.items = [], []
         for name, text in items:
-            chars = normalise(text)[0][1:-1] if text else np.empty(0, np.uint16)
+            chars = normalise(text)[0][1:-1] if text else np.empty(0, np.uint32)
             if len(chars):
                 self.names.append(name)
                 self.items.append(chars)
-        self.allowed = [int(max_distance * len(c)) if len(c) >= MIN_CHARS else 0 for c in self.items]
-        self.grams = [grams(c) for c in self.items]
-        pieces: dict[int, list[tuple[int, int, int]]] = {}  # width: key, item, start
-        for n, chars in enumerate(self.items):
-            if len(chars) < PIECES_BELOW:
-                starts, width = cut(len(chars), self.allowed[n])
-                for start in starts if width else ():
-                    pieces.setdefault(width, []).append((int(piece_keys(chars[start : start + width], width)[0]), n, start))
-        self.pieces = []
-        for width, own in sorted(pieces.items()):
-            own.sort()
-            keys = np.array([k for k, _, _ in own], np.uint64)
-            bitmap = np.zeros(1 << _BITMAP_BITS, bool)
-            bitmap[_spot(keys)] = True
-            self.pieces.append((width, bitmap, keys, np.array([x[1:] for x in own], np.int64)))
+        self.sizes = np.array([len(c) for c in self.items], np.int64)
+        self.allowed = (max_distance * self.sizes).astype(np.int64)
+        grams = [gram_slots(c) for c in self.items]
+        self.gram_ends = np.cumsum([0, *map(len, grams)])
+        self.grams = np.concatenate([np.empty(0, np.int64), *grams])
+        self.pieces = self._piece_sets()
         self.walks = [Walk(k) for k in range(walks)]
-        self.maps, self.keys, self.targets = [], [], []
+        self.windows: list[tuple[np.ndarray, KeySet]] = []
         for walk in self.walks:
-            bitmap = np.zeros(1 << _BITMAP_BITS, bool)
-            keys, targets = [], []
+            short, keys, targets = [], [], []
             for n, chars in enumerate(self.items):
-                if len(chars) < MIN_CHARS:
-                    continue
-                # a walk reads half as many characters as it has steps, on average
+                # a walk reads half as many characters as it has steps, on average; pieces see shorter items
                 starts = np.concatenate([[0], word_starts(chars)])
-                starts = starts[(starts == 0) | (starts <= len(chars) - MIN_CHARS)]
+                starts = starts[(starts == 0) | (starts <= len(chars) - STEPS // 2)]
                 symbols = symbols_of(chars)
                 at, key = walk.advance(symbols, starts, np.zeros(len(starts), np.uint64), 0, SHORT_STEPS)
-                bitmap[_spot(key)] = True
+                short.append(key)
                 _, key = walk.advance(symbols, at, key, SHORT_STEPS, STEPS)
                 keys.append(key)
                 targets += [(n, int(s)) for s in starts]
-            keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-            order = np.argsort(keys, kind="stable")
-            self.maps.append(bitmap)
-            self.keys.append(keys[order])
-            self.targets.append(np.array(targets, np.int64).reshape(-1, 2)[order])
-
-    def candidates(self, chars: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place where it would begin) for windows of the characters that share a key."""
-        found: set[tuple[int, int]] = set()
+            if keys:
+                found = KeySet(np.concatenate(keys), np.array(targets, np.int64))
+                self.windows.append((KeySet.bitmap_of(np.concatenate(short)), found))
+
+    def _piece_sets(self) -> list[tuple[int, KeySet]]:
+        """One key width, the least of the pieces, serves all but items so short that it would match anything."""
+        cuts = {}
+        for n in np.flatnonzero(self.sizes < PIECES_BELOW).tolist():
+            starts, width = cut(int(self.sizes[n]), int(self.allowed[n]))
+            cuts[n] = starts, width
+        usual = min((w for _, w in cuts.values() if w >= PIECE // 2), default=0)
+        sets: dict[int, list[tuple[int, int, int]]] = {}
+        for n, (starts, width) in cuts.items():
+            width = usual if width >= PIECE // 2 else width
+            for start in starts:
+                key = piece_keys(self.items[n][start : start + width], width)
+                sets.setdefault(width, []).append((int(key[0]), n, start))
+        return [
+            (width, KeySet(np.array([k for k, _, _ in own], np.uint64), np.array([x[1:] for x in own], np.int64)))
+            for width, own in sorted(sets.items())
+        ]
+
+    def candidates(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place where it would begin) for windows and pieces of the characters that share a key."""
+        items, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         symbols, all_starts = symbols_of(chars), word_starts(chars)
-        for walk, bitmap, keys, targets in zip(self.walks, self.maps, self.keys, self.targets):
+        for walk, (bitmap, found) in zip(self.walks, self.windows):
             for s in range(0, len(all_starts), WINDOWS):
                 starts = all_starts[s : s + WINDOWS]
                 at, key = walk.advance(symbols, starts, np.zeros(len(starts), np.uint64), 0, SHORT_STEPS)
-                on = np.flatnonzero(bitmap[_spot(key)])
-                if not len(on):
-                    continue
+                on = np.flatnonzero(bitmap[spots(key, bitmap)])
                 _, key = walk.advance(symbols, at[on], key[on], SHORT_STEPS, STEPS)
-                found.update(_looked_up(keys, targets, key, starts[on]))
-        for width, bitmap, keys, targets in self.pieces:
-            key = piece_keys(chars, width)
-            on = np.flatnonzero(bitmap[_spot(key)])
-            found.update(_looked_up(keys, targets, key[on], on))
-        return found
-
-    def distance(self, n: int, stretch: np.ndarray) -> tuple[int, int] | None:
-        """(edit distance, end in the stretch) of item n, or None beyond the allowed distance."""
-        item, allowed = self.items[n], self.allowed[n]
-        # an edit destroys at most GRAM of the item's grams, so more missing ones rule it out
-        missing = ~np.isin(self.grams[n], grams(stretch))
-        if np.count_nonzero(missing) > GRAM * allowed:
-            return None
-        found = edit_distance_in(item, stretch)
-        return found if found[0] <= allowed else None
+                n, place = found.lookup(key, starts[on])
+                items.append(n)
+                places.append(place)
+        for width, found in self.pieces:
+            for s in range(0, len(chars) - width + 1, PLACES):
+                key = piece_keys(chars[s : s + PLACES + width - 1], width)
+                on = np.flatnonzero(found.bitmap[spots(key, found.bitmap)])
+                n, place = found.lookup(key[on], s + on)
+                items.append(n)
+                places.append(place)
+        return np.concatenate(items), np.concatenate(places)
+
+    def _near(self, n: np.ndarray, lo: np.ndarray, hi: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Which candidates the grams leave: an edit destroys at most GRAM of an item's grams.
+
+        Grams that share a slot can only make a candidate look nearer.
+        """
+        out = np.zeros(len(n), bool)
+        for s in range(0, len(n), CANDIDATES):
+            part = slice(s, s + CANDIDATES)
+            there = np.zeros((len(n[part]), 1 << _GRAM_BITS), bool)
+            rows, owner = ranges(lo[part], np.maximum(hi[part] - GRAM + 1, lo[part]))
+            there[owner, slots[rows]] = True
+            rows, owner = ranges(self.gram_ends[n[part]], self.gram_ends[n[part] + 1])
+            missing = np.bincount(owner[~there[owner, self.grams[rows]]], minlength=len(there))
+            out[part] = missing <= GRAM * self.allowed[n[part]]
+        return out
 
     def matches(self, texts: list[str]) -> list[list[tuple[object, int, int, int]]]:
         """Per text (item name, distance, start, end) of each item it holds, best place each.
@@ -277,43 +322,47 @@ class Index:
         begins = np.zeros(len(texts) + 1, np.int64)
         begins[1:] = np.cumsum([len(c) for c, _ in normal])
         chars = np.concatenate([c for c, _ in normal])
+        n, begin = self.candidates(chars)
+        size, allowed = self.sizes[n], self.allowed[n]
+        middle = np.searchsorted(begins, np.clip(begin + size // 2, 0, len(chars) - 1), "right") - 1
+        spans = []
+        for side in (-1, 0, 1):  # the middle may lie in a neighbour if the item is cut off by the text's end
+            doc = middle + side
+            inside = (doc >= 0) & (doc < len(texts))
+            doc = np.clip(doc, 0, len(texts) - 1)
+            lo, hi = np.maximum(begins[doc], begin - 3 * allowed - 1), np.minimum(begins[doc + 1], begin + size + 3 * allowed + 1)
+            keep = inside & (hi - lo >= size - allowed)
+            spans.append(np.stack([n, doc, begin // (allowed + 1), begin, lo, hi])[:, keep])
+        spans = np.concatenate(spans, axis=1)
+        # candidates that begin about the same place look at the same stretch; they are tried once
+        spans = spans[:, np.lexsort(spans[3::-1])]
+        new = np.ones(spans.shape[1], bool)
+        new[1:] = (spans[:3, 1:] != spans[:3, :-1]).any(axis=0)
+        # where no edit is allowed, every place counts
+        spans = spans[:, new | (self.allowed[spans[0]] == 0)]
+        if spans.shape[1]:
+            spans = spans[:, self._near(spans[0], spans[4], spans[5], gram_slots(chars))]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        tried: set[tuple[int, int]] = set()
-        for n, begin in sorted(self.candidates(chars)):
-            size, allowed = len(self.items[n]), self.allowed[n]
-            if size < MIN_CHARS and not _stands_alone(chars, begin, size):
+        for n, d, _, begin, lo, hi in spans.T.tolist():
+            size, allowed = int(self.sizes[n]), int(self.allowed[n])
+            if best.get((d, n), (1,))[0] == 0 or (not allowed and not _stands_alone(chars, begin, size)):
+                continue
+            distance, end = edit_distance_in(self.items[n], chars[lo:hi])
+            if distance >= best.get((d, n), (allowed + 1,))[0]:
                 continue
-            doc = int(np.searchsorted(begins, max(begin + size // 2, 0), "right")) - 1
-            for d in {max(0, doc - 1), min(doc, len(texts) - 1), min(doc + 1, len(texts) - 1)}:
-                # the middle may lie in a neighbour if the item is cut off by the text's end
-                lo, hi = max(begins[d], begin - 3 * allowed - 1), min(begins[d + 1], begin + size + 3 * allowed + 1)
-                if hi - lo < size - allowed or best.get((d, n), (1,))[0] == 0:
-                    continue
-                spot = (n, d, begin // (allowed + 1))
-                if spot in tried:
-                    continue
-                tried.add(spot)
-                found = self.distance(n, chars[lo:hi])
-                if found is None or found[0] >= best.get((d, n), (allowed + 1,))[0]:
-                    continue
-                end = int(lo) + found[1] - int(begins[d])
-                places = normal[d][1]
-                first, last = int(places[max(end - size, 0)]), int(places[max(end - 1, 0)]) + 1
-                best[d, n] = (found[0], max(0, first), min(last, len(texts[d])))
+            end += lo - int(begins[d])
+            places = normal[d][1]
+            first, last = int(places[max(end - size, 0)]), int(places[max(end - 1, 0)]) + 1
+            best[d, n] = (distance, max(0, first), min(last, len(texts[d])))
         out: list[list] = [[] for _ in texts]
         for (d, n), found in sorted(best.items()):
             out[d].append((self.names[n], *found))
         return out
 
 
-def grams(chars: np.ndarray) -> np.ndarray:
-    """Stretches of GRAM characters as numbers."""
-    if len(chars) < GRAM:
-        return np.empty(0, np.uint64)
-    out = np.zeros(len(chars) - GRAM + 1, np.uint64)
-    for k in range(GRAM):
-        out = (out << np.uint64(16)) | chars[k : len(chars) - GRAM + 1 + k]
-    return out
+def gram_slots(chars: np.ndarray) -> np.ndarray:
+    """Slot of the GRAM characters from each place on."""
+    return ((piece_keys(chars, GRAM) * _GOLD) >> np.uint64(64 - _GRAM_BITS)).astype(np.int64)
 
 
 def batch_matches(index: Index, texts: list[str | None]) -> list[list[tuple[object, int, int, int]]]:
@@ -353,7 +402,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_distance: float = MAX_
 
     Distances count characters of the normalised texts (lower-case letters and digits, other runs as
     one blank); start and end are code points of the document, approximate by the distance at the
-    start. Null and empty texts hold and match nothing; items under 24 normalised characters match whole.
+    start. Null and empty texts hold and match nothing. Items so short that no edit is allowed match only
+    where no word goes on over their ends.
     Repeated rows are reported each; several items with the same text likewise. Every block of at most
     BLOCK_CHARS of benchmark text is one pass over the documents.
     """

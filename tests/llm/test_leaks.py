@@ -151,3 +151,21 @@ def test_short_items_are_found_by_length():
     index = decontaminate.Index(list(enumerate(items)), 0.1, 2)
     texts = ["字" * 7 + items[1] + "字" * 5, "字" * 7 + items[2] + "字", "so: FORTY, two!", "forty twofold", "字" + items[4] + "字", "x"]
     assert [{f[0] for f in found} for found in index.matches(texts)] == [{1}, {2}, {3}, set(), {4}, set()]
+
+
+def test_characters_beyond_the_basic_plane_stay_apart():
+    chinese = "".join(chr(0x4E00 + 7 * k) for k in range(30))
+    emoji = "".join(chr(0x1F300 + (0x4E00 + 7 * k - 0x1F300) % 0x4000) for k in range(30))
+    index = decontaminate.Index([(0, chinese), (1, emoji)], 0.1, 2)
+    assert [{f[0] for f in found} for found in index.matches([f"x {emoji} y", f"x {chinese} y"])] == [{1}, {0}]
+
+
+def test_short_items_keep_their_edits_and_common_phrases_stay_cheap():
+    index = decontaminate.Index([(0, "a dozen tiny eggs"), (1, "ninesigns"), (2, "a")], 0.1, 2)
+    texts = ["he ate a dozen tinyy eggs today", "ninesignss", "nine signs ninesigns.", "b a b", "ab"]
+    assert [{f[0] for f in found} for found in index.matches(texts)] == [{0, 2}, set(), {1}, {2}, set()]
+    phrase = "it is a truth universally acknowledged that "
+    items = [(k, phrase + f"number {k} is {k * 7919} " * 3) for k in range(400)]
+    index = decontaminate.Index(items, 0.1, 2)
+    found = index.matches([phrase * 200, "so " + items[17][1]])
+    assert found[0] == [] and {f[0] for f in found[1]} >= {17}
