@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -43,11 +44,18 @@ BESIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "s
                 "comment", "comments", "discussion", "replies", "respond", "share", "sharing", "social", "related", "recommended",
                 "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "footer", "header", "masthead",
                 "widget", "toolbar", "pagination", "pager", "tags", "disclaimer"}
+#: Class words of parts that hold pieces marked as articles of their own, and words that may follow them in a class.
+BESIDE_LISTS = {"comment", "comments", "discussion", "replies", "respond", "related", "recommended"}
+LIST_WORDS = {"list", "area", "section", "container", "wrapper", "wrap", "box", "thread", "block", "items", "feed"}
+#: First words of classes that say what a page has or lacks, not what an element is.
+STATES = {"has", "no", "not", "with", "without", "is", "hide", "show", "js"}
 BESIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 MAIN_TAGS = {"article", "main"}
 BLOCK_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "blockquote", "pre", "figcaption"}
 
 SLOT = "#"
+#: Elements nested deeper count as parts of the one at this depth, as browsers do it.
+DEPTH = 512
 #: Longest repeated element, in tokens, that folding looks for.
 LONGEST_UNIT = 24
 #: Without a marked article: the smallest element that holds this share of the host's text.
@@ -63,14 +71,20 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
+_DIGITS_AND_SIGNS = re.compile(r"[^a-z]+")
 
 
 def label_of(name: str, attributes: str) -> str:
-    """A tag's name with its class, id and role words, digits left out."""
+    """A tag's name with its class, id and role values; letters only, the words of a value joined by `-`."""
     if "=" not in attributes:
         return name
-    words = {w for m in _ATTRIBUTE.finditer(attributes) for w in (f"@{m.group(1)[0].lower()}{x}" for x in _NAME.findall((m.group(2) or m.group(3) or m.group(4) or "").lower()))}
-    return name + "".join(sorted(words)) if words else name
+    values = set()
+    for m in _ATTRIBUTE.finditer(attributes):
+        for value in (m.group(2) or m.group(3) or m.group(4) or "").lower().split():
+            words = _DIGITS_AND_SIGNS.sub("-", value).strip("-")
+            if words:
+                values.add(f"@{m.group(1)[0].lower()}{words}")
+    return name + "".join(sorted(values)) if values else name
 
 
 def read_page(page: str) -> Iterator[tuple[str, str, str, bool]]:
@@ -80,6 +94,7 @@ def read_page(page: str) -> Iterator[tuple[str, str, str, bool]]:
     put in. A path lists the labels of the open elements.
     """
     stack: list[tuple[str, str]] = []  # name, path
+    opened: Counter = Counter()
     path, text, links, at = "", [], 0, 0
 
     def flush() -> Iterator[tuple[str, str, str, bool]]:
@@ -107,9 +122,10 @@ def read_page(page: str) -> Iterator[tuple[str, str, str, bool]]:
             continue
         yield from flush()
         if closing:
-            if any(n == name for n, _ in stack):
+            if opened[name]:
                 while stack:
                     top, _ = stack.pop()
+                    opened[top] -= 1
                     path = stack[-1][1] if stack else ""
                     yield f"/{top}", path, "", False
                     if top == name:
@@ -117,11 +133,14 @@ def read_page(page: str) -> Iterator[tuple[str, str, str, bool]]:
             continue
         while stack and name in CLOSED_BY.get(stack[-1][0], ()):
             top, _ = stack.pop()
+            opened[top] -= 1
             path = stack[-1][1] if stack else ""
             yield f"/{top}", path, "", False
         label = label_of(name, m.group(4))
-        path = f"{path}/{label}"
+        if len(stack) < DEPTH:
+            path = f"{path}/{label}"
         stack.append((name, path))
+        opened[name] += 1
         yield label, path, "", False
     if at < len(page):
         text.append(page[at:])
@@ -197,14 +216,31 @@ def _merge_options(sequence: list) -> list:
 
 
 def beside(path: str) -> bool:
-    """Whether a path leads through an element beside the article."""
+    """Whether a path leads through an element beside the article.
+
+    What holds the article is beside it only if a whole class, id or role says so: a page that has a
+    sidebar is none. Elsewhere one word of a value is enough.
+    """
+    labels = [label.split("@") for label in path.split("/")[1:]]
+    main = max((k for k, (name, *_) in enumerate(labels) if name in MAIN_TAGS), default=-1)
     within = False
-    for label in path.split("/")[1:]:
-        name, *words = label.split("@")
-        if name in BESIDE_TAGS or name == "header" and not within:
-            return True
-        if any(w[1:] in (BESIDE_ROLES if w[0] == "r" else BESIDE_WORDS) for w in words) and name not in MAIN_TAGS | {"body", "html"}:
+    for k, (name, *values) in enumerate(labels):
+        holds = k < main
+        if not holds and (name in BESIDE_TAGS or name == "header" and not within):
             return True
+        if name not in MAIN_TAGS | {"body", "html"}:
+            for value in values:
+                words = value[1:].split("-")
+                if value[0] == "r":
+                    found = value[1:] in BESIDE_ROLES
+                elif words[0] in STATES:
+                    found = False
+                elif holds:
+                    found = words[-1] in BESIDE_WORDS or words[0] in BESIDE_LISTS and words[-1] in LIST_WORDS
+                else:
+                    found = not BESIDE_WORDS.isdisjoint(words)
+                if found:
+                    return True
         within = within or name in MAIN_TAGS
     return False
 
@@ -275,6 +311,12 @@ def path_of(slot: str) -> str:
     return "".join(slot.partition("/")[1:])
 
 
+def _container(path: str) -> str:
+    """The element that holds a text's block: the parent of a block element, else the element itself."""
+    parent, _, label = path.rpartition("/")
+    return parent if label.split("@")[0] in BLOCK_TAGS else path
+
+
 def _bounded(texts: dict[str, int]) -> dict[str, int]:
     """Counts of at most COUNTED_TEXTS texts; each is too low by no more than the others' number."""
     while len(texts) > COUNTED_TEXTS:
@@ -319,13 +361,20 @@ class SlotCounts:
     def main(self) -> tuple[list[str], list[str]]:
         """`main_slots` without template: slots outside repeated groups whose text is constant over the host's pages.
 
-        A title (h1) may be constant and stays. Where nothing varies, as in copies of one page, nothing
-        tells template from content.
+        A constant block (a heading, a paragraph) whose container also holds varying text is part of the
+        article, as a section's name is; a container that says the same on all pages is template. A title
+        (h1) may be constant and stays. Where nothing varies, as in copies of one page, nothing tells
+        template from content.
         """
-        template = {
-            x for x, s in self.slots.items()
-            if not s[4] and s[0] >= PRESENT_SHARE * self.pages and self.constant(x) and path_of(x).rpartition("/")[2].split("@")[0] != "h1"
-        }
+        constant = {x for x, s in self.slots.items() if not s[4] and s[0] >= PRESENT_SHARE * self.pages and self.constant(x)}
+        varying = {_container(path_of(x)) for x in self.slots if x not in constant and not self.constant(x)}
+
+        def kept(slot: str) -> bool:
+            path = path_of(slot)
+            tag = path.rpartition("/")[2].split("@")[0]
+            return tag == "h1" or tag in BLOCK_TAGS and _container(path) in varying
+
+        template = {x for x in constant if not kept(x)}
         marked, other = main_slots({x: s for x, s in self.slots.items() if x not in template})
         if template and all(map(self.constant, marked + other)):
             return main_slots(self.slots)
