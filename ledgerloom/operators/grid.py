@@ -75,22 +75,35 @@ def _nonempty(table: Column) -> Column:
 
 
 def mapped_tables(tables: Column) -> Column:
-    """Non-empty tables with their own header map and the one in force (own or carried forward)."""
+    """Non-empty tables with their own header map and the one in force (own or carried forward).
+
+    The tables between two headers are a run that shares the first one's map. Runs are cut in a text of one
+    letter per table, so the work is linear in the tables.
+    """
     def with_header(table: Column) -> Column:
-        return F.struct(table.alias("rows"), header_map(F.element_at(table, 1)).alias("own"))
+        return bind(
+            header_map(F.element_at(table, 1)),
+            lambda own: F.struct(table.alias("rows"), _has_date_column(own).alias("headed"), own.alias("own")),
+        )
 
-    headed = F.transform(F.filter(tables, _nonempty), with_header)
+    def numbers(flags: Column) -> Column:
+        """Per table the place of its map among the headed tables' maps, -1 before the first."""
+        before = F.when(flags.startswith("H"), 0).otherwise(1)
+        runs = F.split(flags, "(?=H)", -1)
+        return F.flatten(F.transform(runs, lambda run, k: F.array_repeat(k - before, F.length(run))))
 
-    def carry(seen: Column, t: Column) -> Column:
-        last = F.try_element_at(seen, F.lit(-1))["map"]
-        in_force = F.when(_has_date_column(t["own"]), t["own"]).otherwise(last)
-        entry = F.struct(
-            t["rows"].alias("rows"), _has_date_column(t["own"]).alias("headed"), in_force.alias("map")
-        )
-        return F.concat(seen, F.array(entry))
+    def in_force(headed: Column) -> Column:
+        flags = F.array_join(F.transform(headed, lambda t: F.when(t["headed"], "H").otherwise("-")), "")
+        maps = F.transform(F.filter(headed, lambda t: t["headed"]), lambda t: t["own"])
+        parts = F.struct(F.arrays_zip(headed.alias("t"), bind(flags, numbers).alias("n")).alias("tables"), maps.alias("maps"))
+
+        def entry(x: Column, maps: Column) -> Column:
+            own = F.when(x["n"] >= 0, F.get(maps, x["n"]))
+            return F.struct(x["t"]["rows"].alias("rows"), x["t"]["headed"].alias("headed"), own.alias("map"))
+
+        return bind(parts, lambda p: F.transform(p["tables"], lambda x: entry(x, p["maps"])))
 
-    empty = F.array().cast(f"array<struct<rows:array<array<string>>,headed:boolean,map:array<int>>>")
-    return F.aggregate(headed, empty, carry)
+    return bind(F.transform(F.filter(tables, _nonempty), with_header), in_force)
 
 
 def _is_data_row(row: Column, col_map: Column) -> Column:
@@ -168,23 +181,29 @@ def with_grid_transactions(
     row, cmap = F.col(cells), F.col(col_map)
 
     def cell_money(role: str) -> Column:
-        return _cell_at(F.col("_money"), cmap, role)
+        at = role_at(cmap, role)
+        return F.when(at >= 0, money.parse_money(F.get(row, at)))
 
     flag = _cell_at(row, cmap, "drcr")
     if flag_first:
         claimed = F.coalesce(_cell_at(row, cmap, "debit"), F.lit(""))
         flag = F.coalesce(flag, F.when(classify.flag_direction(claimed) != classify.UNKNOWN, claimed))
-    values = F.filter(F.transform(F.col("_money"), lambda m: m["value"]), lambda v: v.isNotNull())
+    # all cells are read as money only where the mapped ones leave a gap
+    gap = F.col("_balance").isNull() | F.col("_debit").isNull() & F.col("_credit").isNull() & F.col("_amount")["value"].isNull()
+    values = F.when(
+        gap, F.filter(F.transform(row, lambda c: money.parse_money(c)["value"]), lambda v: v.isNotNull())
+    ).otherwise(F.array().cast("array<double>"))
     words = F.coalesce(classify.side_of_upper(F.col("_up")), classify.default_direction(F.col("_type")))
-    amount_side = F.coalesce(F.col("_tag"), classify.known(classify.flag_direction(flag)), F.col("_words"))
+    amount_side = F.coalesce(F.col("_amount")["direction"], classify.known(classify.flag_direction(flag)), F.col("_words"))
     bare = F.col("_debit").isNull() & F.col("_credit").isNull()
-    one_amount = bare & F.col("_amount").isNotNull()
-    two_values = bare & F.col("_amount").isNull() & (F.size(F.col("_values")) > 1)
+    amount = F.col("_amount")["value"]
+    one_amount = bare & amount.isNotNull()
+    two_values = bare & amount.isNull() & (F.size(F.col("_values")) > 1)
     second = F.try_element_at(F.col("_values"), F.lit(-2))
 
     def side(name: str, own: str) -> Column:
         return (
-            F.when(one_amount & (F.col("_amount_side") == name), F.col("_amount"))
+            F.when(one_amount & (F.col("_amount_side") == name), amount)
             .when(two_values & (F.col("_words") == name), second)
             .otherwise(F.col(own))
         )
@@ -193,27 +212,22 @@ def with_grid_transactions(
     return add_steps(
         df,
         {
-            "_money": F.transform(row, money.parse_money),
+            "_debit": cell_money("debit")["value"],
+            "_credit": cell_money("credit")["value"],
+            "_balance": cell_money("balance")["value"],
+            "_amount": cell_money("amount"),
             "_raw": F.coalesce(_cell_at(row, cmap, "narration"), F.lit("")),
         },
         {"_low": F.lower("_raw"), "_up": F.upper(strip(F.col("_raw"))), "_values": values},
         {"_type": classify.txn_type_of_lower(F.col("_low"))},
-        {
-            "_words": words,
-            "_debit": cell_money("debit")["value"],
-            "_credit": cell_money("credit")["value"],
-            "_amount": cell_money("amount")["value"],
-            "_tag": cell_money("amount")["direction"],
-        },
+        {"_words": words},
         {"_amount_side": amount_side},
         {
             p + "txn_date_raw": strip(_cell_at(row, cmap, "date")),
             p + "narration": strip(F.col("_raw")),
             p + "debit_amount": side(classify.DEBIT, "_debit"),
             p + "credit_amount": side(classify.CREDIT, "_credit"),
-            p + "running_balance": F.coalesce(
-                cell_money("balance")["value"], F.try_element_at(F.col("_values"), F.lit(-1))
-            ),
+            p + "running_balance": F.coalesce(F.col("_balance"), F.try_element_at(F.col("_values"), F.lit(-1))),
             p + "classification_confidence": classify.confidence(F.col("_type")),
         },
         {
@@ -221,6 +235,6 @@ def with_grid_transactions(
                 F.col("_type"), F.col(p + "debit_amount"), F.col(p + "credit_amount")
             )
         },
-        drop=("_money", "_raw", "_low", "_up", "_type", "_words", "_values", "_debit", "_credit", "_amount", "_tag",
+        drop=("_raw", "_low", "_up", "_type", "_words", "_values", "_debit", "_credit", "_amount", "_balance",
           "_amount_side"),
     )

@@ -186,3 +186,28 @@ def test_long_statement_with_many_tables(spark):
     status, lines = classified(spark, raw, tables)
     assert status.status == "SUCCESS" and len(lines) == 4000
     assert [l.narration for l in lines] == [r[1] for r in rows]
+
+
+def test_many_tables_carry_their_headers(spark):
+    """20,000 tables, every third one with a header of another order; the work is linear in the tables."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import grid
+
+    def table(i):
+        header = F.when(i % 6 == 0, F.array(*map(F.lit, ("Date", "Narration", "Balance")))).otherwise(
+            F.array(*map(F.lit, ("Balance", "Date", "Narration")))
+        )
+        row = F.array(F.lit("01/01/2024"), F.lit("01/01/2024"), F.lit("x"))
+        return F.when(i % 3 == 0, F.array(header, row)).otherwise(F.array(row))
+
+    numbers = F.sequence(F.lit(1), F.lit(20_000))
+    mapped = spark.range(1).select(grid.mapped_tables(F.transform(numbers, table)).alias("t")).select(F.posexplode("t").alias("i", "t"))
+    place = F.element_at("t.map", 1)  # of the date column
+    last = F.floor((F.col("i") + 1) / 3) * 3
+    want = F.when(last >= 3, F.when(last % 6 == 0, 0).otherwise(1))
+    assert mapped.count() == 20_000
+    assert mapped.filter(~place.eqNullSafe(want.cast("int"))).count() == 0
+    assert mapped.filter(F.col("t.headed")).count() == 6666
+    empty = spark.range(1).select(grid.mapped_tables(F.array().cast("array<array<array<string>>>")).alias("t")).first()
+    assert empty.t == []
