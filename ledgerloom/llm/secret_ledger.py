@@ -74,6 +74,10 @@ ACCESS = Rule("access", "AKIA[A-Z0-9]+", 0, 18, "AKIA[A-Z0-9]{14}")
 HEX = Rule("hex", "[0-9a-f]{16,}", 0, 16, "[0-9a-f]{16}")
 RULES = (ASSIGN, ACCESS, HEX)
 
+def _pair(rule: Rule) -> str:
+    return f"{rule.kind}:{rule.version}"
+
+
 LEDGER = f"blob string, kind string, rule_version int, spans array<{SPAN}>"
 
 
@@ -98,31 +102,39 @@ class BlobLedger:
             raise
 
     def _unseen(self, named: DataFrame) -> DataFrame:
-        """blob, name (smallest doc_id that has it) of blobs that some rule's version has not seen.
-
-        A blob is scanned with all rules at once; it is known if the ledger has it under each of them.
-        """
-        current = F.concat_ws(":", "kind", "rule_version").isin([f"{r.kind}:{r.version}" for r in self.rules])
-        done = self.entries().filter(current).groupBy("blob").agg(F.count_distinct("kind").alias("n"))
-        done = done.filter(F.col("n") == len(self.rules)).select("blob")
-        return named.groupBy("blob").agg(F.min("doc_id").alias("name")).join(done, "blob", "left_anti")
+        """blob, name (smallest doc_id that has it), missing (rules whose version the ledger has not for it)."""
+        pair = F.concat_ws(":", "kind", "rule_version")
+        current = [_pair(r) for r in self.rules]
+        done = self.entries().filter(pair.isin(current)).groupBy("blob").agg(F.collect_set(pair).alias("seen"))
+        wanted = F.array(*[F.lit(p) for p in current])
+        missing = F.array_except(wanted, F.coalesce(F.col("seen"), F.array().cast("array<string>")))
+        first = named.groupBy("blob").agg(F.min("doc_id").alias("name"))
+        return first.join(done, "blob", "left").select("blob", "name", missing.alias("missing")).filter(F.size("missing") > 0)
 
     def update(self, versions: DataFrame) -> None:
-        """Scan what is new in versions (doc_id, text) and append it."""
+        """Scan the pairs of blob and rule version that are new in versions (doc_id, text) and append them."""
         named = blobs(versions.select("doc_id", text_or_empty().alias("text")))
         unseen = self._unseen(named.select("doc_id", "blob"))
-        # one text of each new blob; the join moves every text once, by a key without copies
+        # one text of each such blob; the join moves every text once, by a key without copies
         fresh = named.join(
-            unseen.select(F.col("blob").alias("own"), "name"), F.col("doc_id").eqNullSafe(F.col("name")) & (F.col("blob") == F.col("own")), "left_semi"
+            unseen.select(F.col("blob").alias("own"), "name", "missing"),
+            F.col("doc_id").eqNullSafe(F.col("name")) & (F.col("blob") == F.col("own")),
         )
         none = F.array().cast(f"array<{SPAN}>")
+
+        def due(rule: Rule) -> Column:
+            return F.array_contains("missing", _pair(rule))
+
         scanned = fresh.select(
-            "blob", *[F.when(r.possible(F.col("text")), r.spans(F.col("text"))).otherwise(none).alias(r.kind) for r in self.rules]
-        ).dropDuplicates(["blob"])
-        rows = scanned.select(
             "blob",
-            F.inline(F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("rule_version"), F.col(r.kind).alias("spans")) for r in self.rules])),
-        )
+            "missing",
+            *[F.when(due(r) & r.possible(F.col("text")), r.spans(F.col("text"))).otherwise(none).alias(r.kind) for r in self.rules],
+        ).dropDuplicates(["blob"])
+        entry = [
+            F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("rule_version"), F.col(r.kind).alias("spans"), due(r).alias("due"))
+            for r in self.rules
+        ]
+        rows = scanned.select("blob", F.inline(F.array(*entry))).filter("due").drop("due")
         rows.write.mode("append").parquet(self.path)
 
     def findings(self, versions: DataFrame) -> DataFrame:
