@@ -236,7 +236,7 @@ def learn_gains(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> l
 def weigh(docs: DataFrame, gains: list[int], seed: int = SEED) -> DataFrame:
     """uid, doc_id, n_words, n_features, weight, score of every document; written, so that uid holds."""
     kind, buckets = docs.schema["doc_id"].dataType.simpleString(), len(gains)
-    table = np.array(gains, np.int64)
+    table = np.array(gains, np.float64)
 
     def noise(name: str | None) -> int:
         h = int(hashlib.sha256(f"{seed}:{'' if name is None else name}".encode()).hexdigest()[:8], 16)
@@ -248,8 +248,8 @@ def weigh(docs: DataFrame, gains: list[int], seed: int = SEED) -> DataFrame:
             text, found, n_words = windows(buckets).buckets_of(_lowered(batch.column("text")))
             rows = len(n_words)
             features = np.bincount(text, minlength=rows)
-            total = np.zeros(rows, np.int64)
-            np.add.at(total, text, table[found])
+            # sums of whole numbers far below 2 to the 53rd, so doubles hold them exactly
+            total = np.bincount(text, weights=table[found], minlength=rows).astype(np.int64)
             weight = np.where(features > 0, total // np.maximum(features, 1), 0)
             score = weight + np.array([noise(d) for d in batch.column("name").to_pylist()], np.int64)
             yield record_batch(
