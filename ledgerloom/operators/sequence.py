@@ -50,20 +50,27 @@ def ordered_scan(
     number: str | None = None,
     sums: Mapping[str, Column] | None = None,
     previous: Mapping[str, str] | None = None,
+    highest: Mapping[str, Column] | None = None,
+    lowest: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Scan a chunked frame in order within `keys`.
 
     number    name of a 1-based row number
     sums      new column -> summed expression, inclusive running sum
     previous  new column -> source column, last non-NULL value on an earlier row
+    highest   new column -> expression, inclusive running maximum
+    lowest    new column -> expression, inclusive running minimum
     """
     sums, previous = dict(sums or {}), dict(previous or {})
+    extremes = {o: (F.max, F.greatest, e) for o, e in (highest or {}).items()}
+    extremes |= {o: (F.min, F.least, e) for o, e in (lowest or {}).items()}
     in_chunk = chunk_window(keys, order)
     running = in_chunk.rowsBetween(W.unboundedPreceding, 0)
 
     local = {number: F.row_number().over(in_chunk).cast("long")} if number else {}
     local |= {out: F.sum(e).over(running) for out, e in sums.items()}
     local |= {out: F.last(c, ignorenulls=True).over(before(in_chunk)) for out, c in previous.items()}
+    local |= {out: fold(e).over(running) for out, (fold, _, e) in extremes.items()}
 
     totals = [F.count(F.lit(1)).alias("_rows")]
     totals += [F.sum(e).alias(f"_sum_{out}") for out, e in sums.items()]
@@ -71,6 +78,7 @@ def ordered_scan(
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{out}")
         for out, c in previous.items()
     ]
+    totals += [fold(e).alias(f"_most_{out}") for out, (fold, _, e) in extremes.items()]
     over_chunks = before(W.partitionBy(*keys).orderBy(CHUNK))
     offsets = df.groupBy(*keys, CHUNK).agg(*totals).select(
         *keys,
@@ -78,6 +86,7 @@ def ordered_scan(
         F.coalesce(F.sum("_rows").over(over_chunks), F.lit(0)).alias("_rows_before"),
         *[F.sum(f"_sum_{o}").over(over_chunks).alias(f"_before_{o}") for o in sums],
         *[F.last(f"_last_{o}", ignorenulls=True).over(over_chunks).alias(f"_carry_{o}") for o in previous],
+        *[fold(f"_most_{o}").over(over_chunks).alias(f"_bound_{o}") for o, (fold, _, _) in extremes.items()],
     )
 
     final = {number: (F.col(number) + F.col("_rows_before")).cast("long")} if number else {}
@@ -89,7 +98,9 @@ def ordered_scan(
         for o in sums
     }
     final |= {o: F.coalesce(F.col(o), F.col(f"_carry_{o}")) for o in previous}
-    scratch = [f"_before_{o}" for o in sums] + [f"_carry_{o}" for o in previous]
+    # greatest and least skip NULL
+    final |= {o: pick(F.col(o), F.col(f"_bound_{o}")) for o, (_, pick, _) in extremes.items()}
+    scratch = [f"_before_{o}" for o in sums] + [f"_carry_{o}" for o in previous] + [f"_bound_{o}" for o in extremes]
     return (
         df.withColumns(local)
         .join(offsets, [*keys, CHUNK], "inner")

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ledgerloom.operators.sequence import CHUNK, ordered_scan, range_chunks
+
 RANK, POS = "_rank", "_pos"
 _END = 2**62
 
@@ -87,3 +89,58 @@ def splice(rows: DataFrame, key: str, date: str, number: str = "line_no", first:
         .withColumn(number, (F.row_number().over(final) + (first - 1)).cast("int"))
         .drop("_descending", "_day", "_main_max", "_slot", "_latest")
     )
+
+
+def splice_chunked(rows: DataFrame, key: str, date: str, number: str = "line_no", first: int = 1) -> DataFrame:
+    """`splice` for statements of any size: no task and no window holds a whole statement.
+
+    The same rule in three scans over chunks of about equal size: by arrival (direction, latest date
+    of the last gap), by date (gap of each extra) and by final place (number). Rows move once per scan;
+    per statement only one summary row per chunk is looked at. (key, `_rank`, `_pos`) must identify a
+    row. Rows with a null key are a statement of their own.
+    """
+    by_key = ["_key"]
+    day, main_day = F.col("_day"), F.when(_main(), F.col("_own"))
+    # a struct with a null field equals another one, so null keys meet in joins
+    keyed = rows.withColumns({"_key": F.struct(key), "_own": F.unix_date(F.col(date)).cast("long")})
+    arrived = range_chunks(keyed.withColumn("_main_day", main_day), by_key, [RANK, POS])
+    arrived = ordered_scan(arrived, by_key, [RANK, POS], previous={"_previous": "_main_day"})
+    turn = F.when(
+        F.col("_main_day") != F.col("_previous"),
+        F.struct(F.col(POS), (F.col("_main_day") < F.col("_previous")).alias("back")),
+    )
+    whole = W.partitionBy(*by_key)
+    chunks = arrived.groupBy(*by_key, CHUNK).agg(
+        F.min(turn).alias("_turn"), F.min("_main_day").alias("_low"), F.max("_main_day").alias("_high")
+    )
+    back = F.col("_descending")
+    chunks = chunks.select(
+        *by_key,
+        CHUNK,
+        F.min("_turn").over(whole)["back"].alias("_descending"),
+        F.min("_low").over(whole).alias("_low"),
+        F.max("_high").over(whole).alias("_high"),
+    )
+    signed = arrived.join(chunks, [*by_key, CHUNK]).withColumns(
+        {
+            "_day": F.when(back, -F.col("_own")).when(~back, F.col("_own")),
+            "_main_max": F.when(back, -F.col("_low")).when(~back, F.col("_high")),
+        }
+    )
+    last_gap = day.isNotNull() & F.coalesce(day >= F.col("_main_max"), F.lit(True))
+    latest = ordered_scan(signed, by_key, [RANK, POS], highest={"_latest": F.when(_extra() & last_gap, day)})
+
+    side = {"_side": (~_extra()).cast("int"), "_past": F.coalesce(-day, F.lit(_END))}
+    past_first = ["_past", "_side", RANK, POS]
+    dated = range_chunks(latest.withColumns(side).drop(CHUNK), by_key, past_first)
+    position = F.when(_main() & day.isNotNull(), F.col(POS).cast("long"))
+    dated = ordered_scan(dated, by_key, past_first, lowest={"_gap": position})
+    placed = F.when(day.isNotNull(), F.coalesce("_gap", F.lit(_END))).otherwise(F.lit(_END))
+    final = {
+        "_body": (F.col(RANK) >= 0).cast("int"),
+        "_slot": F.when(_extra(), placed).otherwise(F.col(POS).cast("long")),
+        "_by": F.coalesce(day, F.col("_latest"), F.lit(-_END)),
+    }
+    order = ["_body", "_slot", "_side", "_by", RANK, POS]
+    numbered = ordered_scan(range_chunks(dated.withColumns(final).drop(CHUNK), by_key, order), by_key, order, number=number)
+    return numbered.select(*rows.columns, (F.col(number) + (first - 1)).cast("int").alias(number))

@@ -110,12 +110,51 @@ def statement_items(docs: DataFrame) -> DataFrame:
     )
 
 
+def with_tables(docs: DataFrame) -> Column:
+    """Whether a statement may have tables, told without reading them."""
+    return F.coalesce(~F.btrim(F.col("tables_json")).isin("", "[]"), F.lit(False))
+
+
 def classify_documents(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     """Classified lines and, per statement, one row of type `__STATUS__` (see `split_status`).
 
-    Input: statement_hash (unique), bank_format, raw_text, tables_json. The parsed lines shuffle
-    once, by statement; all later windows reuse that partitioning. For `flag_first` see
-    `with_grid_transactions`.
+    Input: statement_hash (unique), bank_format, raw_text, tables_json. Statements without tables take
+    the route of `text_only_lines`, the others that of `spliced_lines`; `docs` is read once for each,
+    so it should be a stored table or cheap. For `flag_first` see `with_grid_transactions`.
+    """
+    tabled = with_tables(docs)
+    return text_only_lines(docs.filter(~tabled)).unionByName(spliced_lines(docs.filter(tabled), flag_first))
+
+
+def text_only_lines(docs: DataFrame) -> DataFrame:
+    """`classify_documents` for statements without tables: their lines are in order as they are parsed,
+    so nothing is shuffled, sorted or looked up."""
+    status = F.col(POS) < 0
+    item = F.struct(F.lit(-1).alias(POS), F.lit(None).cast("string").alias("_block"))
+    blocks = F.transform(text_blocks(F.col("raw_text")), lambda b, i: F.struct(i.alias(POS), b.alias("_block")))
+    items = (
+        docs.select("statement_hash", "bank_format", blocks.alias("_found"))
+        .withColumn("_any", F.size("_found") > 0)
+        .select("statement_hash", "bank_format", "_any", F.inline(F.concat(F.array(item), F.col("_found"))))
+    )
+    parsed = with_text_transactions(items, "_block")
+    picked = {c: F.when(~status, F.col(f"t_{c}")) for c in TXN_COLUMNS}
+    picked["txn_type"] = F.when(status, STATUS).otherwise(F.col("t_txn_type"))
+    outcome = F.when(F.col("_any"), "SUCCESS").otherwise("SUCCESS_EMPTY")
+    return parsed.select(
+        "statement_hash",
+        "bank_format",
+        F.when(status, -1).otherwise(F.col(POS) + 1).alias("line_no"),
+        *[v.alias(c) for c, v in picked.items()],
+        F.when(status, outcome).otherwise("raw_text_block").alias("classification_method"),
+        F.lit(None).cast("string").alias("error_message"),
+    )
+
+
+def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
+    """`classify_documents` for any statements, with text lines fitted in between table lines.
+
+    The parsed lines shuffle once, by statement; all later windows reuse that partitioning.
     """
     gridded = with_grid_transactions(statement_items(docs), "_cells", "_map", flag_first=flag_first)
     parsed = with_text_transactions(gridded, "_block")

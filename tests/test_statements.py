@@ -8,8 +8,8 @@ import re
 from pyspark.sql import functions as F
 
 from ledgerloom import rules
-from ledgerloom.operators.splice import POS, RANK, splice
-from ledgerloom.operators.statements import classify_documents, split_status
+from ledgerloom.operators.splice import POS, RANK, splice, splice_chunked
+from ledgerloom.operators.statements import classify_documents, split_status, spliced_lines, text_only_lines
 from ledgerloom.operators.textlines import parse_text, text_blocks
 
 DATE, AMOUNT = re.compile(rules.DATE_PATTERN), re.compile(rules.AMOUNT_PATTERN)
@@ -115,10 +115,46 @@ def test_splice_matches_one_by_one_insertion(spark):
         rows += [(k, n, 0, i, d) for i, (n, d) in enumerate(main)]
         rows += [(k, n, 1 if i < cut else 2, i, d) for i, (n, d) in enumerate(extra)]
     df = spark.createDataFrame(rows, f"k int, name string, {RANK} int, {POS} int, day date")
-    got = {}
-    for r in splice(df, "k", "day").orderBy("k", "line_no").collect():
-        got.setdefault(r["k"], []).append(r["name"])
-    assert got == {k: v for k, v in expected.items() if v}
+    for place in (splice, splice_chunked):
+        got = {}
+        for r in place(df, "k", "day").orderBy("k", "line_no").collect():
+            got.setdefault(r["k"], []).append(r["name"])
+        assert got == {k: v for k, v in expected.items() if v}
+
+
+def test_chunked_splice_of_one_key_is_cut(spark):
+    rng = random.Random(6)
+    start = datetime.date(2020, 1, 1)
+    rows = [(None, 0, i, start + datetime.timedelta(days=i // 9)) for i in range(4000)]
+    rows += [(None, 1, i, start + datetime.timedelta(days=rng.randint(0, 600)) if i % 5 else None) for i in range(2000)]
+    rows += [("b", 1, 0, start), ("b", -1, 0, None)]
+    df = spark.createDataFrame(rows, f"k string, {RANK} int, {POS} int, day date")
+    plain = splice(df, "k", "day", first=0).collect()
+    chunked = splice_chunked(df, "k", "day", first=0)
+    assert chunked.columns == [*df.columns, "line_no"]
+    assert sorted(map(str, chunked.collect())) == sorted(map(str, plain))
+    assert splice_chunked(df.limit(0), "k", "day").count() == 0
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_text_only_statements_need_no_window(spark):
+    texts = [None, "", "no transaction here", "01/01/2024 UPI A 10.00 Cr 110.00\n02/01/2024 ATM 5.00 Dr 105.00\n"] * 3
+    schema = "statement_hash string, bank_format string, raw_text string, tables_json string"
+    rows = [(f"h{k}", "SBI", t, (None, "", " [] ")[k % 3]) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, schema)
+    got = classify_documents(docs)
+    want = spliced_lines(docs)
+    assert got.schema.names == want.schema.names
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert len([r for r in got.collect() if r.txn_type != "__STATUS__"]) == 6
+    assert "Window" not in final_plan(classify_documents(docs)) and "Window" in final_plan(spliced_lines(docs))
+    assert "Exchange" not in final_plan(text_only_lines(docs))
+    tabled = spark.createDataFrame([("t", "SBI", texts[3], "[broken")], schema)
+    assert sorted(map(str, classify_documents(tabled).collect())) == sorted(map(str, spliced_lines(tabled).collect()))
 
 
 def classified(spark, raw, tables, **options):

@@ -11,7 +11,8 @@ from ledgerloom.functions.dates import parse_date
 from ledgerloom.operators.features import account_features, validation_gate
 from ledgerloom.operators.grid import header_map, is_blob, mapped_tables, read_grid, role_at
 from ledgerloom.operators.reconcile import reconcile
-from ledgerloom.operators.splice import POS, RANK, splice, with_direction
+from ledgerloom.operators.sequence import CHUNK, ordered_scan, range_chunks
+from ledgerloom.operators.splice import POS, RANK, splice, splice_chunked, with_direction
 from ledgerloom.operators.statements import classify_documents, split_status
 from ledgerloom.operators.textlines import parse_text
 from ledgerloom.plans.stages import Warehouse, classify, roll_up, validate
@@ -291,12 +292,11 @@ def backfill_missing(spark: SparkSession, d: str) -> DataFrame:
 
 # trusted rows (every statement of an odd user newest first), extra rows in order of event value,
 # some of them undated
-_SPLICE_SQL = f"""
-{STATEMENTS_SQL},
+_SPLICE_STEPS = """
 arrived as (
   select statement_hash, event_id, case when line_no % 3 = 0 then 1 else 0 end as rank,
     case when line_no % 3 = 0 then cents when user_id % 2 = 1 then -line_no else line_no end as pos,
-    case when line_no % 3 <> 0 or line_no % 5 <> 0 then day end as day, user_id from lines),
+    case when line_no % 3 <> 0 or line_no % 5 <> 0 then day end as day, user_id from {lines}),
 placed as (
   select *, row_number() over (partition by statement_hash, rank order by pos, event_id) as p from arrived),
 turns as (
@@ -315,30 +315,41 @@ gaps as (
 latest as (
   select *, max(case when rank = 1 and g0 = 1000000 then k end) over
     (partition by statement_hash order by rank, p rows between unbounded preceding and 1 preceding) as m from gaps)"""
+_SPLICE_SQL = f"{STATEMENTS_SQL}, {_SPLICE_STEPS.format(lines='lines')}"
+_SPLICED_SQL = """
+    select statement_hash, event_id, row_number() over (partition by statement_hash
+      order by g0, case when rank = 0 then 1 else 0 end, coalesce(k, m) nulls first, rank, p) as line_no from latest"""
 
 
-def _spliced_rows(spark: SparkSession, d: str) -> DataFrame:
-    lines = statement_lines(spark, d)
+def _splice_parts(lines: DataFrame) -> DataFrame:
     extra = F.col("line_no") % 3 == 0
     order = F.when(extra, F.col("cents")).when(F.col("user_id") % 2 == 1, -F.col("line_no")).otherwise(F.col("line_no"))
-    rows = lines.select(
+    return lines.select(
         "statement_hash", "event_id", extra.cast("int").alias(RANK), order.alias("_order"),
         F.when(~(extra & (F.col("line_no") % 5 == 0)), parse_date(F.col("txn_date_raw"))).alias("date"),
     )
+
+
+def _spliced_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = _splice_parts(statement_lines(spark, d))
     arrival = W.partitionBy("statement_hash", RANK).orderBy("_order", "event_id")
     return rows.withColumn(POS, F.row_number().over(arrival)).drop("_order")
 
 
-@query(
-    "splice_extra",
-    f"""with {_SPLICE_SQL}
-    select statement_hash, event_id, row_number() over (partition by statement_hash
-      order by g0, case when rank = 0 then 1 else 0 end, coalesce(k, m) nulls first, rank, p) as line_no from latest""",
-)
+@query("splice_extra", f"with {_SPLICE_SQL}{_SPLICED_SQL}")
 def splice_extra(spark: SparkSession, d: str) -> DataFrame:
     return splice(_spliced_rows(spark, d), "statement_hash", "date").select("statement_hash", "event_id", "line_no")
 
 
+@query("splice_ledger", f"with {ACCOUNTS_SQL}, {_SPLICE_STEPS.format(lines='accounts')}{_SPLICED_SQL}")
+def splice_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """`splice_extra` with all events of a user as one statement, however many."""
+    keys, order = ["statement_hash", RANK], ["_order", "event_id"]
+    arrived = range_chunks(_splice_parts(account_lines(spark, d)), keys, order)
+    rows = ordered_scan(arrived, keys, order, number=POS).drop(CHUNK, "_order")
+    return splice_chunked(rows, "statement_hash", "date").select("statement_hash", "event_id", "line_no")
+
+
 @query(
     "statement_direction",
     f"with {_SPLICE_SQL} select statement_hash, descending::int as descending from directions",
