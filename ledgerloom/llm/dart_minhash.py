@@ -86,13 +86,13 @@ def shingles(words: np.ndarray, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]
     return np.unique(out, return_counts=True)
 
 
-def throw(elements: np.ndarray, rates: np.ndarray, time: float) -> tuple[np.ndarray, np.ndarray]:
-    """(names, arrival times) of the darts that hit each element's region up to `time`.
+def throw(elements: np.ndarray, rates: np.ndarray, time: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names, arrival times, places of their elements) of the darts that hit each element's region up to `time`.
 
     The n-th dart of an element follows the one before after an exponential waiting time.
     """
-    names, times = [], []
-    live, clock, rate = elements, np.zeros(len(elements)), rates
+    names, times, places = [], [], []
+    live, clock, rate, place = elements, np.zeros(len(elements)), rates, np.arange(len(elements))
     n = 0
     # the longest region first decides how many waiting times are drawn at once
     width = int(min(4096, max(1, 1.2 * time * rates.max() + 4))) if len(elements) else 1
@@ -104,15 +104,18 @@ def throw(elements: np.ndarray, rates: np.ndarray, time: float) -> tuple[np.ndar
         uniform = ((mix(name ^ _M1) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
         if width == 1:  # most elements of a long text get no dart: no logarithm for them
             hit = np.flatnonzero(uniform[:, 0] > np.exp(-(time - clock) * rate))
-            live, clock, rate, name, uniform = live[hit], clock[hit], rate[hit], name[hit], uniform[hit]
+            live, clock, rate, place, name, uniform = live[hit], clock[hit], rate[hit], place[hit], name[hit], uniform[hit]
         arrivals = clock[:, None] - np.cumsum(np.log(uniform), axis=1) / rate[:, None]
         inside = arrivals <= time
         names.append(name[inside])
         times.append(arrivals[inside])
+        places.append(np.repeat(place, inside.sum(axis=1)))
         more = inside[:, -1]
-        live, clock, rate = live[more], arrivals[more, -1], rate[more]
+        live, clock, rate, place = live[more], arrivals[more, -1], rate[more], place[more]
         n += width
-    return (np.concatenate(names), np.concatenate(times)) if names else (np.empty(0, np.uint64), np.empty(0))
+    if not names:
+        return np.empty(0, np.uint64), np.empty(0), np.empty(0, np.int64)
+    return np.concatenate(names), np.concatenate(times), np.concatenate(places)
 
 
 def weighted_regions(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,7 +143,7 @@ def signature(elements: np.ndarray, weights: np.ndarray | None, coordinates: int
     total = float(len(elements) if covered is None else covered.sum())
     time = coordinates * (np.log(coordinates) + 2) / total
     while True:
-        darts, times = throw(names, heights, time) if covered is None else _below(names, heights, covered, time)
+        darts, times = throw(names, heights, time)[:2] if covered is None else _below(names, heights, covered, time)
         order = np.argsort(-times, kind="stable")
         spot = ((mix(darts[order] ^ _GOLD) >> np.uint64(32)) * np.uint64(coordinates)) >> np.uint64(32)
         out = np.zeros(coordinates, np.uint64)
@@ -153,12 +156,16 @@ def signature(elements: np.ndarray, weights: np.ndarray | None, coordinates: int
 
 
 def _below(names: np.ndarray, heights: np.ndarray, covered: np.ndarray, time: float) -> tuple[np.ndarray, np.ndarray]:
-    """Darts of each slab that land below the weight."""
+    """Darts of each slab that land below the weight; slabs of one height are thrown at together."""
     found = []
-    for name, height, cover in zip(names, heights, covered):
-        darts, times = throw(np.array([name]), np.array([height]), time)
-        level = (mix(darts ^ _M2) >> np.uint64(11)).astype(np.float64) * 2.0**-53 * height
-        found.append((darts[level < cover], times[level < cover]))
+    for height in np.unique(heights):
+        at = heights == height
+        darts, times, places = throw(names[at], heights[at], time)
+        if height > 1 or (covered[at] < 1).any():
+            level = (mix(darts ^ _M2) >> np.uint64(11)).astype(np.float64) * 2.0**-53 * height
+            under = level < covered[at][places]
+            darts, times = darts[under], times[under]
+        found.append((darts, times))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
@@ -333,12 +340,12 @@ def near_duplicates(
     similarity: float = SIMILARITY,
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
-    weighting: str = "set",
+    weighting: str = "count",
 ) -> DataFrame:
     """doc_id, text_hash, class_id, class_size, kept of every row.
 
     Rows are in one class if a chain of pairs of the given similarity (Jaccard over shingles of five
-    lower-case words; weighted by counts with weighting="count") joins them; class_id is the smallest
+    lower-case words, weighted by their counts, or not with weighting="set") joins them; class_id is the smallest
     doc_id of the class, and the one row that is kept has it (of rows repeated as a whole, one). A text
     of fewer than five words is one shingle. A null text or one without words is alone in its class.
     A null doc_id sorts last. Other columns are not read.

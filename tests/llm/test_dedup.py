@@ -73,14 +73,16 @@ def words(text):
     return text.lower().split()
 
 
-def shingle_set(text, n=5):
+def shingle_counts(text, n=5):
     w = words(text or "")
     n = min(n, len(w))
-    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
+    return Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if w else Counter()
 
 
-def brute_classes(rows, threshold=0.8):
-    sets = [shingle_set(t) for _, t in rows]
+def brute_classes(rows, threshold=0.8, weighting="count"):
+    sets = [shingle_counts(t) for _, t in rows]
+    if weighting == "set":
+        sets = [Counter(set(s)) for s in sets]
     parent = list(range(len(rows)))
 
     def find(x):
@@ -90,7 +92,7 @@ def brute_classes(rows, threshold=0.8):
 
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9:
+            if sets[i] and sets[j] and (sets[i] & sets[j]).total() >= threshold * (sets[i] | sets[j]).total() - 1e-9:
                 parent[find(i)] = find(j)
     return [find(i) for i in range(len(rows))]
 
@@ -112,15 +114,23 @@ def near_rows(seed=4):
     for k in range(12):  # each like the next, the ends unlike
         chain = chain[6:] + [rng.choice(vocabulary) for _ in range(6)]
         rows.append(" ".join(chain))
+    refrain = [rng.choice(vocabulary) for _ in range(12)]
+    verse = [rng.choice(vocabulary) for _ in range(60)]
+    # alike as sets, unlike by counts, and the reverse
+    rows += [" ".join(verse + refrain * k) for k in (1, 2, 9, 10, 40, 42, 45)]
+    rows += [" ".join(verse[k : k + 12] + refrain * 30) for k in (0, 12, 24, 36)]
     rows += [rows[0]] * 5 + [None, "", "one two", "One  two", "alone"]
     return list(enumerate(rows))
 
 
-def test_near_duplicates_match_brute_force(documents_of):
+@pytest.mark.parametrize("weighting", ["count", "set"])
+def test_near_duplicates_match_brute_force(documents_of, weighting):
     rows = near_rows()
-    out = {r.doc_id: r for r in dart_minhash.near_duplicates(documents_of(rows).repartition(7)).collect()}
+    found = dart_minhash.near_duplicates(documents_of(rows).repartition(7), weighting=weighting)
+    out = {r.doc_id: r for r in found.collect()}
     assert len(out) == len(rows)
-    classes = brute_classes(rows)
+    classes = brute_classes(rows, weighting=weighting)
+    assert classes != brute_classes(rows, weighting="set" if weighting == "count" else "count")
     groups = defaultdict(set)
     for (doc_id, _), c in zip(rows, classes):
         groups[c].add(doc_id)
@@ -161,6 +171,17 @@ def test_signatures_estimate_the_similarity(weighting):
         assert abs((a == b).mean() - want) < 4 * (want * (1 - want) / 1024) ** 0.5
 
 
+def test_weights_of_a_million_are_thrown_at_by_slab():
+    names = np.arange(1, 2001, dtype=np.uint64)
+    weights = np.ones(2000, np.int64)
+    plain = dart_minhash.signature(names, None, 256)
+    assert (dart_minhash.signature(names, weights, 256) == plain).all()
+    weights[0] = 1_000_000
+    heavy = dart_minhash.signature(names, weights, 256)
+    alone = dart_minhash.signature(names[:1], weights[:1], 256)
+    assert (heavy == alone).mean() > 0.97
+
+
 def test_signature_of_few_elements_is_full():
     for n in (1, 2, 30):
         sig = dart_minhash.signature(np.arange(1, n + 1, dtype=np.uint64), None, 192)
