@@ -21,8 +21,6 @@ from ledgerloom.llm.common import arrow_map, prepare, record_batch
 
 #: Labelled rows per language that are learned from, about.
 SAMPLE_ROWS = 400
-#: Bytes of all learning texts, about; longer texts make each language's sample smaller.
-SAMPLE_BYTES = 48 << 20
 CENTROIDS = 3
 DIMENSIONS = 8192
 UNKNOWN = "und"
@@ -110,19 +108,35 @@ def cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS, dimensions: int = DIMENSIONS, slack: float = SLACK) -> Model:
     """Model of (text, language) rows; texts without a letter teach nothing."""
-    rows = sorted({r for r in rows if has_letter(r[0])})
-    languages = sorted({lang for _, lang in rows})
+    known = sorted({r for r in rows if has_letter(r[0])})
+    return fit_vectors([(lang, len(t), *sparse(vector(t, dimensions))) for t, lang in known], centroids, dimensions, slack)
+
+
+def sparse(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """(slots, values) of the counts that are not 0."""
+    slots = np.flatnonzero(counts)
+    return slots.astype("<u4").tobytes(), counts[slots].astype("<f4").tobytes()
+
+
+def fit_vectors(
+    rows: list[tuple[str, int, bytes, bytes]], centroids: int = CENTROIDS, dimensions: int = DIMENSIONS, slack: float = SLACK
+) -> Model:
+    """Model of (language, length, slots, values) of texts, as from `sparse`; equal rows count once."""
+    rows = sorted(set(rows))
+    languages = sorted({r[0] for r in rows})
     if not rows:
         return Model([], np.empty(0, int), np.empty((0, dimensions), np.float32), np.ones(dimensions, np.float32), np.zeros(8))
-    counts = np.stack([vector(t, dimensions) for t, _ in rows])
+    counts = np.zeros((len(rows), dimensions), np.float32)
+    for own, (_, _, slots, values) in zip(counts, rows):
+        own[np.frombuffer(slots, "<u4")] = np.frombuffer(values, "<f4")
     idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 0.05).astype(np.float32)
     points = unit(counts * idf)
-    labels = np.array([languages.index(lang) for _, lang in rows])
+    labels = np.array([languages.index(r[0]) for r in rows])
     found = [cluster(points[labels == k], centroids) for k in range(len(languages))]
     owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
     centres = np.concatenate(found).astype(np.float32)
     near = (points @ centres.T).max(axis=1)
-    classes = np.array([length_class(len(t)) for t, _ in rows])
+    classes = np.array([length_class(r[1]) for r in rows])
     own = np.array([near[classes == c].min() if (classes == c).any() else np.inf for c in range(8)])
     # a shorter text may be as far as any longer one; under SHORT_CLASSES too little can be told
     least = slack * np.minimum.accumulate(own[::-1])[::-1]
@@ -131,24 +145,38 @@ def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS, dimensions: int
     return Model(languages, owner, centres, idf, least)
 
 
-def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Model:
+def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS, **options) -> Model:
     """Fit on about `sample_rows` rows per language of (doc_id, text, lang), spread by a hash of the id.
 
     Rows per language are counted over the whole table; languages with fewer rows are taken whole. Only
-    the bounded sample reaches the driver.
+    the n-grams of the sampled rows reach the driver, at most eight bytes a dimension and row, however
+    long the texts are. Rows without a text or language teach nothing.
     """
     known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    sizes = known.groupBy("lang").count().collect()
     if not sizes:
-        return fit([], **options)
+        return fit_vectors([], dimensions=dimensions, **options)
     # the hash is uniform over 2^31, so a language's threshold sets how many of its rows are taken
-    each = SAMPLE_BYTES / len(sizes)
-    share = {r["lang"]: min(1.0, sample_rows / r["n"], each / max(1, r["bytes"])) for r in sizes}
+    share = {r["lang"]: min(1.0, sample_rows / r["count"]) for r in sizes}
     shares = F.create_map(*[F.lit(x) for lang, part in sorted(share.items()) for x in (lang, int((1 << 31) * part))])
     spread = F.abs(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5))) % F.lit(1 << 31)
     sample = known.filter(spread < F.element_at(shares, F.col("lang"))).select("text", "lang")
-    rows = [(row["text"], row["lang"]) for row in sample.toLocalIterator()]
-    return fit(rows, **options)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [(lang, t) for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()) if has_letter(t)]
+            grams = [sparse(vector(t, dimensions)) for _, t in own]
+            yield record_batch(
+                lang=([lang for lang, _ in own], pa.string()),
+                n=([len(t) for _, t in own], pa.int64()),
+                slots=([g[0] for g in grams], pa.binary()),
+                counts=([g[1] for g in grams], pa.binary()),
+            )
+
+    prepare(labelled.sparkSession)
+    found = arrow_map(sample, count, "lang string, n long, slots binary, counts binary")
+    rows = [(r["lang"], r["n"], bytes(r["slots"]), bytes(r["counts"])) for r in found.toLocalIterator()]
+    return fit_vectors(rows, dimensions=dimensions, **options)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -67,5 +67,5 @@ def test_stages_keep_the_columns(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] == [n for n in names if n.startswith("op")]
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] == [n for n in names if n.startswith("op")]
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)

@@ -60,6 +60,28 @@ def test_nothing_to_learn_from(spark):
     assert langid.identify(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), model).first().lang_pred == "und"
 
 
+def test_rare_language_with_long_rows_is_learned(spark):
+    rng = random.Random(7)
+    rows = [(k, speech("en", rng, 60), "en") for k in range(300)] + [(1000 + k, speech("fr", rng, 400_000), "fr") for k in range(2)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=50)
+    assert model.languages == ["en", "fr"]
+    assert model.predict([speech("fr", rng, 80), speech("en", rng, 80)])[0] == ["fr", "en"]
+
+
+def test_prediction_is_the_nearest_centroid_by_plain_cosine():
+    rng = random.Random(8)
+    rows = labelled(60)
+    model = langid.fit([(t, lang) for _, t, lang in rows])
+    texts = [speech(lang, rng, n) for lang in LANGUAGES for n in (3, 30, 300)]
+    names, scores, _ = model.predict(texts)
+    for text, name, score in zip(texts, names, scores):
+        v = [float(c) * float(w) for c, w in zip(langid.vector(text), model.idf)]
+        length = sum(x * x for x in v) ** 0.5
+        near = [sum(x * float(y) for x, y in zip(v, c)) / length for c in model.centroids]
+        assert abs(max(near) - score) < 1e-4
+        assert near[max((k for k in range(len(near)) if model.languages[model.owner[k]] == name), key=near.__getitem__)] > max(near) - 1e-4
+
+
 def test_stretches_of_a_long_text_count_all_grams():
     rng = random.Random(2)
     text = speech("de", rng, 400_000)
