@@ -3,14 +3,16 @@
 A text becomes a vector of character n-gram counts (bytes of the lower-case letters, anything else as
 one blank; n = 1 to 3, hashed), damped, weighted by inverse document frequency and normalised. Each
 language has several centroids, found by spherical k-means over a bounded sample of labelled rows. A
-text gets the language of the most similar centroid. One whose similarity is far below that of all
-learning texts of its length is rejected.
+text gets the language of the most similar centroid. One whose similarity is far below that of texts of
+its length, measured on learning texts and their stretches against centroids that did not learn from
+them, is rejected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +26,11 @@ SAMPLE_ROWS = 400
 CENTROIDS = 3
 DIMENSIONS = 8192
 UNKNOWN = "und"
-#: Length classes whose texts (under 16 characters) are not rejected for their distance.
-SHORT_CLASSES = 2
-#: A text is rejected below this share of the smallest similarity seen in learning for its length.
-SLACK = 0.25
+#: Parts of the learning texts; the similarities of one part are measured on centroids of the others.
+FOLDS = 5
+#: A text is rejected below SLACK of the similarity that all but this share of the measured ones reach.
+QUANTILE = 0.002
+SLACK = 0.5
 
 
 _BLANK_OR_LETTER = np.array([c if c >= 128 or chr(c).isalpha() else 32 for c in range(256)], np.uint8)
@@ -109,7 +112,23 @@ def cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS, dimensions: int = DIMENSIONS, slack: float = SLACK) -> Model:
     """Model of (text, language) rows; texts without a letter teach nothing."""
     known = sorted({r for r in rows if has_letter(r[0])})
-    return fit_vectors([(lang, len(t), *sparse(vector(t, dimensions))) for t, lang in known], centroids, dimensions, slack)
+    return fit_vectors([(lang, *piece) for t, lang in known for piece in pieces(t, dimensions)], centroids, dimensions, slack)
+
+
+def pieces(text: str, dimensions: int = DIMENSIONS) -> list[tuple[int, int, bool, bytes, bytes]]:
+    """(fold, length, whole, slots, values) of a text and of one stretch per shorter length class.
+
+    A stretch has the least length of its class and begins where a hash of the text says; stretches
+    without a letter are left out. They only measure similarities.
+    """
+    key = crc32(text.encode("utf-8", "replace"))
+    out = [(key % FOLDS, len(text), True, *sparse(vector(text, dimensions)))]
+    for n in (4**k for k in range(length_class(len(text)))):
+        start = key % (len(text) - n + 1)
+        cut = text[start : start + n]
+        if has_letter(cut):
+            out.append((key % FOLDS, n, False, *sparse(vector(cut, dimensions))))
+    return out
 
 
 def sparse(counts: np.ndarray) -> tuple[bytes, bytes]:
@@ -118,39 +137,65 @@ def sparse(counts: np.ndarray) -> tuple[bytes, bytes]:
     return slots.astype("<u4").tobytes(), counts[slots].astype("<f4").tobytes()
 
 
+def dense(rows: list[tuple], dimensions: int) -> np.ndarray:
+    """Counts of rows that end in (slots, values)."""
+    counts = np.zeros((len(rows), dimensions), np.float32)
+    for own, row in zip(counts, rows):
+        own[np.frombuffer(row[-2], "<u4")] = np.frombuffer(row[-1], "<f4")
+    return counts
+
+
 def fit_vectors(
-    rows: list[tuple[str, int, bytes, bytes]], centroids: int = CENTROIDS, dimensions: int = DIMENSIONS, slack: float = SLACK
+    rows: list[tuple[str, int, int, bool, bytes, bytes]], centroids: int = CENTROIDS, dimensions: int = DIMENSIONS, slack: float = SLACK
 ) -> Model:
-    """Model of (language, length, slots, values) of texts, as from `sparse`; equal rows count once."""
+    """Model of (language, fold, length, whole, slots, values), as from `pieces`; equal rows count once."""
     rows = sorted(set(rows))
-    languages = sorted({r[0] for r in rows})
-    if not rows:
+    whole = [r for r in rows if r[3]]
+    languages = sorted({r[0] for r in whole})
+    if not whole:
         return Model([], np.empty(0, int), np.empty((0, dimensions), np.float32), np.ones(dimensions, np.float32), np.zeros(8))
-    counts = np.zeros((len(rows), dimensions), np.float32)
-    for own, (_, _, slots, values) in zip(counts, rows):
-        own[np.frombuffer(slots, "<u4")] = np.frombuffer(values, "<f4")
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 0.05).astype(np.float32)
+    counts = dense(whole, dimensions)
+    idf = (np.log((1 + len(whole)) / (1 + (counts > 0).sum(axis=0))) + 0.05).astype(np.float32)
     points = unit(counts * idf)
-    labels = np.array([languages.index(r[0]) for r in rows])
+    labels = np.array([languages.index(r[0]) for r in whole])
     found = [cluster(points[labels == k], centroids) for k in range(len(languages))]
     owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
     centres = np.concatenate(found).astype(np.float32)
-    near = (points @ centres.T).max(axis=1)
-    classes = np.array([length_class(r[1]) for r in rows])
-    own = np.array([near[classes == c].min() if (classes == c).any() else np.inf for c in range(8)])
-    # a shorter text may be as far as any longer one; under SHORT_CLASSES too little can be told
-    least = slack * np.minimum.accumulate(own[::-1])[::-1]
-    least[~np.isfinite(least)] = slack * own.min()
-    least[:SHORT_CLASSES] = 0.0
-    return Model(languages, owner, centres, idf, least)
+    return Model(languages, owner, centres, idf, slack * usual_least(rows, points, labels, idf, languages, centroids))
+
+
+def usual_least(rows: list[tuple], points: np.ndarray, labels: np.ndarray, idf: np.ndarray, languages: list[str], centroids: int) -> np.ndarray:
+    """Per length class the similarity that all but QUANTILE of the measured pieces reach, not falling with length.
+
+    A piece is measured against centroids of the other folds; where they hold no text of its language it
+    is not. Without a measured piece of some class the next longer one counts, without any, 0.
+    """
+    folds = np.array([r[1] for r in rows if r[3]])
+    near: list[list[float]] = [[] for _ in range(8)]
+    for fold in range(FOLDS):
+        known = [k for k in range(len(languages)) if ((folds != fold) & (labels == k)).any()]
+        tested = [r for r in rows if r[1] == fold and languages.index(r[0]) in known]
+        if not tested:
+            continue
+        centres = np.concatenate([cluster(points[(folds != fold) & (labels == k)], centroids) for k in known])
+        for i in range(0, len(tested), 512):
+            part = tested[i : i + 512]
+            best = (unit(dense(part, len(idf)) * idf) @ centres.T).max(axis=1)
+            for row, similarity in zip(part, best):
+                near[length_class(row[2])].append(float(similarity))
+    own = np.array([np.quantile(n, QUANTILE) if n else np.inf for n in near])
+    least = np.minimum.accumulate(own[::-1])[::-1]
+    # classes longer than all that was measured: as the longest measured one
+    longest = own[np.isfinite(own)][-1:]
+    return np.where(np.isfinite(least), least, longest[0] if len(longest) else 0.0)
 
 
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS, **options) -> Model:
     """Fit on about `sample_rows` rows per language of (doc_id, text, lang), spread by a hash of the id.
 
     Rows per language are counted over the whole table; languages with fewer rows are taken whole. Only
-    the n-grams of the sampled rows reach the driver, at most eight bytes a dimension and row, however
-    long the texts are. Rows without a text or language teach nothing.
+    the n-grams of the sampled rows and of up to seven stretches of each reach the driver, at most eight
+    bytes a dimension and row, however long the texts are. Rows without a text or language teach nothing.
     """
     known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = known.groupBy("lang").count().collect()
@@ -165,17 +210,13 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [(lang, t) for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()) if has_letter(t)]
-            grams = [sparse(vector(t, dimensions)) for _, t in own]
-            yield record_batch(
-                lang=([lang for lang, _ in own], pa.string()),
-                n=([len(t) for _, t in own], pa.int64()),
-                slots=([g[0] for g in grams], pa.binary()),
-                counts=([g[1] for g in grams], pa.binary()),
-            )
+            found = [(lang, *piece) for lang, t in own for piece in pieces(t, dimensions)]
+            kinds = {"lang": pa.string(), "fold": pa.int32(), "n": pa.int64(), "whole": pa.bool_(), "slots": pa.binary(), "counts": pa.binary()}
+            yield record_batch(**{name: ([f[k] for f in found], kind) for k, (name, kind) in enumerate(kinds.items())})
 
     prepare(labelled.sparkSession)
-    found = arrow_map(sample, count, "lang string, n long, slots binary, counts binary")
-    rows = [(r["lang"], r["n"], bytes(r["slots"]), bytes(r["counts"])) for r in found.toLocalIterator()]
+    found = arrow_map(sample, count, "lang string, fold int, n long, whole boolean, slots binary, counts binary")
+    rows = [(*r[:4], bytes(r["slots"]), bytes(r["counts"])) for r in found.toLocalIterator()]
     return fit_vectors(rows, dimensions=dimensions, **options)
 
 

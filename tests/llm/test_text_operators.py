@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from ledgerloom.llm import langid, pii, secret_ledger, wrappers
@@ -82,6 +83,42 @@ def test_prediction_is_the_nearest_centroid_by_plain_cosine():
         assert near[max((k for k in range(len(near)) if model.languages[model.owner[k]] == name), key=near.__getitem__)] > max(near) - 1e-4
 
 
+def test_rejection_is_measured_on_texts_of_every_length():
+    rng = random.Random(9)
+    model = langid.fit([(t, lang) for _, t, lang in labelled(400)])
+    assert (np.diff(model.least) >= 0).all() and model.least[0] >= 0
+    for n in (2, 8, 30, 200, 1500, 60_000):
+        own = [speech(lang, rng, n) for lang in LANGUAGES for _ in range(20)]
+        assert sum(model.predict(own)[2]) == 0, n
+    other = ["".join(rng.choice("абвгдежзиклмнопрст ") for _ in range(n)) for n in (16, 70, 300, 5000) for _ in range(20)]
+    assert sum(model.predict(other)[2]) >= 0.95 * len(other)
+
+
+def test_thresholds_match_brute_force():
+    rows = [(t, lang) for _, t, lang in labelled(60)]
+    model = langid.fit(rows)
+    near = [[] for _ in range(8)]
+    for fold in range(langid.FOLDS):
+        mine = [(t, lang) for t, lang in sorted(set(rows)) if zlib.crc32(t.encode()) % langid.FOLDS == fold]
+        rest = [(t, lang) for t, lang in sorted(set(rows)) if zlib.crc32(t.encode()) % langid.FOLDS != fold]
+        centres = [c for lang in sorted({x for _, x in rest}) for c in langid.cluster(langid.unit(np.stack([langid.vector(t) for t, x in rest if x == lang]) * model.idf), langid.CENTROIDS)]
+        for t, _ in mine:
+            for n in [len(t)] + [4**k for k in range(8) if 4 ** (k + 1) <= len(t)]:
+                start = zlib.crc32(t.encode()) % (len(t) - n + 1) if n < len(t) else 0
+                if any(map(str.isalpha, t[start : start + n])):
+                    v = langid.vector(t[start : start + n]) * model.idf
+                    near[langid.length_class(n)].append(max(float(v @ c) for c in centres) / float(np.linalg.norm(v)))
+    for c in range(8):
+        longer = [np.quantile(n, langid.QUANTILE) for n in near[c:] if n] or [np.quantile([n for n in near if n][-1], langid.QUANTILE)]
+        assert abs(model.least[c] - langid.SLACK * min(longer)) < 1e-4
+
+
+def test_few_rows_reject_nothing_by_distance():
+    model = langid.fit([("the one and only text", "en")])
+    assert model.least.tolist() == [0.0] * 8
+    assert model.predict(["something else entirely", "12"])[2] == [False, True]
+
+
 def test_stretches_of_a_long_text_count_all_grams():
     rng = random.Random(2)
     text = speech("de", rng, 400_000)
@@ -89,8 +126,6 @@ def test_stretches_of_a_long_text_count_all_grams():
     assert len(text) > 1 << 20
     data = f" {text.lower()} ".encode()
     grams = sum(len(data) - n + 1 for n in (1, 2, 3))
-    import numpy as np
-
     assert abs(np.expm1(half.astype(np.float64)).sum() - grams) / grams < 1e-4
 
 
