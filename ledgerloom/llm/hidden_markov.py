@@ -8,8 +8,9 @@ the shares of its rarer words: an exact likelihood over all words, known or not.
 
 Baum-Welch: each task runs forward and backward over its texts and adds up the expected counts of starts,
 transitions and emissions; Spark sums them over tasks, and the driver turns a table of states times symbols,
-whose size is fixed, into the next parameters. The first rounds read a share of the training texts, the last
-one all of them. All texts of a batch step forward together, as one matrix product per place in the text.
+whose size is fixed, into the next parameters. The first rounds read one part of the training texts each and add
+its counts to those of the parts before, until all texts are in; the last one reads all of them at once. All texts of
+a batch step forward together, as one matrix product per place in the text.
 
 Words beyond the dictionary, which grows to a fixed size only, are joined with the table of all counts.
 """
@@ -35,8 +36,10 @@ STATES = 8
 SYMBOLS, CLASSES = 20_000, 4096
 #: Most frequent words that tasks know the count of; rarer ones are joined. Words above WORD_BYTES are joined too.
 DICTIONARY, WORD_BYTES = 200_000, 64
-#: Share of the training texts that each round of Baum-Welch reads.
-ROUNDS = (1 / 8, 1 / 8, 1 / 8, 1 / 8, 1 / 2, 1)
+#: Share of the training texts that each round of Baum-Welch reads: five parts that make up all of them, then all at once.
+ROUNDS = (1 / 5, 1 / 5, 1 / 5, 1 / 5, 1 / 5, 1)
+#: Numbers that the texts are dealt to; a part of the texts is a range of them.
+MARKS = 1 << 20
 #: An emission leans on the symbol's overall share as if on this many more tokens.
 LEAN = 50.0
 #: First guess of the chance to stay in a state.
@@ -268,8 +271,8 @@ def read_tokens(texts: list[bytes], ids: dict[bytes, int], symbol_of: np.ndarray
     return np.concatenate(places), np.concatenate(symbols), np.array(lengths, np.int64), missing
 
 
-def baum_welch_round(docs: DataFrame, lexicon, model: Model, symbol_counts: np.ndarray) -> Model:
-    """One round over all of `docs`; `lexicon` is a broadcast (ids, symbol_of, symbols of no class)."""
+def baum_welch_round(docs: DataFrame, lexicon, model: Model, symbol_counts: np.ndarray) -> list[np.ndarray]:
+    """Expected starts, transitions and emissions over all of `docs`; `lexicon` is a broadcast (ids, symbol_of)."""
     known, states, own = docs.sparkSession.sparkContext.broadcast(model), len(model.start), len(symbol_counts) - CLASSES
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,23 +307,33 @@ def baum_welch_round(docs: DataFrame, lexicon, model: Model, symbol_counts: np.n
     known.destroy()
     emit = np.zeros((len(symbol_counts) + states + 1, states))  # negative rows count from the end
     emit[table.column("symbol").to_numpy()] = np.stack([table.column(c).to_numpy() for c in columns], axis=1)
-    start, move = emit[-1], emit[[-2 - k for k in range(states)]]
-    return model.next(start, move, emit[: len(symbol_counts)], symbol_counts)
+    return [emit[-1], emit[[-2 - k for k in range(states)]], emit[: len(symbol_counts)]]
 
 
 def learn(docs: DataFrame, states: int = STATES, rounds: tuple[float, ...] = ROUNDS) -> tuple[Lexicon, Model]:
     """Lexicon and model of these texts.
 
-    A round with a share below 1 reads the texts whose hash falls below that share.
+    Rounds with a share below 1 read the texts part by part, by a hash, and the parameters after each come from
+    the counts of all parts so far; once all texts are in, or after a round over all of them, the next part is the
+    first one again.
     """
     prepare(docs.sparkSession)
     lexicon = learn_lexicon(docs)
     model = Model.first(lexicon.symbol_counts, states)
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.ids, lexicon.symbol_of))
+    mark = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.octet_length("text")), F.lit(MARKS))
+    read, counts = 0.0, None
     for share in rounds:
-        mark = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.octet_length("text")), F.lit(1 << 20))
-        part = docs if share >= 1 else docs.filter(mark < int(share * (1 << 20)))
-        model = baum_welch_round(part, shared, model, lexicon.symbol_counts)
+        begin, read = round(read * MARKS), read + share
+        end = round(read * MARKS)
+        if share >= 1 or begin == 0:
+            counts = None
+        part = docs if share >= 1 else docs.filter((mark >= begin) & (mark < end))
+        found = baum_welch_round(part, shared, model, lexicon.symbol_counts)
+        counts = found if counts is None else [a + b for a, b in zip(counts, found)]
+        model = model.next(*counts, lexicon.symbol_counts)
+        if end >= MARKS:
+            read = 0.0
     return lexicon, model
 
 

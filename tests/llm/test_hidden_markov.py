@@ -155,3 +155,17 @@ def test_nothing_to_learn_from(spark, documents_of):
     row = hm.learn_and_score(documents_of([(only, "a b")])).collect()[0]
     assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (True, 3, 0, 0, 0.0)
     assert math.isfinite(row["score"]) and row["score"] <= 0
+
+
+def test_partial_rounds_read_every_text_once(spark, documents_of, monkeypatch):
+    seen, one_round = [], hm.baum_welch_round
+
+    def noted(docs, *rest):
+        seen.append(Counter(r["doc_id"] for r in docs.select("doc_id").collect()))
+        return one_round(docs, *rest)
+
+    monkeypatch.setattr(hm, "baum_welch_round", noted)
+    hm.learn(documents_of(corpus()), 2)
+    every = Counter(i for i, _ in corpus())
+    assert seen[-1] == every
+    assert sum(seen[:-1], Counter()) == every
