@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ledgerloom.functions.dates import parse_date
+from ledgerloom.functions.text import strip
 from ledgerloom.operators.grid import (
     blob_blocks,
     data_rows,
@@ -17,6 +18,7 @@ from ledgerloom.operators.grid import (
 )
 from ledgerloom.operators.splice import POS, RANK, splice
 from ledgerloom.operators.textlines import TXN_COLUMNS, text_blocks, with_text_transactions
+from ledgerloom.session import compile_in_parts
 
 STATUS = "__STATUS__"
 METHODS = ("table_extract", "raw_text_block_recovered", "raw_text_block_backfill", "raw_text_block")
@@ -55,6 +57,13 @@ def _items(rank: int, array: Column, cells: bool) -> Column:
     return F.transform(array, item).cast(f"array<{_ITEM}>")
 
 
+def _unreadable(tables: Column) -> Column:
+    """Whether some table with rows has none to read first."""
+    return F.exists(
+        tables, lambda t: (F.coalesce(F.size(t), F.lit(0)) > 0) & F.try_element_at(t, F.lit(1)).isNull()
+    )
+
+
 def statement_items(docs: DataFrame) -> DataFrame:
     """One row per candidate transaction plus one status row (rank -1) per statement.
 
@@ -62,10 +71,6 @@ def statement_items(docs: DataFrame) -> DataFrame:
     one statement that cannot be read fails alone.
     """
     tables = read_grid(F.col("tables_json"))
-    unreadable = F.exists(
-        F.col("_tables"),
-        lambda t: (F.coalesce(F.size(t), F.lit(0)) > 0) & F.try_element_at(t, F.lit(1)).isNull(),
-    )
     status_item = F.array(
         F.struct(
             F.lit(-1).alias(RANK),
@@ -81,7 +86,7 @@ def statement_items(docs: DataFrame) -> DataFrame:
     )
     return (
         docs.select("statement_hash", "bank_format", "raw_text", tables.alias("_tables"))
-        .withColumns({"_mapped": mapped_tables(F.col("_tables")), "_failed": unreadable})
+        .withColumns({"_mapped": mapped_tables(F.col("_tables")), "_failed": _unreadable(F.col("_tables"))})
         .withColumns(
             {
                 "_grid": data_rows(F.col("_mapped")),
@@ -115,15 +120,33 @@ def with_tables(docs: DataFrame) -> Column:
     return F.coalesce(~F.btrim(F.col("tables_json")).isin("", "[]"), F.lit(False))
 
 
+def _narrow_table(tables: Column) -> Column:
+    """Whether some table has so few columns that it may be a blob (see `is_blob`)."""
+    def widest(t: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(t, lambda r: F.size(r))), F.lit(0))
+
+    return F.coalesce(F.exists(tables, lambda t: widest(t) <= 2), F.lit(True))
+
+
 def classify_documents(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     """Classified lines and, per statement, one row of type `__STATUS__` (see `split_status`).
 
     Input: statement_hash (unique), bank_format, raw_text, tables_json. Statements without tables take
-    the route of `text_only_lines`, the others that of `spliced_lines`; `docs` is read once for each,
+    the route of `text_only_lines`, those with tables that have neither text nor a table that may be a blob that of
+    `table_only_lines`, the others that of `spliced_lines`; `docs` is read once for each,
     so it should be a stored table or cheap. For `flag_first` see `with_grid_transactions`.
     """
+    compile_in_parts(docs.sparkSession)
     tabled = with_tables(docs)
-    return text_only_lines(docs.filter(~tabled)).unionByName(spliced_lines(docs.filter(tabled), flag_first))
+    worded = F.coalesce(strip(F.col("raw_text")) != "", F.lit(False))
+    wordless = docs.filter(tabled & ~worded)
+    narrow = _narrow_table(read_grid(F.col("tables_json")))
+    spliced = docs.filter(tabled & (worded | F.when(~worded, narrow)))
+    return (
+        text_only_lines(docs.filter(~tabled))
+        .unionByName(table_only_lines(wordless.filter(~narrow), flag_first))
+        .unionByName(spliced_lines(spliced, flag_first))
+    )
 
 
 def text_only_lines(docs: DataFrame) -> DataFrame:
@@ -151,11 +174,8 @@ def text_only_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
-    """`classify_documents` for any statements, with text lines fitted in between table lines.
-
-    The parsed lines shuffle once, by statement; all later windows reuse that partitioning.
-    """
+def _parsed_items(docs: DataFrame, flag_first: bool) -> DataFrame:
+    """The items of each statement, parsed, and its status row."""
     gridded = with_grid_transactions(statement_items(docs), "_cells", "_map", flag_first=flag_first)
     parsed = with_text_transactions(gridded, "_block")
     grid = F.col(RANK) == _GRID
@@ -171,7 +191,7 @@ def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
         .when(F.col("_has_tables"), "raw_text_block_backfill")
         .otherwise("raw_text_block")
     )
-    rows = parsed.select(
+    return parsed.select(
         "statement_hash",
         "bank_format",
         RANK,
@@ -180,25 +200,68 @@ def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
         *[v.alias(c) for c, v in picked.items()],
         method.alias("classification_method"),
         F.when(F.col("_failed") & status, F.lit("table without a readable first row")).alias("error_message"),
-    ).repartition("statement_hash")
-
-    signature = W.partitionBy("statement_hash", "txn_date_raw", F.round("running_balance", 2))
-    seen_first = F.row_number().over(signature.orderBy(RANK, POS)) == 1
-    kept = rows.withColumn("_first", seen_first).filter(
-        (F.col(RANK) != _TEXT) | ~F.col("_has_tables") | F.col("_first")
     )
-    dated = kept.withColumn("_date", parse_date(F.col("txn_date_raw")))
-    numbered = splice(dated, "statement_hash", "_date", first=0)
-    return numbered.select(
+
+
+def _staged_columns(line_no: Column) -> list[Column | str]:
+    status = F.col(RANK) < 0
+    return [
         "statement_hash",
         "bank_format",
-        F.when(status, -1).otherwise(F.col("line_no")).alias("line_no"),
+        F.when(status, -1).otherwise(line_no).alias("line_no"),
         *[c for c in TXN_COLUMNS if c not in ("txn_type", "classification_confidence")],
         F.when(status, STATUS).otherwise(F.col("txn_type")).alias("txn_type"),
         "classification_confidence",
         "classification_method",
         "error_message",
+    ]
+
+
+def table_only_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
+    """`classify_documents` for statements whose lines all come from mapped tables: they are in order as they
+    stand there, so nothing is shuffled or sorted."""
+    item = F.array(
+        F.struct(F.lit(-1).alias(POS), F.lit(None).cast("array<string>").alias("_cells"), F.lit(None).cast("array<int>").alias("_map"))
+    )
+    rows = F.transform(
+        F.col("_grid"), lambda r, i: F.struct(i.alias(POS), r["cells"].alias("_cells"), r["map"].alias("_map"))
+    )
+    items = (
+        docs.select("statement_hash", "bank_format", read_grid(F.col("tables_json")).alias("_tables"))
+        .withColumns({"_grid": data_rows(mapped_tables(F.col("_tables"))), "_failed": _unreadable(F.col("_tables"))})
+        .withColumn("_found", F.when(F.col("_failed"), F.slice(item, 1, 0)).otherwise(rows))
+        .withColumn("_any", F.size("_found") > 0)
+        .select("statement_hash", "bank_format", "_failed", "_any", F.inline(F.concat(item, F.col("_found"))))
+    )
+    parsed = with_grid_transactions(items, "_cells", "_map", flag_first=flag_first)
+    status, failed = F.col(POS) < 0, F.col("_failed")
+    outcome = F.when(failed, "FAILED").when(F.col("_any"), "SUCCESS").otherwise("SUCCESS_EMPTY")
+    picked = {c: F.when(~status, F.col(f"g_{c}")) for c in TXN_COLUMNS}
+    picked["txn_type"] = F.when(status, STATUS).otherwise(F.col("g_txn_type"))
+    return parsed.select(
+        "statement_hash",
+        "bank_format",
+        F.when(status, -1).otherwise(F.col(POS) + 1).alias("line_no"),
+        *[v.alias(c) for c, v in picked.items()],
+        F.when(status, outcome).otherwise("table_extract").alias("classification_method"),
+        F.when(failed & status, F.lit("table without a readable first row")).alias("error_message"),
+    )
+
+
+def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
+    """`classify_documents` for any statements, with text lines fitted in between table lines.
+
+    The parsed lines shuffle once, by statement; all later windows reuse that partitioning.
+    """
+    rows = _parsed_items(docs, flag_first).repartition("statement_hash")
+    signature = W.partitionBy("statement_hash", "txn_date_raw", F.round("running_balance", 2))
+    seen_first = F.row_number().over(signature.orderBy(RANK, POS)) == 1
+    kept = rows.withColumn("_first", seen_first).filter(
+        (F.col(RANK) != _TEXT) | ~F.col("_has_tables") | F.col("_first")
     )
+    dated = kept.withColumn("_date", parse_date(F.col("txn_date_raw")))
+    numbered = splice(dated, "statement_hash", "_date", first=0)
+    return numbered.select(*_staged_columns(F.col("line_no")))
 
 
 def split_status(staged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks per core inside; by default Spark starts one task for each folder or file."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def compile_in_parts(spark: SparkSession) -> None:
+    """Let long expression chains run split up: the JVM never compiles methods above 8000 bytes."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write once to the shared folder and read back.
 

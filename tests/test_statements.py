@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.operators.splice import POS, RANK, splice, splice_chunked
-from ledgerloom.operators.statements import classify_documents, split_status, spliced_lines, text_only_lines
+from ledgerloom.operators.statements import classify_documents, split_status, spliced_lines, table_only_lines, text_only_lines
 from ledgerloom.operators.textlines import parse_text, text_blocks
 
 DATE, AMOUNT = re.compile(rules.DATE_PATTERN), re.compile(rules.AMOUNT_PATTERN)
@@ -247,3 +247,22 @@ def test_many_tables_carry_their_headers(spark):
     assert mapped.filter(F.col("t.headed")).count() == 6666
     empty = spark.range(1).select(grid.mapped_tables(F.array().cast("array<array<array<string>>>")).alias("t")).first()
     assert empty.t == []
+
+
+def test_statements_of_tables_alone_are_numbered_without_a_shuffle(spark):
+    head, row = ["Txn Date", "Narration", "Debit", "Credit", "Balance"], lambda n: ["01/04/2024", f"UPI/{n}", "5.00", "", f"{n}.00"]
+    docs = [
+        ("a", "X", None, json.dumps([[head, row(9), row(7)], [["x", "", "", "", ""], row(8)]])),
+        ("b", "X", " \n ", json.dumps([[None, row(1)]])),
+        ("c", "X", None, json.dumps([[["nothing", "here", "at all"]]])),
+    ]
+    staged = classify_documents(spark.createDataFrame(docs, "statement_hash string, bank_format string, raw_text string, tables_json string"))
+    got = {(r.statement_hash, r.line_no): (r.narration, r.classification_method) for r in staged.collect()}
+    assert got == {
+        ("a", -1): (None, "SUCCESS"), ("a", 1): ("UPI/9", "table_extract"), ("a", 2): ("UPI/7", "table_extract"),
+        ("a", 3): ("UPI/8", "table_extract"), ("b", -1): (None, "FAILED"), ("c", -1): (None, "SUCCESS_EMPTY"),
+    }
+    lines = table_only_lines(spark.createDataFrame(docs, "statement_hash string, bank_format string, raw_text string, tables_json string"))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert {(r.statement_hash, r.line_no): (r.narration, r.classification_method) for r in lines.collect()} == got

@@ -52,8 +52,8 @@ def bronze_of(statements: DataFrame, text: Column | None, tables: Column | None)
 
 
 def _lines_of(docs: DataFrame) -> DataFrame:
-    """Transaction lines without the status rows."""
-    return split_status(classify_documents(docs))[1].select(*_OUT)
+    """Transaction lines without the status rows; the statements are written down, as each route reads them."""
+    return split_status(classify_documents(materialise(docs, "statements")))[1].select(*_OUT)
 
 
 # An amount whose digits end the balance's digits is stripped from both, so the head of the
