@@ -30,8 +30,13 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def require_unique(df: DataFrame, key: str) -> DataFrame:
-    """Fail when a merge source would match one target row twice."""
-    if not duplicate_keys(df, key).isEmpty():
+    """Fail when a merge source would match one target row twice.
+
+    Hashes of the keys, which are short, are counted first; keys themselves only where a hash repeats.
+    """
+    hashed = df.select(F.xxhash64(key).alias("_hash"), key)
+    repeated = duplicate_keys(hashed, "_hash").limit(1).collect()
+    if repeated and not duplicate_keys(df, key).isEmpty():
         raise ValueError(f"merge source has several rows for one {key}")
     return df
 

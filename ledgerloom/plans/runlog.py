@@ -89,12 +89,14 @@ def log_upsert(
     stage: str,
     run_id: str,
     policy: StagePolicy = DEFAULT_POLICY,
+    clears: Sequence[str] = (),
 ) -> DataFrame:
     """New log rows after a stage's results (status, duration_sec, error; source_path if known).
 
     One join finds the prior attempts and applies the update: attempts rise by one, a failure at
     the cap becomes NEEDS_REVIEW, only this stage's columns change, and new statements get NULL
-    elsewhere. Several results for one statement count as one.
+    elsewhere. Several results for one statement count as one. A result with one of the statuses `clears`
+    also clears the next stage, as `invalidate_next` does.
     """
     cols = stage_columns(stage)
     has_path = "source_path" in results.columns
@@ -115,6 +117,12 @@ def log_upsert(
     }
     if has_path:
         changed["source_path"] = F.col("_new_source_path")
+    following = policy.next_stage(stage) if clears else None
+    if following is not None:
+        hit = F.col("_new_status").isin(*clears)
+        for role in ("status", "error", "attempts"):
+            name = stage_columns(following)[role]
+            changed[name] = F.when(~hit, F.col(name))
     joined = log.join(source, KEY, "full_outer")
     return joined.select(
         *[

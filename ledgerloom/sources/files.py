@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import text
 from ledgerloom.operators.grid import grid_rows, write_grid
+from ledgerloom.session import few_listing_tasks
 
 RAW_FILES = T.StructType(
     [
@@ -41,7 +42,8 @@ def read_files(spark: SparkSession, paths: str | list[str], glob: str | None = N
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(paths).select("path", "content")
+    with few_listing_tasks(spark):
+        return reader.load(paths).select("path", "content")
 
 
 def stream_files(
@@ -65,7 +67,8 @@ def stream_files(
         reader = reader.option("maxBytesPerTrigger", batch_bytes)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.load(directory).select("path", "content")
+    with few_listing_tasks(spark):
+        return reader.load(directory).select("path", "content")
 
 
 def landed_files(spark: SparkSession, directory: str, glob: str, due: DataFrame) -> DataFrame:
@@ -74,7 +77,9 @@ def landed_files(spark: SparkSession, directory: str, glob: str, due: DataFrame)
     A first pass sees names, times and sizes alone and gives the bounds of the due files; the scan that reads
     contents has these bounds pushed down and skips every file outside them unopened.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    with few_listing_tasks(spark):
+        files = reader.load(directory)
     bounds = files.join(due, "path", "left_semi").agg(
         *[f(c).alias(f"{f.__name__}_{c}") for c in ("length", "modificationTime") for f in (F.min, F.max)]
     ).first()

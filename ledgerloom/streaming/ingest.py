@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.plans.stages import Warehouse, ingest_batch
+from ledgerloom.session import few_listing_tasks
 from ledgerloom.sources.files import stream_files
 
 
@@ -23,14 +24,16 @@ def drain(stream: DataFrame, sink: Callable[[DataFrame, str], object], checkpoin
     def named(batch: DataFrame, number: int) -> None:
         sink(batch, f"{checkpoint_id.result(timeout=600)}-{number}")
 
-    query = (
-        stream.writeStream.foreachBatch(named)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    checkpoint_id.set_result(query.id)
-    query.awaitTermination()
+    # a query keeps the settings that hold when it starts
+    with few_listing_tasks(stream.sparkSession):
+        query = (
+            stream.writeStream.foreachBatch(named)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        checkpoint_id.set_result(query.id)
+        query.awaitTermination()
     return query
 
 

@@ -133,11 +133,16 @@ files as (select doc_id // 25 as f, string_agg(text, chr(12) order by doc_id) ||
           from documents group by 1)"""
 
 
-def _document_files(spark: SparkSession, d: str, folder: str) -> None:
-    """All documents as text files of 25 pages each."""
+def _document_files(spark: SparkSession, d: str, folder: str, folders: Column | None = None) -> None:
+    """All documents as text files of 25 pages each, in one folder or in those that `folders` names by f."""
     page = F.struct("doc_id", "text")
     grouped = table(spark, d, "documents").groupBy(F.expr("doc_id div 25").alias("f")).agg(F.array_sort(F.collect_list(page)).alias("p"))
-    grouped.select("f", F.array_join(F.col("p")["text"], "\f").alias("value")).write.partitionBy("f").text(folder)
+    bodies = grouped.select((F.lit(None) if folders is None else folders).alias("f"), F.array_join(F.col("p")["text"], "\f").alias("value"))
+    # one record, one file
+    if folders is None:
+        bodies.drop("f").write.option("maxRecordsPerFile", 1).text(folder)
+    else:
+        bodies.write.option("maxRecordsPerFile", 1).partitionBy("f").text(folder)
 
 
 def _ingested(spark: SparkSession, d: str, name: str) -> Warehouse:
@@ -196,11 +201,11 @@ def file_backfill(spark: SparkSession, d: str) -> DataFrame:
 def file_replay(spark: SparkSession, d: str) -> DataFrame:
     """A batch that lost its driver after the bronze write, and after the log, counts once; another batch counts again."""
     root = new_path(spark, "file-replay")
-    _document_files(spark, d, f"{root}/incoming")
+    _document_files(spark, d, f"{root}/incoming", F.col("f") % 2)
     files = read_files(spark, f"{root}/incoming", "*.txt")
     house = Warehouse(spark, f"{root}/tables")
     # what the first delivery had written before it broke off
-    house.bronze.insert_new(materialise(extract(files, "bronze_extraction"), "lost"), "stream-0")
+    house.bronze.insert_new(extract(files, "bronze_extraction"), "stream-0")
     for _ in range(2):
         ingest_batch(house, files, "51", "stream-0")
     ingest_batch(house, files.filter(F.regexp_extract("path", "f=([0-9]+)", 1).cast("long") % 2 == 0), "52", "stream-1")
@@ -217,7 +222,7 @@ def file_replay(spark: SparkSession, d: str) -> DataFrame:
 def broken_files(spark: SparkSession, d: str) -> DataFrame:
     """Files whose bytes are no text fail alone and are read again; the others pass."""
     root = new_path(spark, "broken-files")
-    _document_files(spark, d, f"{root}/incoming")
+    _document_files(spark, d, f"{root}/incoming", F.col("f"))
     number = F.regexp_extract("path", "f=([0-9]+)", 1).cast("long")
     broken = F.expr("concat(content, x'fffe80')")
     files = read_files(spark, f"{root}/incoming", "*.txt").select("path", F.when(number % 3 == 0, broken).otherwise(F.col("content")).alias("content"))
