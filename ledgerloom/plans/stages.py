@@ -126,7 +126,9 @@ def extract(files: DataFrame, label: str) -> DataFrame:
     Contents are read once: all files are decoded and written down, and the choice is made on hashes and paths
     of what was written. Only if there are equal files are rows matched with the chosen paths.
     """
-    scored = score_documents(decode_files(files)).withColumns(
+    # many small files per task, as each task writes a file
+    few = files.coalesce(4 * files.sparkSession.sparkContext.defaultParallelism)
+    scored = score_documents(decode_files(few)).withColumns(
         {"ingested_at": F.current_timestamp(), "pipeline_stages": F.lit(label)}
     )
     staged = materialise(scored, "extracted")
