@@ -36,8 +36,26 @@ def _role_pattern(hints: tuple[str, ...]) -> str:
     return "|".join(rf"\b{h}\b" if len(h) <= 2 else re.escape(h) for h in hints)
 
 
+# one upper-case letter per role: lower-cased header cells have none
+_ROLE_MARKS = tuple(chr(ord("A") + k) for k in range(len(rules.ROLES)))
 _ROLE_PATTERNS = tuple(_role_pattern(hints) for _, hints in rules.HEADER_HINTS)
-_UNCLAIMED = [-1] * len(rules.ROLES)
+
+
+def _header_text(row: Column) -> Column:
+    """The cells of a row, lower-cased, each behind a line break."""
+    cells = F.transform(row, lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("\n"), F.lit(" ")))
+    return F.lower(F.concat(F.lit("\n"), F.array_join(cells, "\n")))
+
+
+def _claims(header: Column) -> Column:
+    """`header_map` of a header text. As all cells prefer roles in the same order, a role's cell is the first
+    that matches it and that no earlier role took; taken cells are replaced by the role's mark."""
+    for mark, pattern in zip(_ROLE_MARKS, _ROLE_PATTERNS):
+        header = F.regexp_replace(header, rf"\A((?s:.*?)\n)[^\n]*?(?:{pattern})[^\n]*", f"$1{mark}")
+    free = rf"\n(?![{_ROLE_MARKS[0]}-{_ROLE_MARKS[-1]}])[^\n]*"
+    # one character per cell
+    marks = F.replace(F.regexp_replace(header, free, "-"), F.lit("\n"), F.lit(""))
+    return bind(marks, lambda m: F.array(*[F.instr(m, mark) - 1 for mark in _ROLE_MARKS]))
 
 
 def header_map(row: Column) -> Column:
@@ -45,31 +63,13 @@ def header_map(row: Column) -> Column:
 
     Cells go left to right; each takes the first role that matches it and is still free.
     """
-    def matches(cell: Column, i: Column) -> Column:
-        head = F.lower(strip(F.replace(F.coalesce(cell, F.lit("")), F.lit("\n"), F.lit(" "))))
-        return bind(
-            head, lambda h: F.struct(i.alias("at"), F.array(*[h.rlike(p) for p in _ROLE_PATTERNS]).alias("hit"))
-        )
-
-    def claim(taken: Column, cell: Column) -> Column:
-        free = F.zip_with(taken, cell["hit"], lambda t, h: (t == -1) & h)
-        return bind(
-            F.array_position(free, True) - 1,
-            lambda role: F.transform(taken, lambda t, k: F.when(k == role, cell["at"]).otherwise(t)),
-        )
-
-    start = F.array(*[F.lit(v) for v in _UNCLAIMED])
-    return F.aggregate(F.transform(row, matches), start, claim)
+    return F.when(row.isNotNull(), _claims(_header_text(row)))
 
 
 def role_at(col_map: Column, role: str) -> Column:
     return F.element_at(col_map, rules.ROLES.index(role) + 1)
 
 
-def _has_date_column(col_map: Column) -> Column:
-    return role_at(col_map, "date") >= 0
-
-
 def _nonempty(table: Column) -> Column:
     return F.coalesce(F.size(table), F.lit(0)) > 0
 
@@ -81,10 +81,12 @@ def mapped_tables(tables: Column) -> Column:
     letter per table, so the work is linear in the tables.
     """
     def with_header(table: Column) -> Column:
-        return bind(
-            header_map(F.element_at(table, 1)),
-            lambda own: F.struct(table.alias("rows"), _has_date_column(own).alias("headed"), own.alias("own")),
+        # only a row with a date column is a header, and most tables after the first have none
+        own = bind(
+            _header_text(F.element_at(table, 1)),
+            lambda h: F.when(h.rlike(_ROLE_PATTERNS[rules.ROLES.index("date")]), _claims(h)),
         )
+        return bind(own, lambda m: F.struct(table.alias("rows"), m.isNotNull().alias("headed"), m.alias("own")))
 
     def numbers(flags: Column) -> Column:
         """Per table the place of its map among the headed tables' maps, -1 before the first."""

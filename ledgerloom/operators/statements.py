@@ -17,12 +17,13 @@ from ledgerloom.operators.grid import (
     with_grid_transactions,
 )
 from ledgerloom.operators.splice import POS, RANK, splice
-from ledgerloom.operators.textlines import TXN_COLUMNS, text_blocks, with_text_transactions
+from ledgerloom.operators.textlines import TXN_COLUMNS, text_blocks, with_text_signature, with_text_transactions
 from ledgerloom.session import compile_in_parts
 
 STATUS = "__STATUS__"
 METHODS = ("table_extract", "raw_text_block_recovered", "raw_text_block_backfill", "raw_text_block")
 _GRID, _BLOB, _TEXT = 0, 1, 2
+_SIGNATURE = ("txn_date_raw", "running_balance")
 
 LINES_SCHEMA = T.StructType(
     [
@@ -174,35 +175,43 @@ def text_only_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _parsed_items(docs: DataFrame, flag_first: bool) -> DataFrame:
-    """The items of each statement, parsed, and its status row."""
+def _gridded_items(docs: DataFrame, flag_first: bool) -> DataFrame:
+    """The items of each statement: table rows parsed, text blocks with date and balance only, and its status row."""
     gridded = with_grid_transactions(statement_items(docs), "_cells", "_map", flag_first=flag_first)
-    parsed = with_text_transactions(gridded, "_block")
-    grid = F.col(RANK) == _GRID
-    status = F.col(RANK) < 0
-    picked = {
-        c: F.when(grid, F.col(f"g_{c}")).when(~status, F.col(f"t_{c}")) for c in TXN_COLUMNS
-    }
+    signed = with_text_signature(gridded, "_block", prefix="s_")
+    grid, text = F.col(RANK) == _GRID, F.col(RANK) > _GRID
     outcome = F.when(F.col("_failed"), "FAILED").when(F.col("_any"), "SUCCESS").otherwise("SUCCESS_EMPTY")
     method = (
-        F.when(status, outcome)
+        F.when(F.col(RANK) < 0, outcome)
         .when(grid, "table_extract")
         .when(F.col(RANK) == _BLOB, "raw_text_block_recovered")
         .when(F.col("_has_tables"), "raw_text_block_backfill")
         .otherwise("raw_text_block")
     )
-    return parsed.select(
+    picked = {
+        c: F.when(text, F.col(f"s_{c}")).when(grid, F.col(f"g_{c}")) if c in _SIGNATURE else F.when(grid, F.col(f"g_{c}"))
+        for c in TXN_COLUMNS
+    }
+    return signed.select(
         "statement_hash",
         "bank_format",
         RANK,
         POS,
         "_has_tables",
+        "_block",
         *[v.alias(c) for c, v in picked.items()],
         method.alias("classification_method"),
-        F.when(F.col("_failed") & status, F.lit("table without a readable first row")).alias("error_message"),
+        F.when(F.col("_failed") & (F.col(RANK) < 0), F.lit("table without a readable first row")).alias("error_message"),
     )
 
 
+def _with_text_lines(items: DataFrame) -> DataFrame:
+    """`_gridded_items` with the rest of what their text blocks tell."""
+    parsed = with_text_transactions(items, "_block")
+    told = {c: F.when(F.col(RANK) > _GRID, F.col(f"t_{c}")).otherwise(F.col(c)) for c in TXN_COLUMNS if c not in _SIGNATURE}
+    return parsed.select(*[told[c].alias(c) if c in told else c for c in items.columns if c != "_block"])
+
+
 def _staged_columns(line_no: Column) -> list[Column | str]:
     status = F.col(RANK) < 0
     return [
@@ -251,15 +260,16 @@ def table_only_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
 def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     """`classify_documents` for any statements, with text lines fitted in between table lines.
 
-    The parsed lines shuffle once, by statement; all later windows reuse that partitioning.
+    The items shuffle once, by statement; all later windows reuse that partitioning. Text that repeats lines
+    known already is told by date and balance and gone before the rest of it is parsed.
     """
-    rows = _parsed_items(docs, flag_first).repartition("statement_hash")
+    rows = _gridded_items(docs, flag_first).repartition("statement_hash")
     signature = W.partitionBy("statement_hash", "txn_date_raw", F.round("running_balance", 2))
     seen_first = F.row_number().over(signature.orderBy(RANK, POS)) == 1
     kept = rows.withColumn("_first", seen_first).filter(
         (F.col(RANK) != _TEXT) | ~F.col("_has_tables") | F.col("_first")
     )
-    dated = kept.withColumn("_date", parse_date(F.col("txn_date_raw")))
+    dated = _with_text_lines(kept.drop("_first")).withColumn("_date", parse_date(F.col("txn_date_raw")))
     numbered = splice(dated, "statement_hash", "_date", first=0)
     return numbered.select(*_staged_columns(F.col("line_no")))
 

@@ -92,8 +92,8 @@ def _untag(lines: Column) -> Column:
     return F.regexp_replace(lines, r"\n[A-Z]", " ")
 
 
-def block_columns(block: Column) -> dict[str, Column]:
-    """First step over a block column: the parts that hold date, amounts and narration.
+def block_columns(block: Column, narrated: bool = True) -> dict[str, Column]:
+    """First step over a block column: the parts that hold date, amounts and, if `narrated`, narration.
 
     With an S line the block has exactly one. Otherwise the first date line and the line with
     most amounts (first on a tie) stand in for it.
@@ -108,25 +108,47 @@ def block_columns(block: Column) -> dict[str, Column]:
     best = F.array_position(counts, F.array_max(counts)) - 1
     dated = F.array_position(F.transform(lines, lambda l: l.startswith("D")), True) - 1
 
+    def parts_of(date_line: Column, amount_line: Column, rest: Column) -> Column:
+        told = [rest.alias("rest")] if narrated else []
+        return F.struct(date_line.alias("date_line"), amount_line.alias("amount_line"), *told)
+
     def apart(parts: Column) -> Column:
         rest = F.filter(
             lines, lambda l, i: (i != parts["dated"]) & (i != parts["best"]) & (l != "C")
         )
-        return F.struct(
-            F.substring(F.get(lines, parts["dated"]), 2, 2147483647).alias("date_line"),
-            F.substring(F.get(lines, parts["best"]), 2, 2147483647).alias("amount_line"),
-            F.concat(F.lit("\n"), F.array_join(rest, "\n")).alias("rest"),
+        return parts_of(
+            F.substring(F.get(lines, parts["dated"]), 2, 2147483647),
+            F.substring(F.get(lines, parts["best"]), 2, 2147483647),
+            F.concat(F.lit("\n"), F.array_join(rest, "\n")),
         )
 
     split_parts = bind(F.struct(dated.alias("dated"), best.alias("best")), apart)
-    whole_parts = F.struct(
-        summary.alias("date_line"),
-        summary.alias("amount_line"),
-        F.concat(F.substring_index(block, "\nS", 1), after.substr(F.length(summary) + 1, F.length(after))).alias("rest"),
+    whole_parts = parts_of(
+        summary,
+        summary,
+        F.concat(F.substring_index(block, "\nS", 1), after.substr(F.length(summary) + 1, F.length(after))),
     )
     return {"_whole": whole, "_parts": F.when(whole, whole_parts).otherwise(split_parts)}
 
 
+def _date_and_balance(p: str) -> dict[str, Column]:
+    return {
+        p + "txn_date_raw": dates.first_date(F.col("_parts")["date_line"]),
+        p + "running_balance": money.amount_value(money.last_amount(F.col("_amounts"))),
+    }
+
+
+def with_text_signature(df: DataFrame, block: str, prefix: str = "t_") -> DataFrame:
+    """Add only date and balance of the transaction that `with_text_transactions` reads, a fraction of its work."""
+    return add_steps(
+        df,
+        block_columns(F.col(block), narrated=False),
+        {"_amounts": money.amounts_in(F.col("_parts")["amount_line"])},
+        _date_and_balance(prefix),
+        drop=("_whole", "_parts", "_amounts"),
+    )
+
+
 def with_text_transactions(df: DataFrame, block: str, prefix: str = "t_") -> DataFrame:
     """Add the transaction read from a block column (NULL where the block is NULL)."""
     p = prefix
@@ -143,10 +165,9 @@ def with_text_transactions(df: DataFrame, block: str, prefix: str = "t_") -> Dat
             "_dateless": F.when(whole, dates.drop_dates(parts["amount_line"])),
         },
         {
-            p + "txn_date_raw": dates.first_date(parts["date_line"]),
+            **_date_and_balance(p),
             p + "narration": collapse(narration),
             "_amount": money.amount_value(amount2),
-            p + "running_balance": money.amount_value(money.last_amount(amounts)),
             "_tag": F.when(whole, money.tag_of_amount(parts["amount_line"], amount2)),
         },
         {"_low": F.lower(p + "narration"), "_up": F.upper(p + "narration")},

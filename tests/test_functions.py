@@ -128,6 +128,26 @@ def test_header_map(spark):
     assert got == [[0, 1, 2, 3, 4, -1, -1], [0, -1, 2, -1, -1, 3, -1], [0, -1, 2, 3, -1, -1, 4], [-1] * 7, None]
 
 
+def test_header_map_matches_the_greedy_model(spark):
+    def model(row):
+        taken = [-1] * len(rules.ROLES)
+        for at, cell in enumerate(row):
+            low = (cell or "").replace("\n", " ").strip().lower()
+            for k, (_, hints) in enumerate(rules.HEADER_HINTS):
+                hit = any(re.search(rf"(?a)\b{h}\b" if len(h) <= 2 else re.escape(h), low) for h in hints)
+                if hit and taken[k] == -1:
+                    taken[k] = at
+                    break
+        return taken
+
+    rng = random.Random(5)
+    hints = [h for _, found in rules.HEADER_HINTS for h in found]
+    odd = [None, "", " ", "\n", "A", "G\nA", "x", "-", "Dr", "draft", "cr.", "running\nBalance", "\u3000DATE\x1f", "a\rdate",
+           "date/cr", "Amount Dr/Cr", "credit debit", "$1", "\\", "\u0130DATE", "value\u2028date"]
+    rows = [[rng.choice(odd + hints + [h.upper() for h in hints]) for _ in range(rng.randint(0, 9))] for _ in range(500)]
+    assert apply(spark, rows, header_map, "array<string>") == [model(r) for r in rows]
+
+
 def test_records_and_blobs(spark):
     blob = "head\n1 18/07/2025 a 1.00 2.00\n  more\n 2 19 Jul 2025 b 1.00 3.00\ntail"
     parts = apply(spark, [blob, "1 18/07/2025 a", "x"], split_records)

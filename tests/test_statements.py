@@ -193,6 +193,21 @@ def test_backfill_skips_known_signatures(spark):
         ("01/01/2024", "table_extract"), ("02/01/2024", "raw_text_block_backfill"), ("03/01/2024", "table_extract")]
 
 
+def test_known_text_is_dropped_before_it_is_parsed(spark):
+    """Date and balance tell which text lines repeat known ones; the rest of a line is read only if it stays."""
+    tables = json.dumps([[["Date", "Narration", "Debit", "Credit", "Balance"], ["01/01/2024", "a", "1.00", "", "99.00"]]])
+    raw = "01/01/2024 a 1.00 Dr 99.00\nChq: 1\n02/01/2024\nUPI/b\n1.00 Dr 98.00\nChq: 2\n02/01/2024 again 98.00"
+    docs = spark.createDataFrame([("h", "X", raw, tables)], "statement_hash string, bank_format string, raw_text string, tables_json string")
+    lines = spliced_lines(docs)
+    got = [(r.line_no, r.narration, r.debit_amount, r.credit_amount, r.running_balance, r.txn_type, r.classification_confidence)
+           for r in lines.orderBy("line_no").collect()]
+    assert got == [
+        (-1, None, None, None, None, "__STATUS__", None), (1, "a", 1.0, None, 99.0, "DEBIT_OTHER", 0.3),
+        (2, "UPI/b", 1.0, None, 98.0, "UPI", 0.9)]
+    plan = final_plan(lines)
+    assert "t_narration" in plan and "t_narration" not in plan[plan.rindex("Window") :]
+
+
 def test_one_bad_statement_fails_alone(spark):
     docs = spark.createDataFrame(
         [("good", "X", "01/01/2024 a 1.00 2.00", None), ("bad", "X", "01/01/2024 a 1.00 2.00", "[[null]]"), ("none", "X", None, "")],

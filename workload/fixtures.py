@@ -140,9 +140,10 @@ def rich_text_line() -> Column:
 
 def per_statement(lines: DataFrame, **parts: Column) -> DataFrame:
     """Collect line-level columns into one array per statement, in line order (bounded by BLOCK)."""
-    entry = F.struct(F.col("line_no"), *[c.alias(name) for name, c in parts.items()])
-    grouped = lines.groupBy("user_id", "block").agg(
-        F.array_sort(F.collect_list(entry)).alias("_lines"), F.first("bank_format").alias("bank_format")
+    # the entries are a step of their own: aggregates evaluate what they collect without compiled code
+    entry = F.struct(F.col("line_no"), *[c.alias(name) for name, c in parts.items()]).alias("_entry")
+    grouped = lines.select("user_id", "block", "bank_format", entry).groupBy("user_id", "block").agg(
+        F.array_sort(F.collect_list("_entry")).alias("_lines"), F.first("bank_format").alias("bank_format")
     )
     return grouped.select(
         _statement_hash().alias("statement_hash"),
