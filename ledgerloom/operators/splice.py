@@ -31,25 +31,39 @@ def _extra() -> Column:
     return F.col(RANK) > 0
 
 
-def with_direction(rows: DataFrame, key: str, date: str) -> DataFrame:
-    """Add `_descending`: whether the first change between consecutive dated trusted rows goes back.
+def _with_turn(rows: DataFrame, key: str, date: str) -> DataFrame:
+    """Add `_descending` (see `with_direction`) and the first and last date of the trusted rows, `_low` and `_high`.
 
-    NULL when no two consecutive dated rows differ.
+    The first change is at the first trusted row whose date is not that of the first one.
     """
-    by_arrival = W.partitionBy(key).orderBy(RANK, POS)
-    before = by_arrival.rowsBetween(W.unboundedPreceding, -1)
-    previous = F.last(F.when(_main(), F.col(date)), ignorenulls=True).over(before)
+    part = W.partitionBy(key)
+    dated = _main() & F.col(date).isNotNull()
+    start = F.min(F.when(dated, F.struct(F.col(POS), F.col(date).alias("day")))).over(part)["day"]
     turn = F.when(
-        _main() & (F.col(date) != F.col("_previous")),
-        F.struct(F.col(POS), (F.col(date) < F.col("_previous")).alias("back")),
+        dated & (F.col(date) != F.col("_start")),
+        F.struct(F.col(POS), (F.col(date) < F.col("_start")).alias("back")),
     )
     return (
-        rows.withColumn("_previous", previous)
-        .withColumn("_descending", F.min(turn).over(W.partitionBy(key))["back"])
-        .drop("_previous")
+        rows.withColumn("_start", start)
+        .withColumns(
+            {
+                "_descending": F.min(turn).over(part)["back"],
+                "_low": F.min(F.when(dated, F.col(date))).over(part),
+                "_high": F.max(F.when(dated, F.col(date))).over(part),
+            }
+        )
+        .drop("_start")
     )
 
 
+def with_direction(rows: DataFrame, key: str, date: str) -> DataFrame:
+    """Add `_descending`: whether the first change between consecutive dated trusted rows goes back.
+
+    NULL when no two consecutive dated rows differ.
+    """
+    return _with_turn(rows, key, date).drop("_low", "_high")
+
+
 def splice(rows: DataFrame, key: str, date: str, number: str = "line_no", first: int = 1) -> DataFrame:
     """Number the rows of each statement from `first` in spliced order.
 
@@ -58,8 +72,10 @@ def splice(rows: DataFrame, key: str, date: str, number: str = "line_no", first:
     """
     part = W.partitionBy(key)
     arrival = [F.col(RANK), F.col(POS)]
-    day = F.unix_date(F.col(date)).cast("long")
-    signed = F.when(F.col("_descending"), -day).when(~F.col("_descending"), day)
+
+    def signed(day: str) -> Column:
+        at = F.unix_date(F.col(day)).cast("long")
+        return F.when(F.col("_descending"), -at).when(~F.col("_descending"), at)
 
     # last gap: no trusted row is past the date
     last_gap = F.col("_day").isNotNull() & F.coalesce(F.col("_day") >= F.col("_main_max"), F.lit(True))
@@ -79,15 +95,15 @@ def splice(rows: DataFrame, key: str, date: str, number: str = "line_no", first:
         F.coalesce(F.col("_day"), F.col("_latest")).asc_nulls_first(),
         *arrival,
     )
-    # the windows up to `_latest` share one sort by arrival
+    last = F.when(F.col("_descending"), signed("_low")).otherwise(signed("_high"))
+    # the windows of `_with_turn` need no order within a statement
     return (
-        with_direction(rows, key, date)
-        .withColumn("_day", signed)
-        .withColumn("_main_max", F.max(F.when(_main(), F.col("_day"))).over(part))
+        _with_turn(rows, key, date)
+        .withColumns({"_day": signed(date), "_main_max": last})
         .withColumn("_latest", latest)
         .withColumn("_slot", slot)
         .withColumn(number, (F.row_number().over(final) + (first - 1)).cast("int"))
-        .drop("_descending", "_day", "_main_max", "_slot", "_latest")
+        .drop("_descending", "_low", "_high", "_day", "_main_max", "_slot", "_latest")
     )
 
 

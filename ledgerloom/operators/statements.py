@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ledgerloom.functions.dates import parse_date
-from ledgerloom.functions.text import strip
 from ledgerloom.operators.grid import (
     blob_blocks,
     data_rows,
@@ -18,6 +17,7 @@ from ledgerloom.operators.grid import (
 )
 from ledgerloom.operators.splice import POS, RANK, splice
 from ledgerloom.operators.textlines import TXN_COLUMNS, text_blocks, with_text_signature, with_text_transactions
+from ledgerloom.rules import BLANKS
 from ledgerloom.session import compile_in_parts
 
 STATUS = "__STATUS__"
@@ -139,7 +139,8 @@ def classify_documents(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     """
     compile_in_parts(docs.sparkSession)
     tabled = with_tables(docs)
-    worded = F.coalesce(strip(F.col("raw_text")) != "", F.lit(False))
+    # cut at the left only: that ends at the first letter, whatever the length of the text
+    worded = F.coalesce(F.ltrim(F.col("raw_text"), F.lit(BLANKS)) != "", F.lit(False))
     wordless = docs.filter(tabled & ~worded)
     narrow = _narrow_table(read_grid(F.col("tables_json")))
     spliced = docs.filter(tabled & (worded | F.when(~worded, narrow)))
