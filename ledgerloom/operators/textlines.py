@@ -128,7 +128,8 @@ def block_columns(block: Column, narrated: bool = True) -> dict[str, Column]:
         summary,
         F.concat(F.substring_index(block, "\nS", 1), after.substr(F.length(summary) + 1, F.length(after))),
     )
-    return {"_whole": whole, "_parts": F.when(whole, whole_parts).otherwise(split_parts)}
+    # rows without a block are common, and the arrays of `split_parts` cost as much for them as for others
+    return {"_whole": whole, "_parts": F.when(whole, whole_parts).when(block.isNotNull(), split_parts)}
 
 
 def _date_and_balance(p: str) -> dict[str, Column]:
