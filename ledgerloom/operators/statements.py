@@ -261,10 +261,11 @@ def table_only_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
 def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     """`classify_documents` for any statements, with text lines fitted in between table lines.
 
-    The items shuffle once, by statement; all later windows reuse that partitioning. Text that repeats lines
-    known already is told by date and balance and gone before the rest of it is parsed.
+    The statements shuffle once, before they are taken apart into items, which are twice as much to move; all
+    windows reuse that partitioning. Text that repeats lines known already is told by date and balance and gone
+    before the rest of it is parsed.
     """
-    rows = _gridded_items(docs, flag_first).repartition("statement_hash")
+    rows = _gridded_items(docs.repartition("statement_hash"), flag_first)
     signature = W.partitionBy("statement_hash", "txn_date_raw", F.round("running_balance", 2))
     seen_first = F.row_number().over(signature.orderBy(RANK, POS)) == 1
     kept = rows.withColumn("_first", seen_first).filter(

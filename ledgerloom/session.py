@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,16 +61,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session that hold inside."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @contextmanager
 def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
     """Folders are listed by a few tasks per core inside; by default Spark starts one task for each folder or file."""
     name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(4 * spark.sparkContext.defaultParallelism))
-    try:
+    with settings(spark, {name: str(4 * spark.sparkContext.defaultParallelism)}):
         yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def compile_in_parts(spark: SparkSession) -> None:
@@ -78,6 +90,39 @@ def compile_in_parts(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
+def shuffles_released(spark: SparkSession):
+    """What a query that runs inside has shuffled goes when it ends, not when the driver happens to collect garbage.
+    A frame that was run inside must not be run again: ask for a new one."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
+def write_lean(df: DataFrame, path: str) -> None:
+    """Write Parquet that keeps hashes at half their length and leaves no shuffle behind."""
+    with shuffles_released(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+
+
+def small_partitions(spark: SparkSession, size: str = "16m"):
+    """Shuffled partitions are joined up to this size inside, for rows that grow much while they are worked on."""
+    return settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": size})
+
+
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """`materialise` for what nothing reads after the block: its folder goes with it."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    write_lean(df, path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write once to the shared folder and read back.
 
@@ -98,6 +143,5 @@ def release_staged(spark: SparkSession) -> int:
     """
     paths = _staged.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_folder(spark, path)
     return len(paths)

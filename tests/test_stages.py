@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.reconcile import no_lines, reconcile, with_no_lines
 from ledgerloom.plans import runlog, stages
 from ledgerloom.rules import DEFAULT_POLICY
-from ledgerloom.session import materialise, release_staged
+from ledgerloom.session import materialise, release_staged, settings, write_lean
 from ledgerloom.sources.files import decode_files, export_csv, pages_pass_gate, read_files, score_documents, stream_files
 from ledgerloom.sources.store import KeyedTable, create_table, ensure_table_columns
 from ledgerloom.streaming.ingest import drain, ingest_directory
@@ -112,6 +113,101 @@ def test_a_batch_again_changes_nothing(spark, tmp_path):
     assert dict(rows_of(table))["a"] == 51
 
 
+def folders_of(table):
+    return sum(1 for n in os.listdir(table.path) if not n.startswith("."))
+
+
+def test_a_write_of_all_keys_takes_the_place_of_older_ones(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
+    table.insert_new(frame([("a", 1), ("b", 1), (None, 1)]))
+    table.insert_new(frame([("c", 1)]))
+    table.upsert(frame([("a", 2), ("b", 2), ("d", 2)]))
+    assert folders_of(table) == 3 and dict(rows_of(table)) == {"a": 2, "b": 2, "c": 1, "d": 2}
+    assert rows_of_frame(table.upsert(frame([(k, 3) for k in "abcde"]))) == [(k, 3) for k in "abcde"]
+    assert folders_of(table) == 1 and rows_of(table) == [(k, 3) for k in "abcde"]
+    # an insert that comes later loses against all of these keys, and only against them
+    table.insert_new(frame([("a", 4), ("f", 4)]))
+    assert dict(rows_of(table)) == {**dict.fromkeys("abcde", 3), "f": 4}
+    # fewer rows, but every key is named
+    table.replace(frame([("a", 5), ("a", 6)]), frame([(k, 0) for k in "abcdef"]).select("k"))
+    assert folders_of(table) == 1 and rows_of(table) == [("a", 5), ("a", 6)]
+
+
+def rows_of_frame(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_amending_most_rows_carries_the_others_along(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
+    table.upsert(frame([(k, 1) for k in "abcd"]))
+    named = lambda keys: lambda rows: rows.withColumn("v", F.when(F.col("k").isin(*keys), F.col("v") + 1).otherwise(F.col("v")))
+    table.amend(frame([("a", 0)]), named("a"))
+    assert folders_of(table) == 2 and dict(rows_of(table)) == {"a": 2, "b": 1, "c": 1, "d": 1}
+    table.replace(frame([]), frame([("d", 0)]).select("k"))
+    table.amend(frame([("a", 0), ("a", 0), ("b", 0)]), named("ab"))
+    table.amend(frame([("a", 0), ("b", 0), ("d", 0)]), named("ab"))
+    assert folders_of(table) == 1 and dict(rows_of(table)) == {"a": 4, "b": 3, "c": 1}
+    # a batch may come again, so folders with one among them stay
+    table.amend(frame([("c", 0)]), named("c"), batch="x-0")
+    table.amend(frame([("a", 0), ("b", 0), ("c", 0)]), named("abc"))
+    assert folders_of(table) == 3 and dict(rows_of(table)) == {"a": 5, "b": 4, "c": 3}
+
+
+def test_rows_of_several_writes_meet_by_key_alone(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
+    table.upsert(frame([("a", 1), ("b", 1)]))
+    table.upsert(frame([("a", 2)]))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        per_key = table.read().groupBy("k").count()
+        plan = per_key._jdf.queryExecution().executedPlan().toString()
+        # rows once, ranks once; what follows by key moves nothing
+        assert plan.count("Exchange ") == 2
+        assert rows_of_frame(per_key) == [("a", 1), ("b", 1)]
+
+
+def test_writes_leave_no_shuffle_and_run_their_source_once(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    shuffles = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = shuffles.size()
+    source = frame([(k, 1) for k in "abcabc"]).groupBy("k").agg(F.max("v").alias("v")).mapInArrow(counted, "k string, v int")
+    write_lean(source, str(tmp_path / "lean"))
+    assert shuffles.size() == before and runs.value == 3
+    assert rows_of_frame(table.insert_new(source)) == rows_of_frame(table.read()) == [(k, 1) for k in "abc"]
+    assert runs.value == 6
+
+
+def test_marked_rows_replace_those_of_touched_keys(spark, tmp_path):
+    table, frame = keyed(spark, tmp_path / "t")
+    table.upsert(frame([(k, 1) for k in "abc"]))
+    rows = spark.createDataFrame(
+        [("a", -1, "fine"), ("a", 7, None), ("a", 8, None), ("b", -2, "failed"), ("c", -1, "empty")], "k string, v int, note string"
+    )
+    written = table.replace_marked(rows, touched=F.col("v") < 0, unless=F.col("v") == -2)
+    assert sorted(map(str, written.collect())) == sorted(map(str, rows.collect()))
+    # b was not read: its row stays
+    assert rows_of(table) == [("a", 7), ("a", 8), ("b", 1)] and folders_of(table) == 2
+    only_b = frame([("b", 0)])
+    assert rows_of_frame(table.matching(only_b)) == [("b", 1)]
+
+
+def test_keys_without_lines_are_judged(spark):
+    lines = spark.createDataFrame(
+        [("a", 1, 1.0, None, 9.0), ("a", 2, 1.0, None, 8.0)],
+        "statement_hash string, line_no int, debit_amount double, credit_amount double, running_balance double",
+    )
+    keys = spark.createDataFrame([("a",), ("b",)], "statement_hash string")
+    judged = reconcile(lines)
+    want = judged.unionByName(no_lines(keys.filter("statement_hash = 'b'")))
+    assert rows_of_frame(with_no_lines(judged, keys).select(*want.columns)) == rows_of_frame(want)
+
+
 def test_repeated_source_keys_are_refused(spark, tmp_path):
     table, frame = keyed(spark, tmp_path / "t")
     table.insert_new(frame([("a", 1)]))
@@ -287,6 +383,8 @@ def test_statement_that_lost_its_lines(spark, tmp_path, incoming):
     assert {r.statement_hash for r in newer.features.read().collect()} == {digest(document("b"))}
     log = {r.statement_hash: r for r in newer.log.read().collect()}
     assert log[digest(document("a"))].classification_status == "SUCCESS_EMPTY" and log[digest(document("a"))].validation_status == "SUCCESS"
+    # the second round names every statement, so nothing of the first is left
+    assert folders_of(newer.lines) == folders_of(newer.validated) == 1
 
 
 def test_failed_rollup_is_logged_and_raised(spark, tmp_path, monkeypatch):

@@ -88,9 +88,7 @@ def _stored_statements(spark: SparkSession, d: str, name: str) -> Warehouse:
     bronze = bronze_of(statements, joined(F.col("text")), paged_tables(F.col("cells"))).withColumns(
         {"route": F.lit("CPU"), "source_path": F.concat(F.lit("/in/"), F.col("statement_hash"))}
     )
-    bronze = materialise(bronze, "bronze")
-    house.bronze.insert_new(bronze)
-    results = bronze.select("statement_hash", "source_path").withColumns(
+    results = house.bronze.insert_new(bronze).select("statement_hash", "source_path").withColumns(
         {"status": F.lit("SUCCESS"), "duration_sec": F.lit(0.0), "error": F.lit(None).cast("string")}
     )
     house.record("pdf_extraction", results, "1")
@@ -115,7 +113,7 @@ def zero_line_retraction(spark: SparkSession, d: str) -> DataFrame:
     roll_up(house, "1")
     gone = house.bronze.read().filter(F.substring("statement_hash", 1, 1) < "6")
     emptied = gone.withColumns({"raw_text": F.lit("no transactions here"), "tables_json": F.lit("[]")})
-    house.bronze.upsert(materialise(emptied, "emptied"))
+    house.bronze.upsert(emptied)
     newer = Warehouse(spark, house.root, rules.DEFAULT_POLICY.bumped("classification"))
     classify(newer, "2")
     validate(newer, "2")

@@ -406,11 +406,9 @@ def incremental_stages(spark: SparkSession, d: str) -> DataFrame:
     bronze = bronze_of(statements, joined(F.col("text")), paged_tables(F.col("cells"))).withColumns(
         {"route": F.lit("CPU"), "source_path": F.concat(F.lit("/in/"), F.col("statement_hash"))}
     )
-    bronze = materialise(bronze, "bronze")
-    results = bronze.select("statement_hash", "source_path").withColumns(
+    results = house.bronze.insert_new(bronze).select("statement_hash", "source_path").withColumns(
         {"status": F.lit("SUCCESS"), "duration_sec": F.lit(0.0), "error": F.lit(None).cast("string")}
     )
-    house.bronze.insert_new(bronze)
     house.record("pdf_extraction", results, "1")
     classify(house, "1")
     validate(house, "1")
