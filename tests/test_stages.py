@@ -174,11 +174,14 @@ def test_writes_leave_no_shuffle_and_run_their_source_once(spark, tmp_path):
             runs.add(batch.num_rows)
             yield batch
 
-    shuffles = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
-    before = shuffles.size()
+    def shuffles():
+        return set(spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keys().mkString(",").split(","))
+
+    before = shuffles()
     source = frame([(k, 1) for k in "abcabc"]).groupBy("k").agg(F.max("v").alias("v")).mapInArrow(counted, "k string, v int")
     write_lean(source, str(tmp_path / "lean"))
-    assert shuffles.size() == before and runs.value == 3
+    # older ones may go at any time
+    assert shuffles() <= before | {""} and runs.value == 3
     assert rows_of_frame(table.insert_new(source)) == rows_of_frame(table.read()) == [(k, 1) for k in "abc"]
     assert runs.value == 6
 
