@@ -129,13 +129,14 @@ def _narrow_table(tables: Column) -> Column:
     return F.coalesce(F.exists(tables, lambda t: widest(t) <= 2), F.lit(True))
 
 
-def classify_documents(docs: DataFrame, flag_first: bool = False) -> DataFrame:
+def classify_documents(docs: DataFrame, flag_first: bool = False, move_whole: bool = False) -> DataFrame:
     """Classified lines and, per statement, one row of type `__STATUS__` (see `split_status`).
 
     Input: statement_hash (unique), bank_format, raw_text, tables_json. Statements without tables take
     the route of `text_only_lines`, those with tables that have neither text nor a table that may be a blob that of
     `table_only_lines`, the others that of `spliced_lines`; `docs` is read once for each,
-    so it should be a stored table or cheap. For `flag_first` see `with_grid_transactions`.
+    so it should be a stored table or cheap. For `flag_first` see `with_grid_transactions`, for `move_whole`
+    `spliced_lines`.
     """
     compile_in_parts(docs.sparkSession)
     tabled = with_tables(docs)
@@ -147,7 +148,7 @@ def classify_documents(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     return (
         text_only_lines(docs.filter(~tabled))
         .unionByName(table_only_lines(wordless.filter(~narrow), flag_first))
-        .unionByName(spliced_lines(spliced, flag_first))
+        .unionByName(spliced_lines(spliced, flag_first, move_whole))
     )
 
 
@@ -258,14 +259,18 @@ def table_only_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
     )
 
 
-def spliced_lines(docs: DataFrame, flag_first: bool = False) -> DataFrame:
+def spliced_lines(docs: DataFrame, flag_first: bool = False, move_whole: bool = False) -> DataFrame:
     """`classify_documents` for any statements, with text lines fitted in between table lines.
 
-    The statements shuffle once, before they are taken apart into items, which are twice as much to move; all
-    windows reuse that partitioning. Text that repeats lines known already is told by date and balance and gone
-    before the rest of it is parsed.
+    The items shuffle once, by statement; all later windows reuse that partitioning. With `move_whole` the
+    statements shuffle instead, before they are taken apart: about half as much moves, and nothing if `docs` comes
+    from a shuffled join by statement; run it with `small_partitions`, as rows grow behind the shuffle. Text that
+    repeats lines known already is told by date and balance and gone before the rest of it is parsed.
     """
-    rows = _gridded_items(docs.repartition("statement_hash"), flag_first)
+    if move_whole:
+        rows = _gridded_items(docs.repartition("statement_hash"), flag_first)
+    else:
+        rows = _gridded_items(docs, flag_first).repartition("statement_hash")
     signature = W.partitionBy("statement_hash", "txn_date_raw", F.round("running_balance", 2))
     seen_first = F.row_number().over(signature.orderBy(RANK, POS)) == 1
     kept = rows.withColumn("_first", seen_first).filter(

@@ -208,7 +208,7 @@ def classify(warehouse: Warehouse, run_id: str) -> DataFrame:
             if keys.count() != bronze.count():
                 docs = warehouse.bronze.matching(keys)
         docs = docs.select("statement_hash", "bank_format", "raw_text", "tables_json")
-        classified = classify_documents(docs).withColumn("classified_at", F.current_timestamp())
+        classified = classify_documents(docs, move_whole=True).withColumn("classified_at", F.current_timestamp())
         is_status, failed = F.col("txn_type") == STATUS, F.col("classification_method") == "FAILED"
         with small_partitions(warehouse.spark):
             written = warehouse.lines.replace_marked(classified, touched=is_status, unless=is_status & failed)

@@ -11,6 +11,7 @@ from ledgerloom import rules
 from ledgerloom.operators.splice import POS, RANK, splice, splice_chunked
 from ledgerloom.operators.statements import classify_documents, split_status, spliced_lines, table_only_lines, text_only_lines
 from ledgerloom.operators.textlines import parse_text, text_blocks
+from ledgerloom.session import settings
 
 DATE, AMOUNT = re.compile(rules.DATE_PATTERN), re.compile(rules.AMOUNT_PATTERN)
 
@@ -157,6 +158,24 @@ def test_text_only_statements_need_no_window(spark):
     assert sorted(map(str, classify_documents(tabled).collect())) == sorted(map(str, spliced_lines(tabled).collect()))
 
 
+def test_statements_moved_whole_give_the_same_lines(spark):
+    schema = "statement_hash string, bank_format string, raw_text string, tables_json string"
+    head, row = ["Txn Date", "Narration", "Debit", "Credit", "Balance"], lambda n: [f"0{n}/04/2024", f"UPI/{n}", "5.00", "", f"{n}00.00"]
+    text = "\n".join(f"0{n}/04/2024 UPI/{n} 5.00 (Dr) {n}00.00 (Cr)" for n in (1, 2, 3, 4))
+    rows = [(f"h{k}", "X", text, json.dumps([[head, *[row(n) for n in (1, 3, 4)[: k % 4]]]])) for k in range(12)]
+    docs = spark.createDataFrame([*rows, (None, "X", text, None), ("bad", "X", text, json.dumps([[None, row(1)]]))], schema)
+    got = spliced_lines(docs, move_whole=True)
+    assert sorted(map(str, got.collect())) == sorted(map(str, spliced_lines(docs).collect()))
+    # behind a shuffled join by statement nothing moves again
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        joined = docs.join(docs.select("statement_hash").distinct(), "statement_hash")
+        moves = [
+            df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+            for df in (joined, spliced_lines(joined, move_whole=True))
+        ]
+    assert moves[0] == moves[1]
+
+
 def classified(spark, raw, tables, **options):
     docs = spark.createDataFrame([("h", "SBI", raw, json.dumps(tables) if tables is not None else None)],
                                  "statement_hash string, bank_format string, raw_text string, tables_json string")
